@@ -34,6 +34,15 @@ def is_digits(c) -> Column:
     return _c(c).rlike("^[0-9]+$")
 
 
+NUMERIC_RE = r"^[ \t\n\x0B\f\r]*[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?[ \t\n\x0B\f\r]*$"
+
+
+def to_number(c) -> Column:
+    """Lenient text -> double (NULL when not numeric). The regex guard keeps
+    non-numeric text away from the cast, whose failure path is costly."""
+    return F.when(_c(c).rlike(NUMERIC_RE), _c(c).try_cast("double"))
+
+
 def count_char(c, ch: str) -> Column:
     return F.length(_c(c)) - F.length(F.replace(_c(c), F.lit(ch), F.lit("")))
 
@@ -112,7 +121,7 @@ def with_derived_codes(df: DataFrame, tafs: str = "TAFS") -> DataFrame:
 def normalize_stripped(s) -> Column:
     """B10 on an already stripped, non-NULL text."""
     s = _c(s)
-    d = s.try_cast("double")
+    d = to_number(s)
     as_int = F.when(s.contains(".") & (d == F.floor(d)) & (F.abs(d) < 1e15),
                     F.floor(d).cast("bigint").cast("string")).otherwise(s)
     padded = (F.when(is_digits(as_int) & (F.length(as_int) <= 2),
@@ -132,7 +141,8 @@ def with_normalized(df: DataFrame, cols: dict[str, str]) -> DataFrame:
     parse and the integral form are each staged once."""
     st = df.withColumns({f"_s_{o}": strip_ws(F.coalesce(F.col(i).cast("string"), F.lit("")))
                          for o, i in cols.items()})
-    st = st.withColumns({f"_d_{o}": F.col(f"_s_{o}").try_cast("double") for o in cols})
+    st = st.withColumns({f"_d_{o}": F.when(F.col(f"_s_{o}").contains("."), to_number(F.col(f"_s_{o}")))
+                         for o in cols})
     st = st.withColumns({f"_i_{o}": F.when(F.col(f"_s_{o}").contains(".")
                                            & (F.col(f"_d_{o}") == F.floor(F.col(f"_d_{o}")))
                                            & (F.abs(F.col(f"_d_{o}")) < 1e15),

@@ -17,10 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.constants import FISCAL_MONTHS, RAW_MONTH_COLUMNS, UNIT_EXEMPT
-from ..functions.text import with_canonical_agency, normalize_code, with_derived_codes, with_normalized
+from ..functions.text import to_number, with_canonical_agency, normalize_code, with_derived_codes, with_normalized
 
 MASTER_KEYS = ["BUREAU", "OMB_ACCT", "LINENO", "DERIVED_FY1", "DERIVED_FY2", "DERIVED_ALLOC"]
 OPTIONAL_KEYS = ["TRACCT", "TRAG"]
+# Keys that can be NULL in a raw ledger. The derived codes are never NULL
+# (blank is ''), and leaving them out of the NULL filter keeps Catalyst from
+# pushing that filter below (and duplicating) the code derivation.
+NULLABLE_KEYS = ["BUREAU", "OMB_ACCT", "LINENO", "TRACCT", "TRAG"]
 
 
 def skip_files(df: DataFrame, skip: DataFrame, col: str = "Source_File") -> DataFrame:
@@ -84,7 +88,7 @@ def file_agency(df: DataFrame, raw_col: str = "AGENCY_TITLE", order_col: str = "
 
 def standard_lines(df: DataFrame, lo: int = 1000, hi: int = 9999, col: str = "LINENO") -> DataFrame:
     """Keep rows whose line number parses and lies in [lo, hi]."""
-    n = F.col(col).try_cast("double")
+    n = to_number(F.col(col))
     return df.where(n.isNotNull() & (n >= lo) & (n <= hi))
 
 
@@ -146,7 +150,7 @@ def _first_non_null(c: str, order_col: str) -> Column:
 
 def aggregate_ledger(df: DataFrame, keys: list[str] | None = None, months=FISCAL_MONTHS,
                      first_cols=("TAFS", "AGENCY_TITLE"), order_col: str = "ordinal",
-                     month_col: str = "month", amount_col: str = "amount") -> DataFrame:
+                     month_col: str = "month", amount_col: str = "amount", extra_aggs=()) -> DataFrame:
     """Long ledger -> wide master, one row per (fiscal_year, file, keys).
 
     Month columns are conditional sums (a month without rows sums to 0);
@@ -156,11 +160,52 @@ def aggregate_ledger(df: DataFrame, keys: list[str] | None = None, months=FISCAL
     """
     keys = list(keys or MASTER_KEYS) + [k for k in OPTIONAL_KEYS if k in df.columns and k not in (keys or [])]
     group = ["fiscal_year", "Source_File"] + keys
-    aggs = [F.coalesce(F.sum(F.when(F.col(month_col) == m, F.col(amount_col))),
-                       F.lit(0)).cast("decimal(38,2)").alias(m) for m in months]
+    # exact sums in long cents (cheap fixed-width buffers), back to decimal once
+    cents = (F.col(amount_col) * 100).cast("long")
+    aggs = [(F.coalesce(F.sum(F.when(F.col(month_col) == m, cents)), F.lit(0)).cast("decimal(38,0)")
+             / F.lit(100)).cast("decimal(38,2)").alias(m) for m in months]
     aggs += [_first_non_null(c, order_col).alias(c) for c in first_cols if c in df.columns]
     aggs.append(F.count(F.lit(1)).alias("source_rows"))
-    return df.groupBy(*group).agg(*aggs)
+    return df.groupBy(*group).agg(*aggs, *extra_aggs)
+
+
+CODE_PAIRS = [("FY1", "DERIVED_FY1"), ("FY2", "DERIVED_FY2"), ("ALLOC", "DERIVED_ALLOC")]
+CHECK_COLUMNS = [f"{g.lower()}_{k}" for g, _ in CODE_PAIRS for k in ("tested", "matched")]
+
+
+def aggregate_with_checks(coded: DataFrame, order_col: str = "ordinal") -> DataFrame:
+    """E1 over *all* raw rows plus what the per-file steps need, in one pass.
+
+    Adds per group: ``_agency_first`` = (ordinal, agency text) of the first row
+    with an agency, and tested/matched counts of the given-vs-derived code
+    check (E9). Filtering lines and NULL keys afterwards is exact because
+    LINENO and the keys are group keys.
+    """
+    pairs = [(g, d) for g, d in CODE_PAIRS if g in coded.columns]
+    normed = with_normalized(coded, {f"_n_{c}": c for p in pairs for c in p})
+    extra = [F.min(F.when(F.col("AGENCY_TITLE").isNotNull(),
+                          F.struct(F.col(order_col).alias("ord"), F.col("AGENCY_TITLE").alias("agency"))))
+             .alias("_agency_first")]
+    for g, d in pairs:
+        t = F.col(f"_n_{g}") != ""
+        extra += [F.count_if(t).alias(f"{g.lower()}_tested"),
+                  F.count_if(t & (F.col(f"_n_{g}") == F.col(f"_n_{d}"))).alias(f"{g.lower()}_matched")]
+    return aggregate_ledger(normed, extra_aggs=extra)
+
+
+def file_check_rates(groups: DataFrame) -> DataFrame:
+    """E9 at file level from group-level counts: match % per code, rejected flag."""
+    present = [g for g, _ in CODE_PAIRS if f"{g.lower()}_tested" in groups.columns]
+    out = groups.groupBy("Source_File").agg(
+        F.sum("source_rows").alias("rows"),
+        *[F.sum(f"{g.lower()}_{k}").alias(f"{g.lower()}_{k}") for g in present for k in ("tested", "matched")])
+    rejected = F.lit(False)
+    for g in present:
+        t, m = F.col(f"{g.lower()}_tested"), F.col(f"{g.lower()}_matched")
+        out = out.withColumn(f"{g.lower()}_match_pct",
+                             F.when(t > 0, m.cast("double") * 100.0 / t).otherwise(F.lit(100.0)))
+        rejected = rejected | (m < t)
+    return out.withColumn("rejected", rejected)
 
 
 def pivot_months(df: DataFrame, keys: list[str], months: list[str], month_col: str = "month",

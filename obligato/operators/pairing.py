@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import FISCAL_MONTHS, LINE_BUDGET_AUTHORITY, LINE_UNOBLIGATED, NEAR_ZERO_M, OIA
 from ..functions.money import fmt_money, fmt_pct, pct_account, round1, to_millions
-from ..functions.text import account_name, with_components
+from ..functions.text import account_name, to_number, with_components
 
 SUMMARY_COLUMNS = ["Month", "Fiscal_Year", "Agency", "Bureau", "Account", "Account_Number",
                    "Period_of_Performance", "Expiration_Year", "TAFS",
@@ -27,7 +27,7 @@ DISPLAY_COLUMNS = ["Unobligated Balance (Line 2490)", "Budget Authority (Line 25
 
 def select_line(master: DataFrame, line: int, col: str = "LINENO") -> DataFrame:
     """Rows of one report line after numeric coercion."""
-    return master.where(F.col(col).try_cast("double") == float(line))
+    return master.where(to_number(F.col(col)) == float(line))
 
 
 def split_oia(master: DataFrame, keep_oia: bool = False) -> DataFrame:

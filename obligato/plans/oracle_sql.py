@@ -234,7 +234,7 @@ SELECT fy AS fiscal_year, {_CAL}[month(l_shipdate)] AS month, r_name AS AGENCY_T
        CASE WHEN even THEN CAST(n_nationkey AS VARCHAR) ELSE agency_code END AS ALLOC,
        CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
        r_name || '_' || CAST(fy AS VARCHAR) AS Source_File,
-       {{'o': l_orderkey, 'ln': l_linenumber, 'p': l_partkey, 's': l_suppkey, 'd': l_shipdate, 'e': l_extendedprice}} AS ordinal
+       l_orderkey * 8 + l_linenumber AS ordinal
 FROM ledger_g""")
 
 cte("ledger_files", ["ledger"], "SELECT DISTINCT Source_File, AGENCY_TITLE FROM ledger")

@@ -10,9 +10,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import clean_text
-from ..operators.ingest import (MASTER_KEYS, aggregate_ledger, apply_units, derive_codes,
-                                detect_units, drop_null_keys, file_agency, match_rate,
+from ..functions.constants import FISCAL_MONTHS
+from ..session import materialize
+from ..functions.text import clean_text, with_canonical_agency
+from ..operators.ingest import (CHECK_COLUMNS, NULLABLE_KEYS, aggregate_with_checks, apply_units,
+                                derive_codes, detect_units, drop_null_keys, file_check_rates,
                                 skip_files, standard_lines)
 from ..operators.months import available_months, latest_month
 from ..operators.pairing import (drop_near_zero, pair_lines, split_oia, summarize_pairs,
@@ -40,17 +42,34 @@ def coded_ledger(raw: DataFrame) -> DataFrame:
 
 def build_master(spark: SparkSession, sf_dir: str, skip: list[str] | None = None,
                  reject_mismatches: bool = True) -> DataFrame:
-    """Prepared ledger -> line filter -> derived codes -> NULL-key drop ->
-    aggregate -> match-rate gate -> agency per file -> text clean-up."""
-    raw = prepared_ledger(spark, sf_dir, skip)
-    coded = coded_ledger(raw)
-    master = aggregate_ledger(drop_null_keys(coded, MASTER_KEYS))
+    """P1 in one pass over the raw ledger.
+
+    The only full-data step is one hash aggregate of *all* raw rows by
+    (year, file, keys) that also carries, per group, the first agency text
+    and the code-check counts. Line number and derived codes are group keys,
+    so the line filter (C1), the NULL-key drop (C2), the per-file code check
+    (E9), the per-file agency (B5) and the unit scaling (B2/B3, linear over
+    exact decimal sums) all run on the aggregate instead of the raw rows.
+    """
+    raw = ledger_rows(spark, sf_dir)
+    skip_df = spark.createDataFrame([(s,) for s in (skip if skip is not None else DEFAULT_SKIP)],
+                                    "Source_File string")
+    groups = materialize(aggregate_with_checks(derive_codes(skip_files(raw, skip_df))))
+
+    std = drop_null_keys(standard_lines(groups), NULLABLE_KEYS)
+    files = groups.groupBy("Source_File").agg(F.min("_agency_first").alias("_first"))
+    agency = (files.select("Source_File", F.col("_first.agency").alias("AGENCY_TITLE"))
+              .transform(lambda x: with_canonical_agency(x, "AGENCY_TITLE", "Agency")))
+    units = detect_units(unit_notes(agency.select("Source_File", "AGENCY_TITLE")))
+    master = std
     if reject_mismatches:
-        # rejection is per file, so it is applied to the (much smaller)
-        # aggregated rows; the result equals filtering the raw rows first
-        rejected = match_rate(coded).where("rejected").select("Source_File")
-        master = master.join(rejected, "Source_File", "left_anti")
-    master = master.join(file_agency(raw), "Source_File")
+        master = master.join(file_check_rates(std).where("rejected").select("Source_File"),
+                             "Source_File", "left_anti")
+    master = (master.join(agency.select("Source_File", "Agency"), "Source_File")
+              .join(units, "Source_File", "left"))
+    mult = F.coalesce(F.col("unit_multiplier"), F.lit(1))
+    master = master.withColumns({m: (F.col(m) * mult).cast("decimal(38,2)") for m in FISCAL_MONTHS})
+    master = master.drop("unit_multiplier", "_agency_first", *CHECK_COLUMNS)
     return master.withColumns({c: clean_text(F.col(c)) for c in TEXT_COLUMNS if c in master.columns})
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: UTC timestamps, AQE (coalesce + skew join) and
 # ANSI mode (bad casts raise, so every lenient conversion goes through try_*).
@@ -18,6 +18,9 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # HotSpot does not JIT methods above 8000 bytes; larger fused stages run
+    # better split per operator than interpreted
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -55,3 +58,14 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
         spark.conf.set("spark.checkpoint.dir", base)
     spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/") + "/" + sub.strip("/")
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut lineage of an intermediate that several branches reuse.
+
+    Writes a reliable checkpoint under ``spark.checkpoint.dir`` (shared storage
+    on a cluster, so it survives executor loss); branches then read it
+    instead of recomputing the raw scan once per branch.
+    """
+    shared_dir(df.sparkSession, "ckpt")
+    return df.checkpoint(eager=True)
