@@ -70,7 +70,8 @@ def build_master(spark: SparkSession, sf_dir: str, skip: list[str] | None = None
     mult = F.coalesce(F.col("unit_multiplier"), F.lit(1))
     master = master.withColumns({m: (F.col(m) * mult).cast("decimal(38,2)") for m in FISCAL_MONTHS})
     master = master.drop("unit_multiplier", "_agency_first", *CHECK_COLUMNS)
-    return master.withColumns({c: clean_text(F.col(c)) for c in TEXT_COLUMNS if c in master.columns})
+    # the master is a published table read by several branches: cut lineage here
+    return materialize(master.withColumns({c: clean_text(F.col(c)) for c in TEXT_COLUMNS if c in master.columns}))
 
 
 def _finish(pairs: DataFrame, near_zero: bool, null_text: str) -> DataFrame:
@@ -81,13 +82,15 @@ def _finish(pairs: DataFrame, near_zero: bool, null_text: str) -> DataFrame:
 
 
 def year_summary_from(master: DataFrame) -> DataFrame:
-    """P2 body: pair lines at each year's latest month; near-zero rows kept."""
-    return _finish(pair_lines(split_oia(master), latest_month(master)), False, "0.0")
+    """P2 body: pair lines at each year's latest month; near-zero rows kept.
+    Materialised: it is the published table every explorer reads."""
+    return materialize(_finish(pair_lines(split_oia(master), latest_month(master)), False, "0.0"))
 
 
 def monthly_summary_from(master: DataFrame) -> DataFrame:
-    """P3 body: pair lines for every month with data; near-zero rows dropped."""
-    return _finish(pair_lines(split_oia(master), available_months(master)), True, "")
+    """P3 body: pair lines for every month with data; near-zero rows dropped.
+    Materialised: it is the published table every explorer reads."""
+    return materialize(_finish(pair_lines(split_oia(master), available_months(master)), True, ""))
 
 
 def year_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
