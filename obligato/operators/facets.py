@@ -51,14 +51,11 @@ def clear_stale_filters(spark: SparkSession, selection: dict, facet_values: Data
     hit = sel.join(offered, ["facet", "selected"], "left_semi").withColumn("kept", F.col("selected"))
     miss = sel.join(offered, ["facet", "selected"], "left_anti")
     if default_expiration is not None:
-        dflt = (offered.where((F.col("facet") == "expiration") & (F.col("selected") == default_expiration))
-                .select(F.lit(True).alias("_has")).limit(1))
-        miss = (miss.crossJoin(F.broadcast(dflt.unionByName(
-                    miss.sparkSession.createDataFrame([(False,)], "_has boolean"))
-                    .agg(F.max("_has").alias("_has"))))
-                .withColumn("kept", F.when((F.col("facet") == "expiration") & F.col("_has"),
-                                           F.lit(default_expiration)))
-                .drop("_has"))
+        offered_default = (offered.where((F.col("facet") == "expiration")
+                                         & (F.col("selected") == default_expiration))
+                           .select(F.count(F.lit(1)) > 0).scalar())
+        miss = miss.withColumn("kept", F.when((F.col("facet") == "expiration") & offered_default,
+                                              F.lit(default_expiration)))
     else:
         miss = miss.withColumn("kept", F.lit(None).cast("string"))
     return hit.unionByName(miss)

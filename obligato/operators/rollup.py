@@ -181,8 +181,11 @@ def bubble_scale(df: DataFrame, lo: float = 5.0, hi: float = 40.0, ba: str = "bu
     x position = pct on a 0-100 axis. The max is a one-row (per group) aggregate."""
     pos = df.where(F.col(ba) > 0)
     group = group or []
-    mx = pos.groupBy(*group).agg(F.max(ba).alias("_max"))
-    joined = pos.join(F.broadcast(mx), group) if group else pos.crossJoin(F.broadcast(mx))
+    if group:
+        mx = pos.groupBy(*group).agg(F.max(ba).alias("_max"))   # one row per group
+        joined = pos.join(F.broadcast(mx), group)
+    else:
+        joined = pos.withColumn("_max", pos.select(F.max(ba)).scalar())
     return (joined.withColumn("radius", F.lit(lo) + F.lit(hi - lo) * F.sqrt(F.col(ba) / F.col("_max")))
             .withColumn("x", F.col(pct) / F.lit(100.0)).drop("_max"))
 
