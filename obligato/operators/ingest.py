@@ -27,6 +27,10 @@ OPTIONAL_KEYS = ["TRACCT", "TRAG"]
 NULLABLE_KEYS = ["BUREAU", "OMB_ACCT", "LINENO", "TRACCT", "TRAG"]
 
 
+# numeric columns added by the scan itself (never money)
+NOT_AMOUNTS = {"fiscal_year", "ordinal"}
+
+
 def skip_files(df: DataFrame, skip: DataFrame, col: str = "Source_File") -> DataFrame:
     """A2: drop rows of files on a skip list (left anti join on the file name)."""
     return df.join(skip.select(F.col(col)).distinct(), col, "left_anti")
@@ -64,7 +68,7 @@ def apply_units(df: DataFrame, units: DataFrame, exempt=UNIT_EXEMPT, col_types=N
     mult = F.coalesce(F.col("unit_multiplier"), F.lit(1))
     cols = {}
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.NumericType) and f.name not in exempt and f.name != "fiscal_year":
+        if isinstance(f.dataType, T.NumericType) and f.name not in exempt and f.name not in NOT_AMOUNTS:
             cols[f.name] = (F.col(f.name) * mult).cast(f.dataType)
     return joined.withColumns(cols).drop("unit_multiplier")
 
@@ -73,7 +77,7 @@ def apply_fixed_units(df: DataFrame, factor: int = 1000, exempt=UNIT_EXEMPT) ->
     """Every numeric, non-exempt column times a literal factor."""
     cols = {f.name: (F.col(f.name) * F.lit(factor)).cast(f.dataType)
             for f in df.schema.fields
-            if isinstance(f.dataType, T.NumericType) and f.name not in exempt and f.name != "fiscal_year"}
+            if isinstance(f.dataType, T.NumericType) and f.name not in exempt and f.name not in NOT_AMOUNTS}
     return df.withColumns(cols)
 
 

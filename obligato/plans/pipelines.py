@@ -99,3 +99,21 @@ def year_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def monthly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return monthly_summary_from(build_master(spark, sf_dir))
+
+
+def build_one_month_files(spark: SparkSession, sf_dir: str, year: int = 2017,
+                          months: tuple[str, ...] = ("Nov", "Jul", "Aug")) -> DataFrame:
+    """One-month files (B4 fixed x1000 units, B5, C1, E2 3-key aggregate per
+    file, E3 pivot to one row per (bureau, account, line, agency) with one
+    column per month, missing months 0). The fixture's files are agency x month
+    slices of one fiscal year."""
+    from ..operators.ingest import apply_fixed_units, file_agency, pivot_months
+    raw = ledger_rows(spark, sf_dir).where((F.col("fiscal_year") == year) & F.col("month").isin(list(months)))
+    raw = raw.withColumn("Source_File", F.concat_ws("_", "AGENCY_TITLE", F.lit(str(year)), "month"))
+    raw = apply_fixed_units(raw, 1000)
+    per_file = (standard_lines(raw).groupBy("Source_File", "month", "BUREAU", "OMB_ACCT", "LINENO")
+                .agg(F.sum("amount").cast("double").alias("amount"), F.min("ordinal").alias("ordinal")))
+    j = per_file.join(file_agency(raw), "Source_File")
+    out = pivot_months(j.withColumn("ordinal", F.col("Source_File")), ["BUREAU", "OMB_ACCT", "LINENO", "Agency"],
+                       list(months))
+    return out.withColumn("Source_File", F.lit(f"{year}_Combined"))
