@@ -304,3 +304,18 @@ FROM (SELECT DISTINCT Fiscal_Year, Month FROM monthly) ORDER BY Fiscal_Year, mon
 def q_list_periods(spark, d):
     """Catalogue of (year, month) in fiscal order with the latest month flagged."""
     return list_periods(monthly(spark, d))
+
+
+@register("agency_table", Y + f"""
+, per AS (SELECT Fiscal_Year, Agency, {_esum('Budget_Authority_M')} AS budget_authority,
+                 {_esum('Unobligated_Balance_M')} AS unobligated, count(*) AS accounts FROM yearly GROUP BY 1, 2),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY Fiscal_Year ORDER BY budget_authority DESC, Agency) AS INTEGER)
+                 AS rank FROM per),
+folded AS (SELECT Fiscal_Year, CASE WHEN rank <= 3 THEN Agency ELSE 'All Other' END AS Agency,
+                  {_esum('budget_authority')} AS budget_authority, {_esum('unobligated')} AS unobligated,
+                  CAST(sum(accounts) AS BIGINT) AS accounts, min(rank) AS rank FROM ranked GROUP BY 1, 2)
+SELECT *, {S.round1('CASE WHEN budget_authority <> 0 THEN unobligated / budget_authority * 100.0 END')} AS pct_unobligated
+FROM folded""")
+def q_agency_table(spark, d):
+    """Per-year agency table, top three by budget and an 'All Other' row."""
+    return R.agency_table(yearly(spark, d), 3)
