@@ -177,7 +177,7 @@ CODE_PAIRS = [("FY1", "DERIVED_FY1"), ("FY2", "DERIVED_FY2"), ("ALLOC", "DERIVED
 CHECK_COLUMNS = [f"{g.lower()}_{k}" for g, _ in CODE_PAIRS for k in ("tested", "matched")]
 
 
-def aggregate_with_checks(coded: DataFrame, order_col: str = "ordinal") -> DataFrame:
+def aggregate_with_checks(coded: DataFrame, order_col: str = "ordinal", mergeable: bool = False) -> DataFrame:
     """E1 over *all* raw rows plus what the per-file steps need, in one pass.
 
     Adds per group: ``_agency_first`` = (ordinal, agency text) of the first row
@@ -190,6 +190,10 @@ def aggregate_with_checks(coded: DataFrame, order_col: str = "ordinal") -> DataF
     extra = [F.min(F.when(F.col("AGENCY_TITLE").isNotNull(),
                           F.struct(F.col(order_col).alias("ord"), F.col("AGENCY_TITLE").alias("agency"))))
              .alias("_agency_first")]
+    if mergeable:   # keep the ordering of the first symbol so partial groups merge exactly
+        extra.append(F.min(F.when(F.col("TAFS").isNotNull(),
+                                  F.struct(F.col(order_col).alias("ord"), F.col("TAFS").alias("tafs"))))
+                     .alias("_tafs_first"))
     for g, d in pairs:
         t = F.col(f"_n_{g}") != ""
         extra += [F.count_if(t).alias(f"{g.lower()}_tested"),

@@ -55,7 +55,12 @@ def build_master(spark: SparkSession, sf_dir: str, skip: list[str] | None = None
     skip_df = spark.createDataFrame([(s,) for s in (skip if skip is not None else DEFAULT_SKIP)],
                                     "Source_File string")
     groups = materialize(aggregate_with_checks(derive_codes(skip_files(raw, skip_df))))
+    return master_from_groups(groups, reject_mismatches)
 
+
+def master_from_groups(groups: DataFrame, reject_mismatches: bool = True) -> DataFrame:
+    """Everything after the single raw pass: line filter, NULL keys, per-file
+    code check, agency and units, text clean-up (all on the aggregate)."""
     std = drop_null_keys(standard_lines(groups), NULLABLE_KEYS)
     files = groups.groupBy("Source_File").agg(F.min("_agency_first").alias("_first"))
     agency = (files.select("Source_File", F.col("_first.agency").alias("AGENCY_TITLE"))

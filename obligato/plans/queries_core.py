@@ -35,3 +35,19 @@ def q_build_master(spark, sf_dir):
     """The wide master table (months as double for comparison)."""
     m = build_master(spark, sf_dir)
     return m.select(*_MASTER_COLS, *[F.col(x).cast("double").alias(x) for x in S.FISCAL_MONTHS])
+
+
+@register("stream_master", S.with_ctes("master") + f"SELECT {', '.join(_MASTER_COLS)}, {_M} FROM master")
+def q_stream_master(spark, sf_dir):
+    """Month partitions ingested by a file-source stream (foreachBatch, availableNow),
+    merged and finished into the master: must equal the batch master."""
+    from ..session import shared_dir
+    from ..sources.fixture import ledger_rows
+    from ..streaming import months as ST
+    from .pipelines import master_from_groups
+    import uuid
+    base = shared_dir(spark, f"stream-{uuid.uuid4().hex[:8]}")
+    src = ST.write_month_partitions(ledger_rows(spark, sf_dir), f"{base}/raw")
+    ST.ingest_stream(spark, src, f"{base}/groups", f"{base}/checkpoint")
+    m = master_from_groups(ST.streamed_groups(spark, f"{base}/groups"))
+    return m.select(*_MASTER_COLS, *[F.col(x).cast("double").alias(x) for x in S.FISCAL_MONTHS])
