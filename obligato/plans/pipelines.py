@@ -92,10 +92,14 @@ def year_summary_from(master: DataFrame) -> DataFrame:
     return materialize(_finish(pair_lines(split_oia(master), latest_month(master)), False, "0.0"))
 
 
-def monthly_summary_from(master: DataFrame) -> DataFrame:
-    """P3 body: pair lines for every month with data; near-zero rows dropped.
-    Materialised: it is the published table every explorer reads."""
-    return materialize(_finish(pair_lines(split_oia(master), available_months(master)), True, ""))
+def monthly_summary_from(master: DataFrame, months: list[str] | None = None) -> DataFrame:
+    """P3 body: pair lines for every month with data (or only ``months``);
+    near-zero rows dropped. Materialised: it is the published table every
+    explorer reads. Restricting months prunes the pairing itself."""
+    avail = available_months(master)
+    if months:
+        avail = avail.where(F.col("month").isin(months))
+    return materialize(_finish(pair_lines(split_oia(master), avail), True, ""))
 
 
 def year_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
