@@ -84,3 +84,13 @@ def test_fund_type(spark):
     df = _df(spark, cases, "v string, want string")
     for r in df.select("want", T.fund_type(F.col("v")).alias("f")).collect():
         assert r.f == r.want
+
+
+def test_rename_months_coalesces_quarter_end(spark):
+    from obligato.operators.ingest import rename_months
+    df = spark.createDataFrame([(1.0, None, 3.0, 4.0), (None, 2.0, 5.0, None)],
+                               "AMT_OCT double, AMT_DEC double, AMT1 double, AMT4 double")
+    out = rename_months(df)
+    assert set(out.columns) == {"Oct", "Dec", "Sep"}
+    rows = sorted(out.collect(), key=lambda r: r.Dec)
+    assert [(r.Oct, r.Dec, r.Sep) for r in rows] == [(None, 2.0, None), (1.0, 3.0, 4.0)]
