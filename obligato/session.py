@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files go when the DataFrame that reads them is collected
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # HotSpot does not JIT methods above 8000 bytes; larger fused stages run
     # better split per operator than interpreted
     "spark.sql.codegen.hugeMethodLimit": "8000",
@@ -50,13 +52,19 @@ def shared_dir(spark: SparkSession, sub: str) -> str:
     """A folder under the cluster's shared checkpoint location.
 
     ``spark.checkpoint.dir`` names the shared folder on a cluster; it is read
-    from the session and only set here when unset (tests, local runs).
+    from the session. Only a ``local*`` master (tests, local runs) may leave it
+    unset: there one folder per session is made, elsewhere this raises, because
+    executors would write to disks that the others cannot read.
     """
+    sc = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="obligato-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="obligato-ckpt-")
         spark.conf.set("spark.checkpoint.dir", base)
-    spark.sparkContext.setCheckpointDir(base)
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return base.rstrip("/") + "/" + sub.strip("/")
 
 
