@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import simhash
-from .common import table
+from . import decontaminate, mixing, simhash, token_files, warc
+from .common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -26,3 +27,77 @@ def register(name: str, sql: str | None = None):
 def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document (4-word shingles, 4 bits)."""
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, max_distance=4, seed=42)
+
+
+#: Start and end weights of the curriculum's sources; they integrate to 1, 2 and 3.
+SLOPES = [(0.5, 1.5), (2.0, 2.0), (4.5, 1.5)]
+
+_MIX_SQL = r"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
+                  md5('mix' || coalesce(doc_id::VARCHAR, '')) AS k FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+n AS (SELECT *, (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 AS i FROM s),
+w AS (SELECT source, source_size, source_size * 3 AS lim, [0.5, 2.0, 4.5][i + 1]::DOUBLE AS w0, [1.5, 2.0, 1.5][i + 1]::DOUBLE AS w1,
+             (i + 1)::DOUBLE AS weight FROM n),
+f AS (SELECT *, lim / weight <= (sum(source_size) OVER () - coalesce(sum(lim) OVER b, 0))
+                               / (sum(weight) OVER () - coalesce(sum(weight) OVER b, 0)) AS filled
+      FROM w WINDOW b AS (ORDER BY lim / weight, source ASC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t AS (SELECT *, CASE WHEN filled THEN lim::DOUBLE ELSE least(
+             (sum(source_size) OVER () - sum(CASE WHEN filled THEN lim ELSE 0 END) OVER ())::DOUBLE * weight
+             / sum(CASE WHEN filled THEN 0.0::DOUBLE ELSE weight END) OVER (), lim::DOUBLE) END AS target FROM f),
+p AS (SELECT d.*, t.source_size, t.target, t.w0, t.w1,
+             coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS before,
+             CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS whole
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+c AS (SELECT *, whole + CASE WHEN source_size > 0 AND whole < 3 AND before + size / 2.0::DOUBLE <= target - whole * source_size THEN 1 ELSE 0 END AS copies,
+             least((before + size / 2.0::DOUBLE) / nullif(target, 0), 1.0::DOUBLE) * ((w0 + w1) / 2) AS done FROM p)
+SELECT doc_id, size, source_size, target, (copies * size)::BIGINT AS taken,
+       CASE WHEN copies > 0 AND target > 0 THEN CASE WHEN w1 = w0 THEN done / w0
+            ELSE (sqrt(w0 * w0 + 2 * (w1 - w0) * done) - w0) / (w1 - w0) END END AS first_position
+FROM c
+"""
+
+
+@register("op6_mixing", _MIX_SQL)
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words taken of every document when sources are mixed by weights 1, 2, 3 in turn, at most three epochs."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count(F.col("text")).alias("size"))
+    planned = mixing.first_positions(mixing.plan(docs, SLOPES, max_epochs=3))
+    return (planned.select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "first_position")
+            .orderBy(F.col("first_position").asc_nulls_last(), "doc_id"))
+
+
+@register("op9_decontamination")
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a 10-word window of a benchmark item, and the items found."""
+    found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.concat_ws(",", F.array_sort("items")), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def token_table(docs: DataFrame, name: str = "word_bpe_49k.json", end_id: int = 2) -> DataFrame:
+    """Write ``docs`` as token files in the shared folder and list the documents from them."""
+    import public_tokenizers
+
+    spark = docs.sparkSession
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        tokenizer = f.read()
+    path = new_path(spark, "tokens")
+    token_files.write_token_files(docs, tokenizer, path, end_id, split_words=True)
+    return token_files.read_token_files(spark, path)
+
+
+@register("op10_token_files")
+def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start, length and CRC-32 of every document's ids, read back from the Arrow files."""
+    return token_table(table(spark, sf_dir, "documents"))
+
+
+@register("op8_warc")
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's WARC record, read back from the archives written of ``pages``."""
+    path = new_path(spark, "warc")
+    warc.write_archives(table(spark, sf_dir, "pages"), path, least_bytes=0)
+    return warc.read_archives(spark, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
