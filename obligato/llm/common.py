@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import uuid
 
@@ -37,6 +38,12 @@ def new_path(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps whose results have been written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` as Parquet in the shared folder and read it back.
 
