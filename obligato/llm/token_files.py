@@ -12,8 +12,11 @@ from __future__ import annotations
 
 import io
 import json
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -27,44 +30,79 @@ from .common import bound_batches, written
 #: Text bytes that go into one file, on average; a file is built and read in a worker's memory.
 FILE_BYTES = 8 << 20
 SEQUENCE, BATCH = 1024, 256
-#: Distinct words whose ids a worker remembers; beyond that it starts anew.
-CACHE = 400_000
-_CACHES: dict[int, dict[bytes, bytes]] = {}
+#: Words whose ids a worker remembers before it starts a new generation; it looks up one generation back.
+CACHE = 250_000
+#: Texts encoded at once.
+TEXTS = 256
+#: Stands between words that are encoded in one call.
+_MARK = "\x01"
+_LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
 
 
 class Encoder:
     """Token ids of whole texts as little-endian bytes.
 
-    ``split_words`` encodes each distinct word (run without ASCII white space) once. That gives the
-    ids of the whole text for tokenizers that drop white space and whose pieces never span it
-    (tests compare both); others need the default.
+    ``split_words`` encodes each word (run without ASCII white space) once and remembers it. That
+    gives the ids of the whole text for tokenizers that lower-case, drop white space and part letters from
+    punctuation, so that no piece spans two words or a word and the comma or full stop behind it (tests compare
+    both ways); other tokenizers need the default.
     """
 
     def __init__(self, tokenizer_json: str, split_words: bool = False):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share out the cores
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
-        self.split_words, key = split_words, hash(tokenizer_json)
-        self.known = _CACHES.setdefault(key, {})
+        self.split_words = split_words
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        mark = self._ids([_MARK.encode()])[0]
+        self.mark = np.frombuffer(mark, self.dtype)[0] if len(mark) == self.dtype.itemsize else None
 
     def _ids(self, texts: list[bytes]) -> list[bytes]:
         strings = [t.decode("utf-8", "replace") for t in texts]
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
 
-    def __call__(self, text: bytes | None) -> bytes:
-        if not text:
-            return b""
+    def _word_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word; one call for all, parted by the ids of the mark."""
+        if self.mark is None or any(_MARK.encode() in w for w in words):
+            return self._ids(words)
+        ids = self._ids([f" {_MARK} ".encode().join(words)])[0]
+        size = self.dtype.itemsize
+        at = np.flatnonzero(np.frombuffer(ids, self.dtype) == self.mark) * size
+        return [ids[a:b] for a, b in zip([0, *(at + size).tolist()], [*at.tolist(), len(ids)], strict=True)]
+
+    def _learn(self, words: set[bytes]) -> None:
+        if len(self.young) + len(words) > CACHE:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        young.update((w, old[w]) for w in words if w in old)
+        parts = {w: (w[:-1], w[-1:]) if len(w) > 1 and w[-1] in b".," and w[-2] in _LETTERS else (w,) for w in words if w not in young}
+        new = [p for p in {p for ps in parts.values() for p in ps} if p not in young and p not in old]
+        young.update(zip(new, self._word_ids(new), strict=True) if new else ())
+        for word, ps in parts.items():
+            young[word] = b"".join(young[p] if p in young else old[p] for p in ps)
+
+    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         if not self.split_words:
-            return self._ids([text])[0]
-        words = text.split()
-        new = list(set(words).difference(self.known))
-        if new:
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-                new = list(set(words))
-            self.known.update(zip(new, self._ids(new), strict=True))
-        return b"".join(map(self.known.__getitem__, words))
+            return self._ids([t or b"" for t in texts])
+        # lower-casing might turn other strings into special tokens, which have no upper case
+        words = [((t or b"") if b"<|" in (t or b"") else (t or b"").lower()).split() for t in texts]
+        missing = set(filterfalse(self.young.__contains__, chain.from_iterable(words)))
+        if missing:
+            renewed = self.old
+            self._learn(missing)
+            if self.old is not renewed:
+                self._learn(set(filterfalse(self.young.__contains__, chain.from_iterable(words))))
+        get = self.young.__getitem__
+        return [b"".join(map(get, w)) for w in words]
+
+
+@lru_cache(maxsize=1)
+def encoder(tokenizer_json: str, split_words: bool) -> Encoder:
+    """The worker's encoder, kept from task to task with the words that it remembers."""
+    return Encoder(tokenizer_json, split_words)
 
 
 def _sequences(ids: np.ndarray, length: int) -> pa.Table:
@@ -121,12 +159,13 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, path: str, end_id: i
     shared = spark.sparkContext.broadcast(tokenizer_json)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder(shared.value, split_words)
+        encode = encoder(shared.value, split_words)
         end = np.array([end_id], encode.dtype).tobytes()
         doc_ids, pieces = [], []
         for batch in batches:
             doc_ids.append(batch.column(0))
-            pieces += [encode(t.as_py()) + end for t in batch.column(1)]
+            for i in range(0, batch.num_rows, TEXTS):
+                pieces += [ids + end for ids in encode(batch.column(1)[i:i + TEXTS].to_pylist())]
         if pieces:
             lengths = [len(p) // encode.dtype.itemsize for p in pieces]
             ids = np.frombuffer(b"".join(pieces), encode.dtype)
