@@ -36,8 +36,9 @@ DATE = "2000-01-01T00:00:00Z"
 
 def train_dictionary(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -> bytes:
     """A dictionary trained on a bounded sample of the pages; empty if they are too few to train on."""
-    rows = (pages.select(F.substring(html_col, 1, SAMPLE_CHARS).alias("html"), F.xxhash64(id_col).alias("k"))
-            .where("html <> ''").orderBy("k").limit(SAMPLE_PAGES).collect())
+    keyed = pages.where(F.col(html_col) != "").select(F.xxhash64(id_col, html_col).alias("k"), F.substring(html_col, 1, SAMPLE_CHARS).alias("html"))
+    last = keyed.select("k").orderBy("k").limit(SAMPLE_PAGES).agg(F.max("k")).first()[0]
+    rows = keyed.where(F.col("k") <= last).distinct().collect() if last is not None else []
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, [r.html.encode() for r in rows]).as_bytes() if rows else b""
     except zstandard.ZstdError:
@@ -154,18 +155,21 @@ def frames(data: bytes) -> Iterator[bytes]:
             raise ValueError(f"no frame at byte {at}")
 
 
-def with_first(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """(page_id, url, payload, first): first is the smallest page_id with an equal payload, null for payloads under ``least_bytes``.
+def with_first(pages: DataFrame, partitions: int, least_bytes: int = 0) -> DataFrame:
+    """(page_id, url, payload, first) dealt to ``partitions`` by page and payload.
 
-    Payloads are equal if their SHA-256 and lengths are. Only groups of several pages are joined back.
+    ``first`` is the smallest page_id with an equal payload where that is another page, else null; payloads under
+    ``least_bytes`` have none. Payloads are equal if their SHA-256 and lengths are. Who repeats whom is found without the
+    payloads, so that these are shuffled once.
     """
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
-                        F.coalesce(F.col("html"), F.lit("")).cast("binary").alias("payload"))
-    sha, size = F.sha2("payload", 256), F.octet_length("payload")
-    groups = (rows.where(size >= least_bytes).groupBy(sha.alias("sha"), size.alias("n"))
-              .agg(F.min("page_id").alias("first"), F.count("*").alias("pages")).where("pages > 1").drop("pages"))
-    return (rows.withColumns({"_sha": sha, "_n": size})
-            .join(groups, (F.col("_sha") == F.col("sha")) & (F.col("_n") == F.col("n")), "left")
+    payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
+    rows = rows.withColumns({"id": F.coalesce("page_id", F.lit(-1 << 63)), "sha": F.sha2("payload", 256)})
+    narrow = rows.withColumn("n", F.octet_length("payload")).where(F.col("n") >= least_bytes).select("page_id", "id", "sha")
+    groups = (narrow.groupBy("sha").agg(F.min("page_id").alias("first"), F.count("*").alias("pages")).where("pages > 1")
+              .select("sha", "first"))
+    revisits = narrow.join(groups, "sha").where("NOT page_id <=> first AND first IS NOT NULL").select("id", "sha", "first").distinct()
+    return (rows.repartition(partitions, "id", "sha").join(revisits.repartition(partitions, "id", "sha"), ["id", "sha"], "left")
             .select("page_id", "url", "payload", "first"))
 
 
@@ -191,11 +195,10 @@ def write_archives(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
                 packed, begun = zstandard.ZstdCompressor(level=3).compress(known), True
                 out.append(struct.pack("<II", DICTIONARY_FRAME, len(packed)) + packed)
             for page_id, url, payload, first in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                revisit = first is not None and first != page_id
-                out.append(encoder.compress(record(page_id, url, payload, first, revisit)))
+                out.append(encoder.compress(record(page_id, url, payload, first, first is not None)))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
 
-    rows = with_first(pages, least_bytes).repartition(-(-total // ARCHIVE_BYTES) or 1, F.xxhash64("page_id", "url")).sortWithinPartitions("page_id")
+    rows = with_first(pages, -(-total // ARCHIVE_BYTES) or 1, least_bytes).sortWithinPartitions("page_id")
     write_files(rows.mapInArrow(run, "frame binary"), "frame", path, SEPARATOR)
 
 
