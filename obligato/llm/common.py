@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import os
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,10 @@ from ..session import shared_dir
 #: worker's memory does not depend on how long the texts are.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
 
+_BETWEEN = bytes(b for b in range(128) if not (chr(b).isdigit() or chr(b).isalpha()))
+#: Every ASCII byte that is neither a digit nor a letter becomes a space.
+_SPACED = bytes.maketrans(_BETWEEN, b" " * len(_BETWEEN))
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
@@ -42,6 +47,7 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of steps whose results have been written."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
+    time.sleep(1)  # the cleaner works in the background
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
@@ -54,3 +60,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``written`` that nothing reads any more."""
+    for df in tables:
+        spark, files = df.sparkSession, df.inputFiles()
+        if files:
+            path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def words_of(text: bytes | None) -> list[bytes]:
+    """Lower-cased (A-Z) words: runs of digits, ASCII letters and non-ASCII characters."""
+    return (text or b"").lower().translate(_SPACED).split()

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, release, written
+from .common import bound_batches, discard, release, written
 
 LENGTH, GRAM = 100, 32
 #: Grams inside a string.
@@ -43,22 +43,36 @@ _POSITION = np.uint64((1 << 21) - 1)
 START_BITS, COUNT_BITS, TAG_BITS = 30, 7, 26
 
 
-def _pair(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
-    """Identifier of the bucket of pairs (a, b)."""
-    x = a * np.uint64(0x9E3779B97F4A7C15) + (b ^ np.uint64(salt)) * np.uint64(0xC2B2AE3D27D4EB4F)
+def _mixed(x: np.ndarray) -> np.ndarray:
     x ^= x >> np.uint64(32)
     x *= np.uint64(0xD6E8FEB86659FD93)
     x ^= x >> np.uint64(29)
     return x
 
 
-def buckets(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Identifiers of the 32-, 64- and 100-byte buckets of every start in ``data`` (bytes)."""
+def _pair(a: np.ndarray, b: np.ndarray, salt: int) -> np.ndarray:
+    """Identifier of the bucket of pairs (a, b)."""
+    return _mixed(a * np.uint64(0x9E3779B97F4A7C15) + (b ^ np.uint64(salt)) * np.uint64(0xC2B2AE3D27D4EB4F))
+
+
+def grams(data: np.ndarray) -> np.ndarray:
+    """Identifiers of the 32-byte buckets of every start in ``data`` (bytes): 1 byte, 2, 4 and so on by pairs."""
     ids, size = data.astype(np.uint64) + np.uint64(1), 1
-    while size < GRAM:
-        ids, size = _pair(ids[:-size], ids[size:], size), size * 2
-    double = _pair(ids[:-GRAM], ids[GRAM:], GRAM)
-    return ids, double, _pair(double[:-(LENGTH - 2 * GRAM)], double[LENGTH - 2 * GRAM:], LENGTH)
+    for factor in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xC2B2AE3D27D4EB4F, 0xFF51AFD7ED558CCD):
+        pair = ids[:-size] * np.uint64(factor)
+        pair += ids[size:]
+        ids, size = pair, size * 2
+    return _mixed(ids)
+
+
+def doubles(gram: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Identifiers of the 64-byte buckets at ``at``, from those of the grams there and 32 later."""
+    return _pair(gram[at], gram[at + GRAM], GRAM)
+
+
+def wholes(gram: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Identifiers of the 100-byte buckets at ``at``, from the 64-byte ones there and 36 later."""
+    return _pair(doubles(gram, at), doubles(gram, at + LENGTH - 2 * GRAM), LENGTH)
 
 
 def pieces(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
@@ -81,16 +95,16 @@ def anchors_of(gram: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def runs_of(data: np.ndarray) -> tuple[np.ndarray, ...]:
     """(anchor's bucket, class, first start, number of starts) of all runs: the class tells all their bytes and their distance."""
-    gram, double, _ = buckets(data)
+    gram = grams(data)
     anchor, first, count = anchors_of(gram)
     span = count - 1 + LENGTH - 2 * GRAM
-    ids = _pair(_pair(double[first], double[first + span // 2], 1), double[first + span], 2)
+    ids = _pair(_pair(doubles(gram, first), doubles(gram, first + span // 2), 1), doubles(gram, first + span), 2)
     return gram[anchor], _pair(ids, ((anchor - first) << 8 | count).astype(np.uint64), 3), first, count
 
 
 def blocks_of(data: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
     """(core, class, first start, number of starts) of the blocks of the runs whose first starts are ``wanted``."""
-    gram, double, whole = buckets(data)
+    gram = grams(data)
     anchor, first, count = anchors_of(gram)
     here = np.isin(first, wanted)
     anchor, first, count = anchor[here], first[here], count[here]
@@ -101,15 +115,16 @@ def blocks_of(data: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
     size = np.diff(np.append(cut, len(start)))
     a, b, p, j = start[cut], start[cut] + size - 1, anchor[of[cut]], block[cut]
     at = p - j * BLOCK
-    core = _pair(_pair(double[at], double[at + LENGTH - 2 * GRAM - BLOCK + 1], 4), gram[p] ^ j.astype(np.uint64), 5)
-    ids = _pair(_pair(whole[a], whole[b], 6), ((p - a) << 8 | size).astype(np.uint64), 7)
+    core = _pair(doubles(gram, at), doubles(gram, at + LENGTH - 2 * GRAM - BLOCK + 1), 4)
+    core = _pair(core, gram[p] ^ j.astype(np.uint64), 5)
+    ids = _pair(_pair(wholes(gram, a), wholes(gram, b), 6), ((p - a) << 8 | size).astype(np.uint64), 7)
     return core, ids, a, size
 
 
 def starts_of(data: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, ...]:
     """(gram's bucket, whole string's bucket, start, 1) of single starts."""
-    gram, _, whole = buckets(data)
-    return gram[wanted], whole[wanted], wanted, np.ones(len(wanted), np.int64)
+    gram = grams(data)
+    return gram[wanted], wholes(gram, wanted), wanted, np.ones(len(wanted), np.int64)
 
 
 def _bytes(text: bytes | None) -> np.ndarray:
@@ -187,13 +202,21 @@ def _parts(docs: DataFrame, rows: DataFrame, single: bool) -> DataFrame:
     return _attached(docs, _per_document(rows), "inner").mapInArrow(run, ROWS)
 
 
-def _refined(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(doc, place) of the rows that repeat the first of their class, and of first ones whose bucket h has several classes."""
+def _refined(rows: DataFrame, name: str, last: bool = False) -> tuple[DataFrame, DataFrame | None]:
+    """(doc, place) of the rows that repeat the first of their class, and, but for the last round, of first ones
+    whose bucket h has several classes. ``rows`` is a written table; it is dropped once both results are written.
+    """
+    left = None
     classes = written(rows.groupBy("h", "c").agg(F.min(_order()).alias("first")), f"{name}-classes")
-    mixed = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    later = rows.join(classes, ["h", "c"]).where(_order() > F.col("first")).select("doc", "place")
-    left = rows.join(classes.join(mixed, "h", "left_semi"), ["h", "c"]).where(_order() == F.col("first")).select("doc", "place")
-    return later, left.distinct()
+    later = written(rows.join(classes, ["h", "c"]).where(_order() > F.col("first")).select("doc", "place"), f"{name}-repeats")
+    release(rows.sparkSession)
+    if not last:
+        mixed = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+        left = written(rows.join(classes.join(mixed, "h", "left_semi"), ["h", "c"]).where(_order() == F.col("first"))
+                       .select("doc", "place").distinct(), f"{name}-left")
+    discard(rows, classes)
+    release(rows.sparkSession)
+    return later, left
 
 
 def repeated_starts(docs: DataFrame) -> DataFrame:
@@ -201,17 +224,17 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
 
     Every round is written before the next one, which reads the texts again where it needs their bytes.
     """
-    spark = docs.sparkSession
     runs = _runs(docs)
     several = runs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    rows, repeats = written(runs.join(several, "h").select("h", "c", "doc", "place"), "repeated-runs"), []
-    for single in (False, True):
-        release(spark)
-        later, left = _refined(rows, "runs" if not single else "blocks")
+    rows, repeats = written(runs.join(several, "h").select("h", "c", "doc", "place"), "runs"), []
+    for before, name, single in (("runs", "blocks", False), ("blocks", "starts", True)):
+        release(docs.sparkSession)
+        later, left = _refined(rows, before)
         repeats.append(later)
-        rows = written(_parts(docs, left, single), "starts" if single else "blocks")
-    release(spark)
-    later, _ = _refined(rows, "starts")
+        rows = written(_parts(docs, left, single), name)
+        discard(left)
+    release(docs.sparkSession)
+    later, _ = _refined(rows, "starts", last=True)
     return repeats[0].unionByName(repeats[1]).unionByName(later)
 
 
