@@ -10,25 +10,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches
+from .common import bound_batches, words_of
 from .fmindex import FMIndex
 
 #: Benchmark text handled in one pass over the documents; a larger benchmark takes several.
 BLOCK_BYTES = 16 << 20
 #: Rows of occurrences located at once.
 ROWS = 1 << 20
-_BETWEEN = bytes(b for b in range(128) if not (chr(b).isdigit() or chr(b).isalpha()))
-#: Every ASCII byte that is neither a digit nor a letter becomes a space.
-_SPACED = bytes.maketrans(_BETWEEN, b" " * len(_BETWEEN))
 #: Symbols: 0 ends the shard, 1 stands for what cannot be part of a match, words follow.
 GAP, FIRST_WORD = 1, 2
 
 
-def words_of(text: bytes | None) -> list[bytes]:
-    """Lower-cased (A-Z) words: runs of digits, ASCII letters and non-ASCII characters."""
-    return (text or b"").lower().translate(_SPACED).split()
-
-
 @dataclass
 class Phrases:
     """Windows of a block of benchmark items, by length, and the items that hold them."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, repeats, simhash, token_files, warc
+from . import decontaminate, line_chunks, mixing, repeats, simhash, token_files, toxicity, warc
 from .common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,3 +107,35 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document that a 100-byte string covers which starts earlier, and the digest of the rest."""
     return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+#: Categories that the given labels can tell, in chain order.
+CATEGORIES = {"low_quality": "quality = 0", "toxic": "toxic = 1", "toxic_low_quality": "toxic = 1 AND quality = 0"}
+
+
+@register("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probability of every category for every document, by the chain fitted on ``labels``."""
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.fit_chain(docs, table(spark, sf_dir, "labels"), CATEGORIES)
+    return toxicity.score(docs.select("doc_id", "text"), chain).drop("text")
+
+
+_CHUNK_SQL = r"""
+WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+h AS (SELECT *, ('0x' || substr(md5(line), 1, 8))::BIGINT AS h FROM l),
+c AS (SELECT *, (h + 31 * coalesce(lag(h, 1) OVER w, 0) + 961 * coalesce(lag(h, 2) OVER w, 0)) % 4 = 0 AS cut FROM h WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
+k AS (SELECT *, coalesce(sum(cut::INT) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk FROM c),
+g AS (SELECT doc_id, chunk, min(i) AS start, count(*) AS n, string_agg(line, chr(10) ORDER BY i) AS body FROM k GROUP BY doc_id, chunk),
+r AS (SELECT *, n > 1 AND row_number() OVER (PARTITION BY body, n > 1 ORDER BY doc_id, start) > 1 AS gone FROM g)
+SELECT d.doc_id, coalesce(sum(r.n), 0)::BIGINT AS n_lines, coalesce(sum(CASE WHEN gone THEN r.n ELSE 0 END), 0)::BIGINT AS n_removed,
+       md5(CASE WHEN any_value(d.text) IS NOT NULL THEN coalesce(string_agg(body, chr(10) ORDER BY start) FILTER (WHERE NOT gone), '') END) AS kept_md5
+FROM documents d LEFT JOIN r ON r.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+@register("op7_line_chunks", _CHUNK_SQL)
+def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of every document, lines in chunks that another document has earlier, and the digest of the rest."""
+    out = line_chunks.remove_repeated_chunks(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_lines", "n_removed", F.md5("kept").alias("kept_md5"))
