@@ -13,10 +13,11 @@ from __future__ import annotations
 import io
 import json
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain, filterfalse
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +32,14 @@ from .common import bound_batches, written
 FILE_BYTES = 8 << 20
 SEQUENCE, BATCH = 1024, 256
 #: Words whose ids a worker remembers before it starts a new generation; it looks up one generation back.
-CACHE = 250_000
+CACHE = 350_000
 #: Texts encoded at once.
 TEXTS = 256
 #: Stands between words that are encoded in one call.
-_MARK = "\x01"
+_MARK = b"\x01"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
+#: ASCII punctuation; an apostrophe may begin a piece of its own with letters behind it.
+_PUNCTUATION = bytes(b for b in range(33, 127) if not chr(b).isalnum() and chr(b) != "'")
 
 
 class Encoder:
@@ -44,59 +47,93 @@ class Encoder:
 
     ``split_words`` encodes each word (run without ASCII white space) once and remembers it. That
     gives the ids of the whole text for tokenizers that lower-case, drop white space and part letters from
-    punctuation, so that no piece spans two words or a word and the comma or full stop behind it (tests compare
-    both ways); other tokenizers need the default.
+    punctuation, so that no piece spans two words or a word and the punctuation behind it; ``plain`` does less
+    for words that the normalizer leaves alone. Tests compare with whole texts; other tokenizers need the default.
     """
 
     def __init__(self, tokenizer_json: str, split_words: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share out the cores
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.split_words = split_words
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        mark = self._ids([_MARK.encode()])[0]
-        self.mark = np.frombuffer(mark, self.dtype)[0] if len(mark) == self.dtype.itemsize else None
-
-    def _ids(self, texts: list[bytes]) -> list[bytes]:
-        strings = [t.decode("utf-8", "replace") for t in texts]
-        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)]
-
-    def _word_ids(self, words: list[bytes]) -> list[bytes]:
-        """Ids of each word; one call for all, parted by the ids of the mark."""
-        if self.mark is None or any(_MARK.encode() in w for w in words):
-            return self._ids(words)
-        ids = self._ids([f" {_MARK} ".encode().join(words)])[0]
-        size = self.dtype.itemsize
-        at = np.flatnonzero(np.frombuffer(ids, self.dtype) == self.mark) * size
+        mark = self._ids(self.tokenizer, _MARK.decode())
+        self.mark = int(mark[0]) if len(mark) == 1 else None
+        # the same model on words that are one piece already, spelled in the byte alphabet that the library tells
+        self.plain = Tokenizer.from_str(tokenizer_json)
+        self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        sample = "".join(map(chr, [*range(0x800), *range(0x800, 0xD800, 0x40), *range(0xE000, 0x110000, 0x1000)]))
+        letters = "".join(p for p, _ in pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(sample))
+        self.alphabet = dict(zip(sample.encode(), letters, strict=True)) | {ord(" "): " "}
+
+    def _ids(self, tokenizer, text: str) -> np.ndarray:
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+
+    def _parted(self, tokenizer, words: list[bytes], spelled) -> list[bytes]:
+        """Ids of each word from one call for all, parted by the ids of the mark."""
+        if not words:
+            return []
+        ids = self._ids(tokenizer, spelled(b" \x01 ".join(words)))
+        at, size, ids = np.flatnonzero(ids == self.mark) * self.dtype.itemsize, self.dtype.itemsize, ids.tobytes()
         return [ids[a:b] for a, b in zip([0, *(at + size).tolist()], [*at.tolist(), len(ids)], strict=True)]
 
+    def _word_ids(self, words: list[bytes]) -> dict[bytes, bytes]:
+        if self.mark is None:
+            return {w: self._ids(self.tokenizer, w.decode("utf-8", "replace")).tobytes() for w in words}
+        plain, odd, rest = [], [], []
+        for w in words:
+            if w.isalpha() and w.islower():
+                plain.append(w)
+            elif _MARK in w:
+                odd.append(w)
+            else:
+                u = w.decode("utf-8", "replace")
+                known = u.isalpha() and u == u.lower() and unicodedata.is_normalized("NFC", u)
+                (plain if known else rest).append(w)
+        out = dict(zip(plain, self._parted(self.plain, plain, lambda j: j.decode("latin-1").translate(self.alphabet)), strict=True))
+        out.update(zip(rest, self._parted(self.tokenizer, rest, lambda j: j.decode("utf-8", "replace")), strict=True))
+        return out | {w: self._ids(self.tokenizer, w.decode("utf-8", "replace")).tobytes() for w in odd}
+
     def _learn(self, words: set[bytes]) -> None:
-        if len(self.young) + len(words) > CACHE:
-            self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        young.update((w, old[w]) for w in words if w in old)
-        parts = {w: (w[:-1], w[-1:]) if len(w) > 1 and w[-1] in b".," and w[-2] in _LETTERS else (w,) for w in words if w not in young}
-        new = [p for p in {p for ps in parts.values() for p in ps} if p not in young and p not in old]
-        young.update(zip(new, self._word_ids(new), strict=True) if new else ())
-        for word, ps in parts.items():
-            young[word] = b"".join(young[p] if p in young else old[p] for p in ps)
+        whole, joined = set(), []
+        for w in words:
+            if w in old:
+                young[w] = old[w]
+                continue
+            base = w.rstrip(_PUNCTUATION)
+            if len(base) == len(w) or not base or base[-1] not in _LETTERS or b"<|" in w:
+                whole.add(w)
+            else:
+                joined.append(w)
+                whole.add(base)
+                whole.add(w[len(base):])
+        young.update(self._word_ids([w for w in whole if w not in young and w not in old]))
+        for w in joined:
+            base = w.rstrip(_PUNCTUATION)
+            tail = w[len(base):]
+            young[w] = (young.get(base) or old[base]) + (young.get(tail) or old[tail])
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
         if not self.split_words:
-            return self._ids([t or b"" for t in texts])
+            return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(
+                [(t or b"").decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
         # lower-casing might turn other strings into special tokens, which have no upper case
         words = [((t or b"") if b"<|" in (t or b"") else (t or b"").lower()).split() for t in texts]
-        missing = set(filterfalse(self.young.__contains__, chain.from_iterable(words)))
+        flat = list(chain.from_iterable(words))
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+        ids = list(map(self.young.get, flat))
+        missing = [i for i, x in enumerate(ids) if x is None]
         if missing:
-            renewed = self.old
-            self._learn(missing)
-            if self.old is not renewed:
-                self._learn(set(filterfalse(self.young.__contains__, chain.from_iterable(words))))
-        get = self.young.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+            self._learn({flat[i] for i in missing})
+            for i in missing:
+                ids[i] = self.young[flat[i]]
+        ends = list(accumulate(map(len, words), initial=0))
+        return [b"".join(ids[a:b]) for a, b in pairwise(ends)]
 
 
 @lru_cache(maxsize=1)
@@ -172,8 +209,7 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, path: str, end_id: i
             content = to_file(TaskContext.get().partitionId(), pa.chunked_array(doc_ids), lengths, ids, length)
             yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
-    order = ["doc_id", F.xxhash64("text")]
-    sorted_rows = rows.repartitionByRange(-(-total // FILE_BYTES) or 1, *order).sortWithinPartitions(*order)
+    sorted_rows = rows.repartitionByRange(-(-total // FILE_BYTES) or 1, "doc_id").sortWithinPartitions("doc_id", "text")
     write_files(sorted_rows.mapInArrow(run, "content binary"), "content", path)
 
 
