@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, line_chunks, mixing, repeats, simhash, token_files, toxicity, warc
+from . import ann, decontaminate, licences, line_chunks, mixing, repeats, simhash, token_files, toxicity, warc
 from .common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,30 @@ def op7_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines of every document, lines in chunks that another document has earlier, and the digest of the rest."""
     out = line_chunks.remove_repeated_chunks(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_lines", "n_removed", F.md5("kept").alias("kept_md5"))
+
+
+@register("op4_nearest")
+def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest embeddings found for every row whose vec_id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+def file_tree(docs: DataFrame) -> DataFrame:
+    """``documents`` as files: /source/lang/number/name, 256 to a directory.
+
+    A document of under 2,000 characters that mentions a licence is a licence file; a still shorter one of those
+    stands a directory higher, for all of a source's files in a language.
+    """
+    is_file = F.coalesce(F.col("text").rlike("(?i)licen[cs]e") & (F.length("text") < 2000), F.lit(False))
+    top = F.concat(F.lit("/"), F.coalesce("source", F.lit("_")), F.lit("/"), F.coalesce("lang", F.lit("_")))
+    directory = F.when(is_file & (F.length("text") < 600), top).otherwise(F.concat_ws("/", top, F.expr("CAST(doc_id DIV 256 AS STRING)")))
+    name = F.when(is_file, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat("doc_id", F.lit(".txt")))
+    return docs.select("doc_id", F.concat_ws("/", directory, name).alias("path"), "text")
+
+
+@register("op5_licences")
+def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licence of every document as a file of a tree: its own, or that of the nearest licence file above."""
+    files = file_tree(table(spark, sf_dir, "documents"))
+    return licences.scan(files, licences.fit(files), id_cols=("doc_id",))
