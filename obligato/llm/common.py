@@ -14,6 +14,8 @@ from ..session import shared_dir
 #: Arrow batches handed to Python hold at most so many rows and bytes, so that a
 #: worker's memory does not depend on how long the texts are.
 BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+#: A shuffled join builds hash tables instead of sorting where every partition is known at run time to be smaller.
+HASH_JOIN = "64m"
 
 _BETWEEN = bytes(b for b in range(128) if not (chr(b).isdigit() or chr(b).isalpha()))
 #: Every ASCII byte that is neither a digit nor a letter becomes a space.
@@ -26,7 +28,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Bound the Arrow batches of this session's Python tasks, and let local workers import this package.
+    """Bound the Arrow batches and hash tables of this session's tasks, and let local workers import this package.
 
     On a cluster the package comes with ``--py-files`` or is installed.
     """
@@ -34,6 +36,7 @@ def bound_batches(spark: SparkSession) -> None:
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     if root not in env.get("PYTHONPATH", "").split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(filter(None, [env.get("PYTHONPATH"), root]))
+    spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", HASH_JOIN)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 

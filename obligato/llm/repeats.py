@@ -165,9 +165,14 @@ def _runs(docs: DataFrame) -> DataFrame:
     return docs.where("doc IS NOT NULL").mapInArrow(run, ROWS)
 
 
-def _order() -> Column:
-    """(doc, place) as one number that sorts alike and that a hash aggregate can hold."""
-    return F.expr(f"CAST(doc AS DECIMAL(19, 0)) * {1 << 63}BD + place")
+def _classes(rows: DataFrame) -> DataFrame:
+    """(h, c, first_doc, first_place): the buckets' first members.
+
+    The minimum of (doc, place) is taken of one number that sorts alike, which a hash aggregate can hold.
+    """
+    both = F.expr(f"CAST(doc AS DECIMAL(19, 0)) * {1 << 63}BD + place")
+    least = rows.groupBy("h", "c").agg(F.min("doc").alias("first_doc"), F.min(both).alias("both"))
+    return least.select("h", "c", "first_doc", F.expr(f"CAST(both - CAST(first_doc AS DECIMAL(19, 0)) * {1 << 63}BD AS BIGINT)").alias("first_place"))
 
 
 def _per_document(rows: DataFrame) -> DataFrame:
@@ -207,12 +212,12 @@ def _refined(rows: DataFrame, name: str, last: bool = False) -> tuple[DataFrame,
     whose bucket h has several classes. ``rows`` is a written table; it is dropped once both results are written.
     """
     left = None
-    classes = written(rows.groupBy("h", "c").agg(F.min(_order()).alias("first")), f"{name}-classes")
-    later = written(rows.join(classes, ["h", "c"]).where(_order() > F.col("first")).select("doc", "place"), f"{name}-repeats")
+    classes = written(_classes(rows), f"{name}-classes")
+    later = written(rows.join(classes, ["h", "c"]).where("doc > first_doc OR place > first_place").select("doc", "place"), f"{name}-repeats")
     release(rows.sparkSession)
     if not last:
         mixed = classes.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-        left = written(rows.join(classes.join(mixed, "h", "left_semi"), ["h", "c"]).where(_order() == F.col("first"))
+        left = written(rows.join(classes.join(mixed, "h", "left_semi"), ["h", "c"]).where("doc = first_doc AND place = first_place")
                        .select("doc", "place").distinct(), f"{name}-left")
     discard(rows, classes)
     release(rows.sparkSession)
@@ -224,9 +229,11 @@ def repeated_starts(docs: DataFrame) -> DataFrame:
 
     Every round is written before the next one, which reads the texts again where it needs their bytes.
     """
-    runs = _runs(docs)
-    several = runs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    rows, repeats = written(runs.join(several, "h").select("h", "c", "doc", "place"), "runs"), []
+    runs = written(_runs(docs), "runs")
+    several = written(runs.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated")
+    release(docs.sparkSession)
+    rows, repeats = written(runs.join(several, "h").select("h", "c", "doc", "place"), "repeated-runs"), []
+    discard(runs, several)
     for before, name, single in (("runs", "blocks", False), ("blocks", "starts", True)):
         release(docs.sparkSession)
         later, left = _refined(rows, before)
