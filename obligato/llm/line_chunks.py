@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import release, written
+from .common import discard, release, written
 
 #: A chunk ends where the rolling hash is divisible by so much: its mean number of lines.
 DIVISOR = 4
@@ -86,15 +86,19 @@ def remove_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR, id_col: str
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text_col).alias("tag"), F.col(text_col).alias("text"))
     rows = _rows(docs, divisor).withColumn("h", F.xxhash64("text"))
-    several = rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    shared = written(rows.join(several, "h"), "shared-chunks")
+    # written, so that a frequent chunk's partition is split in the join; all joins shuffle at every size, since
+    # each side grows with the documents
+    several = written(rows.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-chunks")
+    shared = written(rows.join(several.hint("merge"), "h"), "shared-chunks")
+    discard(several)
     release(spark)
     first = shared.groupBy("h", "text").agg(F.min(_order()).alias("first"))
-    gone = (shared.join(first, ["h", "text"]).where(_order() > F.col("first"))
+    gone = (shared.join(first.hint("merge"), ["h", "text"]).where(_order() > F.col("first"))
             .groupBy(F.col("doc").alias("d"), F.col("tag").alias("t")).agg(F.collect_list("chunk").alias("gone")))
     gone = written(gone, "removed-chunks")
+    discard(shared)
     release(spark)
-    out = with_chunks(docs, divisor).join(gone, (F.col("doc") == F.col("d")) & (F.col("tag") == F.col("t")), "left")
+    out = with_chunks(docs, divisor).join(gone.hint("merge"), (F.col("doc") == F.col("d")) & (F.col("tag") == F.col("t")), "left")
     kept = F.array_except("chunks", F.coalesce("gone", F.array().cast("array<bigint>")))
     lines = F.flatten(F.transform("_kept", lambda c: F.slice(F.col("lines"), _start(c) + 1, _count(c))))
     out = out.withColumn("_kept", kept).withColumn("_lines", lines)
