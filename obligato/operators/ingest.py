@@ -12,12 +12,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.constants import FISCAL_MONTHS, RAW_MONTH_COLUMNS, UNIT_EXEMPT
-from ..functions.text import to_number, with_canonical_agency, normalize_code, with_derived_codes, with_normalized
+from ..functions.constants import FISCAL_MONTHS, LINE_MAX, LINE_MIN, RAW_MONTH_COLUMNS, UNIT_EXEMPT
+from ..functions.text import to_number, with_canonical_agency, with_derived_codes, with_normalized
 
 MASTER_KEYS = ["BUREAU", "OMB_ACCT", "LINENO", "DERIVED_FY1", "DERIVED_FY2", "DERIVED_ALLOC"]
 OPTIONAL_KEYS = ["TRACCT", "TRAG"]
@@ -58,21 +58,6 @@ def detect_units(notes: DataFrame, max_row: int = 5) -> DataFrame:
             .agg(F.max(F.when(text.contains("thousand"), 1000).otherwise(1)).alias("unit_multiplier")))
 
 
-def apply_units(df: DataFrame, units: DataFrame, exempt=UNIT_EXEMPT, col_types=None) -> DataFrame:
-    """Multiply every numeric, non-exempt column by the file's multiplier.
-
-    ``units`` holds one row per file (it grows with the number of files, not
-    rows), so the join is left to AQE's size check.
-    """
-    joined = df.join(units, "Source_File", "left")
-    mult = F.coalesce(F.col("unit_multiplier"), F.lit(1))
-    cols = {}
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.NumericType) and f.name not in exempt and f.name not in NOT_AMOUNTS:
-            cols[f.name] = (F.col(f.name) * mult).cast(f.dataType)
-    return joined.withColumns(cols).drop("unit_multiplier")
-
-
 def apply_fixed_units(df: DataFrame, factor: int = 1000, exempt=UNIT_EXEMPT) -> DataFrame:
     """Every numeric, non-exempt column times a literal factor."""
     cols = {f.name: (F.col(f.name) * F.lit(factor)).cast(f.dataType)
@@ -81,16 +66,19 @@ def apply_fixed_units(df: DataFrame, factor: int = 1000, exempt=UNIT_EXEMPT) ->
     return df.withColumns(cols)
 
 
-def file_agency(df: DataFrame, raw_col: str = "AGENCY_TITLE", order_col: str = "ordinal") -> DataFrame:
-    """Per file, the first non-null raw agency text (file order) mapped to a
-    target agency. One small row per file; partial aggregation before shuffle."""
-    first = F.min_by(F.col(raw_col), F.when(F.col(raw_col).isNotNull(), F.col(order_col)))
-    return (df.groupBy("Source_File").agg(first.alias("_first_agency"))
+def first_agency(groups: DataFrame) -> DataFrame:
+    """Per file, the first non-null raw agency text in file order mapped to a target agency.
+
+    Reads group aggregates that carry the first agency text and its position (``AGENCY``,
+    ``AGENCY_ord``), so the minimum per file runs over the reduced table.
+    """
+    first = F.min_by("AGENCY", "AGENCY_ord")
+    return (groups.groupBy("Source_File").agg(first.alias("_first_agency"))
             .transform(lambda x: with_canonical_agency(x, "_first_agency", "Agency"))
-            .select("Source_File", "Agency"))
+            .withColumnRenamed("_first_agency", "agency_text"))
 
 
-def standard_lines(df: DataFrame, lo: int = 1000, hi: int = 9999, col: str = "LINENO") -> DataFrame:
+def standard_lines(df: DataFrame, lo: int = LINE_MIN, hi: int = LINE_MAX, col: str = "LINENO") -> DataFrame:
     """Keep rows whose line number parses and lies in [lo, hi]."""
     n = to_number(F.col(col))
     return df.where(n.isNotNull() & (n >= lo) & (n <= hi))
@@ -106,99 +94,80 @@ def derive_codes(df: DataFrame, tafs: str = "TAFS") -> DataFrame:
     return with_derived_codes(df, tafs)
 
 
-def match_rate(df: DataFrame) -> DataFrame:
-    """Per file, share of rows whose derived code equals the given one
-    (normalised, only where the given code is non-empty) for FY1, FY2, ALLOC.
+def mismatch_samples(df: DataFrame, n: int = 3, order_col: str = "ordinal", spread: int = 64) -> DataFrame:
+    """The first n mismatching rows (in file order) per file and code.
 
-    A file is rejected when any tested rate is below 100 %. FY1/FY2 are only
-    tested when both columns exist; ALLOC when it exists.
+    A file that mismatches throughout is one hot key, so the first n are taken within ``spread`` slices
+    of a file first and among those slices' survivors after.
     """
-    pairs = []
-    if "FY1" in df.columns and "FY2" in df.columns:
-        pairs += [("FY1", "DERIVED_FY1"), ("FY2", "DERIVED_FY2")]
-    if "ALLOC" in df.columns:
-        pairs.append(("ALLOC", "DERIVED_ALLOC"))
-    # normalise once per column in a projection, then count
-    staged = with_normalized(df.select("Source_File", *[c for p in pairs for c in p]),
-                             {f"_n_{c}": c for p in pairs for c in p})
-    aggs = [F.count(F.lit(1)).alias("rows")]
-    for given, derived in pairs:
-        g, d = F.col(f"_n_{given}"), F.col(f"_n_{derived}")
-        tested = g != ""
-        aggs += [F.count_if(tested).alias(f"{given.lower()}_tested"),
-                 F.count_if(tested & (g == d)).alias(f"{given.lower()}_matched")]
-    out = staged.groupBy("Source_File").agg(*aggs)
-    rejected = F.lit(False)
-    for given, _ in pairs:
-        t, m = F.col(f"{given.lower()}_tested"), F.col(f"{given.lower()}_matched")
-        out = out.withColumn(f"{given.lower()}_match_pct",
-                             F.when(t > 0, m.cast("double") * 100.0 / t).otherwise(F.lit(100.0)))
-        rejected = rejected | (m < t)
-    return out.withColumn("rejected", rejected)
+    pairs = [(g, d) for g, d in CODE_PAIRS if g in df.columns]
+    staged = with_normalized(df, {f"_n_{c}": c for p in pairs for c in p})
+    codes = F.array(*[F.struct(F.lit(g).alias("code"), F.col(f"_n_{g}").alias("given"), F.col(f"_n_{d}").alias("derived"))
+                      for g, d in pairs])
+    rows = (staged.select("Source_File", "TAFS", F.col(order_col).alias("ordinal"), F.inline(codes))
+            .where((F.col("given") != "") & (F.col("given") != F.col("derived"))))
+    key = ["Source_File", "code"]
+    part = F.pmod("ordinal", F.lit(spread))
+    for by in ([*key, part], key):
+        rows = (rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy("ordinal", "TAFS")))
+                .where(F.col("_rn") <= n))
+    return rows.withColumnRenamed("_rn", "sample")
 
 
-def mismatch_samples(df: DataFrame, given: str, derived: str, n: int = 3) -> DataFrame:
-    """Up to n mismatching rows per file (in file order) for one code."""
-    from pyspark.sql import Window
-    g, d = normalize_code(F.col(given)), normalize_code(F.col(derived))
-    w = Window.partitionBy("Source_File").orderBy("ordinal")
-    return (df.where((g != "") & (g != d))
-            .select("Source_File", "TAFS", g.alias("given"), d.alias("derived"), "ordinal")
-            .withColumn("_rn", F.row_number().over(w))
-            .where(F.col("_rn") <= n).drop("_rn"))
+CODE_PAIRS = [("FY1", "DERIVED_FY1"), ("FY2", "DERIVED_FY2"), ("ALLOC", "DERIVED_ALLOC")]
+CHECK_COLUMNS = [f"{g.lower()}_{k}" for g, _ in CODE_PAIRS for k in ("tested", "matched")]
+# Descriptive columns: a group keeps the first non-null value of each in file order.
+FIRST_COLUMNS = ["TAFS", "AGENCY", "AGENCY_TITLE", "BUREAU_TITLE", "OMB_ACCOUNT", "LINE_DESC"]
 
 
-def _first_non_null(c: str, order_col: str) -> Column:
-    return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order_col)))
+def group_keys(df: DataFrame, keys: list[str] | None = None) -> list[str]:
+    """Year, file, account keys and those optional keys that the ledger has."""
+    keys = list(keys or MASTER_KEYS)
+    return ["fiscal_year", "Source_File", *keys, *[k for k in OPTIONAL_KEYS if k in df.columns and k not in keys]]
 
 
-def aggregate_ledger(df: DataFrame, keys: list[str] | None = None, months=FISCAL_MONTHS,
-                     first_cols=("TAFS", "AGENCY_TITLE"), order_col: str = "ordinal",
-                     month_col: str = "month", amount_col: str = "amount", extra_aggs=()) -> DataFrame:
-    """Long ledger -> wide master, one row per (fiscal_year, file, keys).
+def partial_groups(coded: DataFrame, keys: list[str] | None = None, months=FISCAL_MONTHS, order_col: str = "ordinal",
+                   month_col: str = "month", amount_col: str = "amount") -> DataFrame:
+    """E1/E2, the only pass over raw rows: sums per (group keys, descriptive texts).
 
-    Month columns are conditional sums (a month without rows sums to 0);
-    descriptive columns keep the first non-null value in file order. One hash
-    aggregate with map-side partial aggregation: hot keys shrink before the
-    shuffle.
+    The texts are grouping keys here and every buffer is a long (cents, counts, first position), so
+    this is a hash aggregate with map-side combine and no sort. Partial groups of several
+    batches are simply united before ``resolve_groups``.
     """
-    keys = list(keys or MASTER_KEYS) + [k for k in OPTIONAL_KEYS if k in df.columns and k not in (keys or [])]
-    group = ["fiscal_year", "Source_File"] + keys
-    # exact sums in long cents (cheap fixed-width buffers), back to decimal once
+    pairs = [(g, d) for g, d in CODE_PAIRS if g in coded.columns and d in coded.columns]
+    normed = with_normalized(coded, {f"_n_{c}": c for p in pairs for c in p})
+    keys = group_keys(coded, keys)
+    texts = [c for c in FIRST_COLUMNS if c in coded.columns and c not in keys]
     cents = (F.col(amount_col) * 100).cast("long")
-    aggs = [(F.coalesce(F.sum(F.when(F.col(month_col) == m, cents)), F.lit(0)).cast("decimal(38,0)")
-             / F.lit(100)).cast("decimal(38,2)").alias(m) for m in months]
-    aggs += [_first_non_null(c, order_col).alias(c) for c in first_cols if c in df.columns]
-    aggs.append(F.count(F.lit(1)).alias("source_rows"))
-    return df.groupBy(*group).agg(*aggs, *extra_aggs)
+    aggs = [F.sum(F.when(F.col(month_col) == m, cents)).alias(m) for m in months]
+    aggs += [F.count(F.lit(1)).alias("source_rows"), F.min(order_col).alias("_ord")]
+    for g, d in pairs:
+        t = F.col(f"_n_{g}") != ""
+        aggs += [F.count_if(t).alias(f"{g.lower()}_tested"),
+                 F.count_if(t & (F.col(f"_n_{g}") == F.col(f"_n_{d}"))).alias(f"{g.lower()}_matched")]
+    return normed.groupBy(*keys, *texts).agg(*aggs)
 
 
-CODE_PAIRS = [("FY1", "DERIVED_FY1"), ("FY2", "DERIVED_FY2"), ("ALLOC", "DERIVED_ALLOC")]
-CHECK_COLUMNS = [f"{g.lower()}_{k}" for g, _ in CODE_PAIRS for k in ("tested", "matched")]
+def resolve_groups(parts: DataFrame, keys: list[str] | None = None, months=FISCAL_MONTHS) -> DataFrame:
+    """E1 on the reduced table: one row per group; month sums (0 without rows), counts, and the first
+    non-null text of every descriptive column, with the position of the first agency text."""
+    keys = group_keys(parts, keys)
+    texts = [c for c in FIRST_COLUMNS if c in parts.columns and c not in keys]
+    at = lambda c: F.when(F.col(c).isNotNull(), F.col("_ord"))
+    sums = [(F.coalesce(F.sum(m), F.lit(0)).cast("decimal(38,0)") / F.lit(100)).cast("decimal(38,2)").alias(m) for m in months]
+    counts = [F.sum(c).alias(c) for c in ["source_rows", *CHECK_COLUMNS] if c in parts.columns]
+    firsts = [F.min_by(c, at(c)).alias(c) for c in texts]
+    if "AGENCY" in texts:
+        firsts.append(F.min(at("AGENCY")).alias("AGENCY_ord"))
+    return parts.groupBy(*keys).agg(*sums, *firsts, *counts)
 
 
-def aggregate_with_checks(coded: DataFrame, order_col: str = "ordinal", mergeable: bool = False) -> DataFrame:
-    """E1 over *all* raw rows plus what the per-file steps need, in one pass.
+def aggregate_ledger(coded: DataFrame, keys: list[str] | None = None, months=FISCAL_MONTHS) -> DataFrame:
+    """Long ledger -> wide master, one row per (fiscal year, file, keys), with the code-check counts.
 
-    Adds per group: ``_agency_first`` = (ordinal, agency text) of the first row
-    with an agency, and tested/matched counts of the given-vs-derived code
-    check (E9). Filtering lines and NULL keys afterwards is exact because
-    LINENO and the keys are group keys.
+    Filtering lines and NULL keys afterwards is exact because LINENO and the keys are group keys.
     """
-    pairs = [(g, d) for g, d in CODE_PAIRS if g in coded.columns]
-    normed = with_normalized(coded, {f"_n_{c}": c for p in pairs for c in p})
-    extra = [F.min(F.when(F.col("AGENCY_TITLE").isNotNull(),
-                          F.struct(F.col(order_col).alias("ord"), F.col("AGENCY_TITLE").alias("agency"))))
-             .alias("_agency_first")]
-    if mergeable:   # keep the ordering of the first symbol so partial groups merge exactly
-        extra.append(F.min(F.when(F.col("TAFS").isNotNull(),
-                                  F.struct(F.col(order_col).alias("ord"), F.col("TAFS").alias("tafs"))))
-                     .alias("_tafs_first"))
-    for g, d in pairs:
-        t = F.col(f"_n_{g}") != ""
-        extra += [F.count_if(t).alias(f"{g.lower()}_tested"),
-                  F.count_if(t & (F.col(f"_n_{g}") == F.col(f"_n_{d}"))).alias(f"{g.lower()}_matched")]
-    return aggregate_ledger(normed, extra_aggs=extra)
+    return resolve_groups(partial_groups(coded, keys, months), keys, months)
 
 
 def file_check_rates(groups: DataFrame) -> DataFrame:
@@ -232,25 +201,27 @@ def unpivot_months(df: DataFrame, ids: list[str], months=FISCAL_MONTHS,
     return df.unpivot(ids, present, month_col, value_col)
 
 
-def blank_profile(df: DataFrame, cols=("DERIVED_FY1", "DERIVED_FY2", "DERIVED_ALLOC")) -> DataFrame:
-    """Populated / blank counts per derived column, all-blank rows, distinct values."""
+def blank_profile(groups: DataFrame, cols=("DERIVED_FY1", "DERIVED_FY2", "DERIVED_ALLOC"), null_keys=("BUREAU", "OMB_ACCT", "LINENO")) -> DataFrame:
+    """Rows with blank derived codes, all-blank rows, distinct codes, and rows with a NULL key, per year.
+
+    ``groups`` carry ``source_rows``; the distinct counts run over the few distinct code combinations.
+    """
     cols = list(cols)
-    total = F.count(F.lit(1))
-    aggs = [total.alias("rows")]
+    n = F.col("source_rows")
+    keys = [F.sum(F.when(F.col(k).isNull(), n).otherwise(0)).alias(f"{k}_null") for k in null_keys]
+    small = groups.groupBy("fiscal_year", *cols).agg(F.sum(n).alias("source_rows"), *keys)
+    aggs = [F.sum(n).alias("rows"), *[F.sum(f"{k}_null").alias(f"{k}_null") for k in null_keys]]
     for c in cols:
-        aggs += [F.count_if(F.col(c) == "").alias(f"{c}_blank"),
-                 F.count_distinct(F.col(c)).alias(f"{c}_distinct")]
+        aggs += [F.sum(F.when(F.col(c) == "", n).otherwise(0)).alias(f"{c}_blank"), F.count_distinct(F.col(c)).alias(f"{c}_distinct")]
     all_blank = reduce(lambda a, b: a & b, [F.col(c) == "" for c in cols])
-    aggs.append(F.count_if(all_blank).alias("all_blank"))
-    return df.groupBy("fiscal_year").agg(*aggs)
+    return small.groupBy("fiscal_year").agg(*aggs, F.sum(F.when(all_blank, n).otherwise(0)).alias("all_blank"))
 
 
-def compression_ratio(raw: DataFrame, master: DataFrame, warn_above: float = 50.0) -> DataFrame:
-    """Input rows per output group, per year; flag > warn_above."""
-    a = raw.groupBy("fiscal_year").agg(F.count(F.lit(1)).alias("input_rows"))
-    b = master.groupBy("fiscal_year").agg(F.count(F.lit(1)).alias("groups"))
-    return (a.join(b, "fiscal_year")
-            .withColumn("ratio", F.col("input_rows").cast("double") / F.col("groups"))
+def compression_ratio(groups: DataFrame, warn_above: float = 50.0) -> DataFrame:
+    """Input rows per output group (groups without NULL keys), per year; flag > warn_above."""
+    whole = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in NULLABLE_KEYS if k in groups.columns])
+    out = groups.groupBy("fiscal_year").agg(F.sum("source_rows").alias("input_rows"), F.count_if(whole).alias("groups"))
+    return (out.withColumn("ratio", F.col("input_rows").cast("double") / F.col("groups"))
             .withColumn("over_aggregated", F.col("ratio") > warn_above))
 
 

@@ -219,8 +219,12 @@ SELECT *, CASE WHEN prio = '3' THEN yy1 WHEN prio = '4' THEN yy END AS g_fy1,
 FROM ledger_k""")
 
 cte("ledger", ["ledger_g"], f"""
-SELECT fy AS fiscal_year, {_CAL}[month(l_shipdate)] AS month, r_name AS AGENCY_TITLE, n_name AS BUREAU,
-       agency_code || '-' || p_brand AS OMB_ACCT,
+SELECT fy AS fiscal_year, {_CAL}[month(l_shipdate)] AS month, CASE WHEN l_linenumber <> 1 THEN r_name END AS AGENCY,
+       r_name AS AGENCY_TITLE, CASE WHEN l_linenumber <> 7 THEN n_name END AS BUREAU, 'Bureau of ' || n_name AS BUREAU_TITLE,
+       agency_code || '-' || p_brand AS OMB_ACCT, agency_code || '-' || nation_code || '   ' || p_brand || ' Commission' AS OMB_ACCOUNT,
+       CASE WHEN p_size = 1 THEN '1' ELSE '0' END AS TRAG, '0' AS TRACCT,
+       CASE WHEN l_linenumber > 2 THEN 'Line ' || CASE WHEN l_returnflag = 'N' THEN '2490' WHEN l_returnflag = 'R' THEN '2500'
+            WHEN l_linenumber = 3 THEN NULL ELSE 'n/a' END END AS LINE_DESC,
        agency_code || CASE WHEN even THEN '-' || nation_code ELSE '' END || '-'
          || lpad(string_split(p_brand, '#')[-1], 4, '0')
          || CASE prio WHEN '1' THEN ' /X' WHEN '2' THEN ' /' || yy WHEN '3' THEN ' ' || yy1 || '/' || yy
@@ -256,7 +260,7 @@ FROM ledger l LEFT JOIN units u USING (Source_File)""")
 
 cte("file_agency", ["scaled"], f"""
 SELECT Source_File, {canonical_agency('first_agency')} AS Agency FROM (
-  SELECT Source_File, arg_min(AGENCY_TITLE, ordinal) FILTER (WHERE AGENCY_TITLE IS NOT NULL) AS first_agency
+  SELECT Source_File, arg_min(AGENCY, ordinal) FILTER (WHERE AGENCY IS NOT NULL) AS first_agency
   FROM scaled GROUP BY Source_File)""")
 
 _FY1, _FY2 = fy_bounds("TAFS")
@@ -287,17 +291,20 @@ WHERE Source_File NOT IN (SELECT Source_File FROM rejected)
 _MONTH_AGGS = ",\n  ".join(
     f"CAST(coalesce(sum(amount) FILTER (WHERE month = {q(m)}), 0) AS DECIMAL(38,2)) AS {m}" for m in FISCAL_MONTHS)
 
+_FIRSTS = ",\n  ".join(f"arg_min({c}, ordinal) FILTER (WHERE {c} IS NOT NULL) AS {c}"
+                       for c in ("TAFS", "AGENCY_TITLE", "BUREAU_TITLE", "OMB_ACCOUNT", "LINE_DESC"))
+
 cte("master_raw", ["kept"], f"""
-SELECT fiscal_year, Source_File, BUREAU, OMB_ACCT, LINENO, DERIVED_FY1, DERIVED_FY2, DERIVED_ALLOC,
+SELECT fiscal_year, Source_File, BUREAU, OMB_ACCT, LINENO, DERIVED_FY1, DERIVED_FY2, DERIVED_ALLOC, TRACCT, TRAG,
   {_MONTH_AGGS},
-  arg_min(TAFS, ordinal) FILTER (WHERE TAFS IS NOT NULL) AS TAFS,
-  arg_min(AGENCY_TITLE, ordinal) FILTER (WHERE AGENCY_TITLE IS NOT NULL) AS AGENCY_TITLE,
+  {_FIRSTS},
   count(*) AS source_rows
 FROM kept
-GROUP BY fiscal_year, Source_File, BUREAU, OMB_ACCT, LINENO, DERIVED_FY1, DERIVED_FY2, DERIVED_ALLOC""")
+GROUP BY fiscal_year, Source_File, BUREAU, OMB_ACCT, LINENO, DERIVED_FY1, DERIVED_FY2, DERIVED_ALLOC, TRACCT, TRAG""")
 
 cte("master", ["master_raw", "file_agency"], f"""
-SELECT m.* REPLACE ({clean_text('m.TAFS')} AS TAFS, {clean_text('m.BUREAU')} AS BUREAU, {clean_text('m.AGENCY_TITLE')} AS AGENCY_TITLE), fa.Agency
+SELECT m.* REPLACE ({', '.join(clean_text('m.' + c) + ' AS ' + c for c in ('TAFS', 'BUREAU', 'AGENCY_TITLE', 'BUREAU_TITLE', 'OMB_ACCOUNT', 'LINE_DESC'))}),
+  fa.Agency
 FROM master_raw m JOIN file_agency fa USING (Source_File)""")
 
 cte("master_long", ["master"], f"""

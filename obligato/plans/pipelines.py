@@ -1,8 +1,8 @@
 """Composite pipelines (P1-P3): ledger -> master -> year and month summaries.
 
-Each function returns a lazy DataFrame; nothing is collected. The master is
-built once per plan and shared by the summary branches (Spark reuses the
-identical exchanges).
+Intermediate tables that several branches read (the group aggregate, the master, a published
+summary) are written as reliable checkpoints in the shared folder; building one runs the jobs that
+it needs. Everything else is lazy. A query builds one master and hands it on.
 """
 
 from __future__ import annotations
@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import FISCAL_MONTHS
 from ..session import materialize
-from ..functions.text import clean_text, with_canonical_agency
-from ..operators.ingest import (CHECK_COLUMNS, NULLABLE_KEYS, aggregate_with_checks, apply_units,
-                                derive_codes, detect_units, drop_null_keys, file_check_rates,
-                                skip_files, standard_lines)
+from ..functions.text import clean_text
+from ..operators.ingest import (CHECK_COLUMNS, NULLABLE_KEYS, apply_fixed_units, derive_codes, detect_units,
+                                drop_null_keys, file_check_rates, first_agency, partial_groups, pivot_months,
+                                resolve_groups, skip_files, standard_lines)
 from ..operators.months import available_months, latest_month
 from ..operators.pairing import (drop_near_zero, pair_lines, split_oia, summarize_pairs,
                                  with_display)
@@ -26,55 +26,37 @@ DEFAULT_SKIP = ["2668331098.xlsx"]
 TEXT_COLUMNS = ["TAFS", "BUREAU", "AGENCY_TITLE", "BUREAU_TITLE", "OMB_ACCOUNT", "LINE_DESC"]
 
 
-def prepared_ledger(spark: SparkSession, sf_dir: str, skip: list[str] | None = None) -> DataFrame:
-    """A1 -> A2 -> B2/B3: raw rows with file tags, skip list applied, units scaled."""
-    raw = ledger_rows(spark, sf_dir)
-    skip_df = spark.createDataFrame([(s,) for s in (skip if skip is not None else DEFAULT_SKIP)],
-                                    "Source_File string")
-    raw = skip_files(raw, skip_df)
-    return apply_units(raw, detect_units(unit_notes(raw)))
-
-
-def coded_ledger(raw: DataFrame) -> DataFrame:
-    """C1 -> B8/B9: standard lines with derived codes."""
-    return derive_codes(standard_lines(raw))
+def ledger_groups(spark: SparkSession, sf_dir: str, skip: list[str] | None = None) -> DataFrame:
+    """E1 over all raw rows of files not on the skip list, materialised: the one pass over the raw ledger."""
+    skip_df = spark.createDataFrame([(s,) for s in (skip if skip is not None else DEFAULT_SKIP)], "Source_File string")
+    return materialize(resolve_groups(partial_groups(derive_codes(skip_files(ledger_rows(spark, sf_dir), skip_df)))))
 
 
 def build_master(spark: SparkSession, sf_dir: str, skip: list[str] | None = None,
                  reject_mismatches: bool = True) -> DataFrame:
-    """P1 in one pass over the raw ledger.
+    """One hash aggregate of all raw rows, then everything else on the aggregate.
 
-    The only full-data step is one hash aggregate of *all* raw rows by
-    (year, file, keys) that also carries, per group, the first agency text
-    and the code-check counts. Line number and derived codes are group keys,
-    so the line filter (C1), the NULL-key drop (C2), the per-file code check
-    (E9), the per-file agency (B5) and the unit scaling (B2/B3, linear over
+    Line number and derived codes are group keys, so the line filter (C1), the per-file code check (E9), the
+    NULL-key drop (C2), the per-file agency (B5) and the unit scaling (B2/B3, linear over
     exact decimal sums) all run on the aggregate instead of the raw rows.
     """
-    raw = ledger_rows(spark, sf_dir)
-    skip_df = spark.createDataFrame([(s,) for s in (skip if skip is not None else DEFAULT_SKIP)],
-                                    "Source_File string")
-    groups = materialize(aggregate_with_checks(derive_codes(skip_files(raw, skip_df))))
-    return master_from_groups(groups, reject_mismatches)
+    return master_from_groups(ledger_groups(spark, sf_dir, skip), reject_mismatches)
 
 
 def master_from_groups(groups: DataFrame, reject_mismatches: bool = True) -> DataFrame:
-    """Everything after the single raw pass: line filter, NULL keys, per-file
-    code check, agency and units, text clean-up (all on the aggregate)."""
-    std = drop_null_keys(standard_lines(groups), NULLABLE_KEYS)
-    files = groups.groupBy("Source_File").agg(F.min("_agency_first").alias("_first"))
-    agency = (files.select("Source_File", F.col("_first.agency").alias("AGENCY_TITLE"))
-              .transform(lambda x: with_canonical_agency(x, "AGENCY_TITLE", "Agency")))
-    units = detect_units(unit_notes(agency.select("Source_File", "AGENCY_TITLE")))
-    master = std
+    """Everything after the single raw pass: line filter, per-file code check (on all standard lines, before rows
+    with NULL keys go), NULL keys, agency and units, text clean-up."""
+    std = standard_lines(groups)
+    master = drop_null_keys(std, NULLABLE_KEYS)
+    agency = first_agency(groups)
+    units = detect_units(unit_notes(agency.select("Source_File", F.col("agency_text").alias("AGENCY_TITLE"))))
     if reject_mismatches:
-        master = master.join(file_check_rates(std).where("rejected").select("Source_File"),
-                             "Source_File", "left_anti")
-    master = (master.join(agency.select("Source_File", "Agency"), "Source_File")
+        master = master.join(file_check_rates(std).where("rejected").select("Source_File"), "Source_File", "left_anti")
+    master = (master.drop("AGENCY", "AGENCY_ord").join(agency.select("Source_File", "Agency"), "Source_File")
               .join(units, "Source_File", "left"))
     mult = F.coalesce(F.col("unit_multiplier"), F.lit(1))
     master = master.withColumns({m: (F.col(m) * mult).cast("decimal(38,2)") for m in FISCAL_MONTHS})
-    master = master.drop("unit_multiplier", "_agency_first", *CHECK_COLUMNS)
+    master = master.drop("unit_multiplier", *CHECK_COLUMNS)
     # the master is a published table read by several branches: cut lineage here
     return materialize(master.withColumns({c: clean_text(F.col(c)) for c in TEXT_COLUMNS if c in master.columns}))
 
@@ -115,14 +97,15 @@ def build_one_month_files(spark: SparkSession, sf_dir: str, year: int = 2017,
     """One-month files (B4 fixed x1000 units, B5, C1, E2 3-key aggregate per
     file, E3 pivot to one row per (bureau, account, line, agency) with one
     column per month, missing months 0). The fixture's files are agency x month
-    slices of one fiscal year."""
-    from ..operators.ingest import apply_fixed_units, file_agency, pivot_months
-    raw = ledger_rows(spark, sf_dir).where((F.col("fiscal_year") == year) & F.col("month").isin(list(months)))
+    slices of one fiscal year; that year is filtered on the ship date, which reaches the scan."""
+    raw = ledger_rows(spark, sf_dir, year).where(F.col("month").isin(list(months)))
     raw = raw.withColumn("Source_File", F.concat_ws("_", "AGENCY_TITLE", F.lit(str(year)), "month"))
     raw = apply_fixed_units(raw, 1000)
-    per_file = (standard_lines(raw).groupBy("Source_File", "month", "BUREAU", "OMB_ACCT", "LINENO")
-                .agg(F.sum("amount").cast("double").alias("amount"), F.min("ordinal").alias("ordinal")))
-    j = per_file.join(file_agency(raw), "Source_File")
+    keys = ["month", "BUREAU", "OMB_ACCT", "LINENO"]
+    groups = materialize(resolve_groups(partial_groups(raw.drop("TRAG", "TRACCT", "FY1", "FY2", "ALLOC"), keys, months), keys, months))
+    amount = F.coalesce(*[F.when(F.col("month") == m, F.col(m)) for m in months]).cast("double")
+    per_file = standard_lines(groups).select("Source_File", *keys, amount.alias("amount"))
+    j = per_file.join(first_agency(groups).select("Source_File", "Agency"), "Source_File")
     out = pivot_months(j.withColumn("ordinal", F.col("Source_File")), ["BUREAU", "OMB_ACCT", "LINENO", "Agency"],
                        list(months))
     return out.withColumn("Source_File", F.lit(f"{year}_Combined"))

@@ -26,7 +26,8 @@ def q_monthly_summary(spark, sf_dir):
 
 
 _MASTER_COLS = ["fiscal_year", "Source_File", "Agency", "AGENCY_TITLE", "BUREAU", "OMB_ACCT", "LINENO",
-                "DERIVED_FY1", "DERIVED_FY2", "DERIVED_ALLOC", "TAFS", "source_rows"]
+                "DERIVED_FY1", "DERIVED_FY2", "DERIVED_ALLOC", "TRACCT", "TRAG", "TAFS", "BUREAU_TITLE", "OMB_ACCOUNT", "LINE_DESC",
+                "source_rows"]
 _M = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in S.FISCAL_MONTHS)
 
 

@@ -12,7 +12,7 @@ from ..operators.pairing import LINE_BUDGET_AUTHORITY, LINE_UNOBLIGATED, pair_li
 from ..operators.rollup import sort_expiration
 from ..sources.fixture import ledger_rows, unit_notes
 from . import oracle_sql as S
-from .pipelines import build_master, monthly_summary_from, year_summary_from
+from .pipelines import build_master, ledger_groups, monthly_summary_from, year_summary_from
 from .registry import register
 
 LN = "TRY_CAST(LINENO AS DOUBLE)"
@@ -84,25 +84,25 @@ SELECT fiscal_year, count(*) AS rows,
   count(*) FILTER (WHERE DERIVED_FY1 = '') AS DERIVED_FY1_blank, count(DISTINCT DERIVED_FY1) AS DERIVED_FY1_distinct,
   count(*) FILTER (WHERE DERIVED_FY2 = '') AS DERIVED_FY2_blank, count(DISTINCT DERIVED_FY2) AS DERIVED_FY2_distinct,
   count(*) FILTER (WHERE DERIVED_ALLOC = '') AS DERIVED_ALLOC_blank, count(DISTINCT DERIVED_ALLOC) AS DERIVED_ALLOC_distinct,
-  count(*) FILTER (WHERE DERIVED_FY1 = '' AND DERIVED_FY2 = '' AND DERIVED_ALLOC = '') AS all_blank
+  count(*) FILTER (WHERE DERIVED_FY1 = '' AND DERIVED_FY2 = '' AND DERIVED_ALLOC = '') AS all_blank,
+  count(*) FILTER (WHERE BUREAU IS NULL) AS BUREAU_null, count(*) FILTER (WHERE OMB_ACCT IS NULL) AS OMB_ACCT_null,
+  count(*) FILTER (WHERE LINENO IS NULL) AS LINENO_null
 FROM std GROUP BY 1""")
 def q_blank_profile(spark, d):
-    """Blank / distinct profile of the derived codes on standard lines."""
-    return I.blank_profile(I.derive_codes(I.standard_lines(ledger_rows(spark, d))))
+    """Blank / distinct profile of the derived codes and NULL keys on standard lines."""
+    return I.blank_profile(I.standard_lines(ledger_groups(spark, d, [])))
 
 
 @register("compression_ratio", S.with_ctes("std") + """
 SELECT a.fiscal_year, a.input_rows, b.groups, a.input_rows / b.groups AS ratio, a.input_rows / b.groups > 50 AS over_aggregated
 FROM (SELECT fiscal_year, count(*) AS input_rows FROM std GROUP BY 1) a
 JOIN (SELECT fiscal_year, count(*) AS groups FROM (
-        SELECT DISTINCT fiscal_year, Source_File, BUREAU, OMB_ACCT, LINENO, DERIVED_FY1, DERIVED_FY2, DERIVED_ALLOC
+        SELECT DISTINCT fiscal_year, Source_File, BUREAU, OMB_ACCT, LINENO, DERIVED_FY1, DERIVED_FY2, DERIVED_ALLOC, TRACCT, TRAG
         FROM std WHERE BUREAU IS NOT NULL AND OMB_ACCT IS NOT NULL AND LINENO IS NOT NULL) GROUP BY 1) b
 USING (fiscal_year)""")
 def q_compression_ratio(spark, d):
     """Input rows per aggregated group and over-aggregation flag (standard lines, before the file check)."""
-    std = I.standard_lines(ledger_rows(spark, d))
-    groups = I.aggregate_ledger(I.derive_codes(I.drop_null_keys(std, I.NULLABLE_KEYS)))
-    return I.compression_ratio(std, groups).select("fiscal_year", "input_rows", "groups", "ratio", "over_aggregated")
+    return I.compression_ratio(I.standard_lines(ledger_groups(spark, d, [])))
 
 
 @register("sort_expiration", S.with_ctes("yearly") + "SELECT * FROM yearly ORDER BY Expiration_Year ASC NULLS LAST")

@@ -18,7 +18,7 @@ from ..operators import profile as PR
 from ..operators import quality as Q
 from ..sources.fixture import ledger_rows
 from . import oracle_sql as S
-from .pipelines import build_master, monthly_summary_from, year_summary_from
+from .pipelines import build_master, ledger_groups, monthly_summary_from, year_summary_from
 from .registry import register
 
 EXPECTED = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
@@ -222,15 +222,24 @@ SELECT Source_File, rows, fy1_tested, fy1_matched, fy2_tested, fy2_matched, allo
 FROM rates""")
 def q_file_check_rates(spark, d):
     """Per-file match rates of derived vs given codes; rejected flag."""
-    from .pipelines import DEFAULT_SKIP
-    raw = ledger_rows(spark, d)
-    skip = spark.createDataFrame([(x,) for x in DEFAULT_SKIP], "Source_File string")
-    groups = I.aggregate_with_checks(I.derive_codes(I.skip_files(raw, skip)))
-    return I.file_check_rates(I.standard_lines(groups)).select(
+    return I.file_check_rates(I.standard_lines(ledger_groups(spark, d))).select(
         "Source_File", "rows", "fy1_tested", "fy1_matched", "fy2_tested", "fy2_matched", "alloc_tested",
         "alloc_matched", "fy1_match_pct", "fy2_match_pct", "alloc_match_pct", "rejected")
 
 
+_MISMATCH = " UNION ALL ".join(f"""
+SELECT Source_File, TAFS, ordinal, '{g}' AS code, {S.normalize(g)} AS given, {S.normalize(dv)} AS derived FROM std
+WHERE {S.normalize(g)} <> '' AND {S.normalize(g)} <> {S.normalize(dv)}""" for g, dv in I.CODE_PAIRS)
+
+
+@register("mismatch_samples", S.with_ctes("std") + f"""
+SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY Source_File, code ORDER BY ordinal, TAFS) AS INTEGER) AS sample
+               FROM ({_MISMATCH})) WHERE sample <= 3""")
+def q_mismatch_samples(spark, d):
+    """The first three mismatching rows per file and code, in file order."""
+    return I.mismatch_samples(I.derive_codes(I.standard_lines(ledger_rows(spark, d))))
+
+
 # ------------------------------------------------------------------ quality suites
 
 def _completeness_sql(src: str, year_col: str) -> str:
@@ -386,28 +395,29 @@ approved AS (SELECT fiscal_year FROM j1 INTERSECT SELECT fiscal_year FROM j2)
 """)
 
 
-def _approved(spark, d):
-    y = yearly(spark, d)
+def _approved(master):
+    y = year_summary_from(master)
     return y, Q.approved_years(Q.dq_completeness(y, EXPECTED, EXCEPTIONS, CURRENT_FY), Q.dq_structure(y, REQUIRED, 100, 5))
 
 
 @register("approved_years", _APPROVED_SQL + "SELECT fiscal_year FROM approved")
 def q_approved_years(spark, d):
     """H2: years passing both the completeness and the structure suite."""
-    return _approved(spark, d)[1]
+    return _approved(build_master(spark, d))[1]
 
 
 @register("publish_approved", _APPROVED_SQL + "SELECT * FROM monthly WHERE Fiscal_Year IN (SELECT fiscal_year FROM approved)")
 def q_publish_approved(spark, d):
     """Monthly summary rows of approved years only."""
-    y, a = _approved(spark, d)
-    return Q.publish_approved(monthly_summary_from(build_master(spark, d)), a)
+    m = build_master(spark, d)
+    _, a = _approved(m)
+    return Q.publish_approved(monthly_summary_from(m), a)
 
 
 @register("unapproved_rows", _APPROVED_SQL + "SELECT * FROM yearly WHERE Fiscal_Year NOT IN (SELECT fiscal_year FROM approved)")
 def q_unapproved_rows(spark, d):
     """Year-summary rows of years that are not approved."""
-    y, a = _approved(spark, d)
+    y, a = _approved(build_master(spark, d))
     return Q.unapproved(y, a)
 
 
@@ -415,7 +425,6 @@ def q_unapproved_rows(spark, d):
 SELECT fiscal_year FROM approved WHERE fiscal_year NOT IN (SELECT Fiscal_Year FROM monthly WHERE Month = 'Sep')""")
 def q_outputs_present(spark, d):
     """Approved years lacking a September monthly output."""
-    y, a = _approved(spark, d)
-    cat = monthly_summary_from(build_master(spark, d)).where(F.col("Month") == "Sep").select(
-        F.col("Fiscal_Year").alias("fiscal_year"))
-    return Q.outputs_present(a, cat)
+    m = build_master(spark, d)
+    _, a = _approved(m)
+    return Q.outputs_present(a, monthly_summary_from(m, ["Sep"]).select(F.col("Fiscal_Year").alias("fiscal_year")))

@@ -26,25 +26,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows when the scan has fewer splits than the cluster has
-    cores (few large row groups), so the per-row parsing uses every core. On
-    large inputs the scan already has more splits than cores and nothing is
-    added."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+def ledger_rows(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
+    """Raw long-form ledger: one row per line item, of all fiscal years or of ``year``.
 
-
-def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw long-form ledger: one row per line item.
-
-    Columns: fiscal_year, month, AGENCY_TITLE, BUREAU, OMB_ACCT, TAFS, LINENO, FY1, FY2,
+    Columns: fiscal_year, month, AGENCY, AGENCY_TITLE, BUREAU (NULL on seventh lines), BUREAU_TITLE, OMB_ACCT,
+    OMB_ACCOUNT, TAFS, LINENO, LINE_DESC (NULL on some), TRAG, TRACCT (optional keys), FY1, FY2,
     ALLOC (given codes, for the match-rate check), amount decimal(18,2),
     Source_File, ordinal (long giving file order).
     """
-    li = spread(table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice",
-        "l_returnflag", "l_shipdate"))
+        "l_returnflag", "l_shipdate")
+    if year is not None:    # a filter on the scanned column prunes row groups
+        first = f"{year - 21}-10-01"
+        li = li.where((F.col("l_shipdate") >= F.lit(first).cast("timestamp"))
+                      & (F.col("l_shipdate") < F.lit(f"{year - 20}-10-01").cast("timestamp")))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
@@ -90,9 +86,15 @@ def ledger_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return df.select(
         fy.alias("fiscal_year"),
         month_abbr("l_shipdate").alias("month"),
+        F.when(F.col("l_linenumber") != 1, F.col("r_name")).alias("AGENCY"),
         F.col("r_name").alias("AGENCY_TITLE"),
-        F.col("n_name").alias("BUREAU"),
+        F.when(F.col("l_linenumber") != 7, F.col("n_name")).alias("BUREAU"),
+        F.concat(F.lit("Bureau of "), F.col("n_name")).alias("BUREAU_TITLE"),
         F.concat(agency_code, F.lit("-"), F.col("p_brand")).alias("OMB_ACCT"),
+        F.concat(agency_code, F.lit("-"), nation_code, F.lit("   "), F.col("p_brand"), F.lit(" Commission")).alias("OMB_ACCOUNT"),
+        F.when(F.col("l_linenumber") > 2, F.concat(F.lit("Line "), lineno)).alias("LINE_DESC"),
+        F.when(F.col("p_size") == 1, F.lit("1")).otherwise(F.lit("0")).alias("TRAG"),
+        F.lit("0").alias("TRACCT"),
         F.concat(account, period, F.lit(" - "), F.col("p_brand")).alias("TAFS"),
         lineno.alias("LINENO"),
         fy1.alias("FY1"), fy2.alias("FY2"), alloc.alias("ALLOC"),

@@ -2,11 +2,11 @@
 
 New raw ledger files land in a folder partitioned by (fiscal_year, month).
 A file-source stream picks them up; ``foreachBatch`` folds each micro-batch
-into additive group aggregates (month sums, counts, code-check counts and
-first-value orderings) and writes them under ``epoch=<batch id>`` with
+into partial group aggregates (month sums, counts, code-check counts and first
+positions per group and text) and writes them under ``epoch=<batch id>`` with
 overwrite, so a retried batch replaces its own output (exactly-once). The
-master is the merge of all epochs — sums add, first values take the
-minimum ordering — followed by the same per-file steps as the batch build.
+master is resolved from all epochs' partial groups by the same functions
+as the batch build; ``compact`` folds finished epochs into one.
 """
 
 from __future__ import annotations
@@ -15,24 +15,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import FISCAL_MONTHS
-from ..operators.ingest import CHECK_COLUMNS, MASTER_KEYS, aggregate_with_checks, derive_codes
+from ..operators.ingest import CHECK_COLUMNS, FIRST_COLUMNS, derive_codes, group_keys, partial_groups, resolve_groups
 
-GROUP_KEYS = ["fiscal_year", "Source_File", *MASTER_KEYS]
 
-
-def batch_groups(batch: DataFrame) -> DataFrame:
-    """Group aggregates of one micro-batch (mergeable across batches)."""
-    return aggregate_with_checks(derive_codes(batch), mergeable=True)
-
-
-def merge_groups(parts: DataFrame) -> DataFrame:
-    """Merge partial group aggregates from several batches into one row per group."""
-    sums = [F.sum(m).cast("decimal(38,2)").alias(m) for m in FISCAL_MONTHS]
-    counts = [F.sum(c).alias(c) for c in ["source_rows", *CHECK_COLUMNS] if c in parts.columns]
-    g = parts.groupBy(*GROUP_KEYS).agg(*sums, *counts, F.min("_agency_first").alias("_agency_first"),
-                                       F.min("_tafs_first").alias("_tafs_first"))
-    return g.withColumns({"TAFS": F.col("_tafs_first.tafs"),
-                          "AGENCY_TITLE": F.col("_agency_first.agency")}).drop("_tafs_first")
+def merge_partials(parts: DataFrame) -> DataFrame:
+    """Partial groups of several batches folded into one row per (group keys, texts); keys come from the schema."""
+    by = [*group_keys(parts), *[c for c in FIRST_COLUMNS if c in parts.columns]]
+    sums = [F.sum(c).alias(c) for c in [*FISCAL_MONTHS, "source_rows", *CHECK_COLUMNS] if c in parts.columns]
+    return parts.groupBy(*by).agg(*sums, F.min("_ord").alias("_ord"))
 
 
 def write_month_partitions(raw: DataFrame, path: str) -> str:
@@ -48,7 +38,7 @@ def ingest_stream(spark: SparkSession, source: str, groups_dir: str, checkpoint:
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
-        batch_groups(df).write.mode("overwrite").parquet(f"{groups_dir}/epoch={epoch_id}")
+        partial_groups(derive_codes(df)).write.mode("overwrite").parquet(f"{groups_dir}/epoch={epoch_id}")
 
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
@@ -56,4 +46,11 @@ def ingest_stream(spark: SparkSession, source: str, groups_dir: str, checkpoint:
 
 
 def streamed_groups(spark: SparkSession, groups_dir: str) -> DataFrame:
-    return merge_groups(spark.read.parquet(groups_dir).drop("epoch"))
+    """One row per group over all epochs."""
+    return resolve_groups(spark.read.parquet(groups_dir).drop("epoch"))
+
+
+def compact(spark: SparkSession, groups_dir: str, compacted_dir: str) -> str:
+    """Write all epochs' partial groups as one epoch of a new folder, so that later merges read one row per group and text."""
+    merge_partials(spark.read.parquet(groups_dir).drop("epoch")).write.mode("overwrite").parquet(f"{compacted_dir}/epoch=0")
+    return compacted_dir
