@@ -82,11 +82,9 @@ def most_recent_month(summary: DataFrame, year_col: str = "Fiscal_Year", month_c
             .where(ord_c == F.col("_ord")).drop("_ord"))
 
 
-def list_periods(summary: DataFrame, year_col: str = "Fiscal_Year", month_col: str = "Month") -> DataFrame:
-    """Catalogue of (year, month) in fiscal order, latest flag per year."""
-    per = summary.select(year_col, month_col).distinct()
-    w = Window.partitionBy(year_col)
-    o = fiscal_month_ord(F.col(month_col))
-    return (per.withColumn("month_ord", o)
-            .withColumn("is_latest", F.col("month_ord") == F.max(o).over(w))
-            .orderBy(year_col, "month_ord"))
+def list_periods(available: DataFrame, year_col: str = "fiscal_year") -> DataFrame:
+    """Catalogue of (year, month) in fiscal order, latest flag per year, from the table of months with data
+    (at most twelve rows a year), so no summary needs to be built or read for it."""
+    return (available.select(F.col(year_col).alias("Fiscal_Year"), F.col("month").alias("Month"), "month_ord")
+            .withColumn("is_latest", F.col("month_ord") == F.max("month_ord").over(Window.partitionBy("Fiscal_Year")))
+            .orderBy("Fiscal_Year", "month_ord"))

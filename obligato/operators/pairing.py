@@ -66,6 +66,28 @@ def pair_lines(master: DataFrame, months: DataFrame, keys=("Agency", "TAFS"),
     return u.join(b, cond).drop("_b_fiscal_year", "_b_month", *[f"_b_{k}" for k in keys])
 
 
+def pair_counts(master: DataFrame, months: DataFrame, keys=("Agency", "TAFS")) -> DataFrame:
+    """Rows and sums of both lines per (year, month, keys): what the pairing of a key would make, without pairs.
+
+    A key's pairs number rows_2490 x rows_2500, NULL keys pair with each other; large products show hot keys.
+    """
+    by = ["fiscal_year", "month", *keys]
+    u = line_values(master, LINE_UNOBLIGATED, months, extra=()).withColumn("is_u", F.lit(1))
+    b = line_values(master, LINE_BUDGET_AUTHORITY, months, extra=()).withColumn("is_u", F.lit(0))
+    both, of_u = u.unionByName(b), F.col("is_u") == 1
+    return both.groupBy(*by).agg(F.count_if(of_u).alias("rows_2490"), F.count_if(~of_u).alias("rows_2500"),
+                                 F.sum(F.when(of_u, F.col("value"))).alias("sum_2490"), F.sum(F.when(~of_u, F.col("value"))).alias("sum_2500"))
+
+
+def pair_totals(master: DataFrame, months: DataFrame, keys=("Agency", "TAFS")) -> DataFrame:
+    """D2 totals per year: pairs and their sums, each side aggregated per key first (pairs = n_u n_b, sums s_u n_b and s_b n_u)."""
+    c = pair_counts(master, months, keys).where((F.col("rows_2490") > 0) & (F.col("rows_2500") > 0))
+    return c.groupBy("fiscal_year").agg(
+        F.sum(F.col("rows_2490") * F.col("rows_2500")).alias("pairs"),
+        F.sum(F.col("sum_2490").cast("decimal(28,2)") * F.col("rows_2500").cast("decimal(10,0)")).cast("double").alias("unobligated"),
+        F.sum(F.col("sum_2500").cast("decimal(28,2)") * F.col("rows_2490").cast("decimal(10,0)")).cast("double").alias("budget"))
+
+
 def summarize_pairs(pairs: DataFrame) -> DataFrame:
     """B11-B16a + B17a: typed summary columns from paired values."""
     unob = to_millions(F.col("value_2490"))

@@ -114,14 +114,12 @@ def rollup(df: DataFrame, level: str = "agency", by_period: bool = True,
 LEVEL_KEYS = {"agency": ["Agency"], "bureau": ["Agency", "Bureau"], "account": ["Agency", "Bureau", "Account"]}
 
 
-def rollup_multi_year(monthly: DataFrame, level: str = "agency", month: str | None = None,
-                      expiration=None, agencies=None, bureaus=None, periods=None,
-                      pct_range: str | None = None) -> DataFrame:
-    """Month filter (latest per year by default) -> expiration filter
+def rollup_multi_year(rows: DataFrame, level: str = "agency", expiration=None, agencies=None, bureaus=None,
+                      periods=None, pct_range: str | None = None) -> DataFrame:
+    """Loaded rows of all years (``sources.sinks.load_year_month``) -> expiration filter
     -> dimension and percentage filters -> one groupBy per level with display
     fields (B27)."""
-    df = filter_month(monthly, month)
-    df = filter_expiring(df, expiration)
+    df = filter_expiring(rows, expiration)
     df = filter_dims(df, agencies, bureaus, periods)
     df = filter_pct_range(df, pct_range)
     keys = ["Fiscal_Year", "Month", *LEVEL_KEYS[level]]
@@ -135,6 +133,36 @@ def rollup_multi_year(monthly: DataFrame, level: str = "agency", month: str | No
         "pct_unobligated", pct_rollup(F.col("unobligated"), F.col("budget_authority")))
 
 
+def explore_year(yearly: DataFrame, level: str = "account", expiration=None, agencies=None, bureaus=None, periods=None,
+                 pct_range: str | None = None) -> DataFrame:
+    """P5: one composed view per fiscal year: filters -> rollup at the level -> display texts, largest budget
+    first within a year (G2). Account level shows the rows themselves."""
+    df = filter_pct_range(filter_dims(filter_expiring(yearly, expiration), agencies, bureaus, periods), pct_range)
+    if level == "account":
+        out = df.select("Fiscal_Year", *LEVEL_KEYS[level], "Account_Number", "TAFS", "Period_of_Performance", "Expiration_Year",
+                        F.col(BA).alias("budget_authority"), F.col(UNOB).alias("unobligated"),
+                        F.col("Percentage_Unobligated").alias("pct_unobligated"))
+    else:
+        out = rollup(df, level)
+        count = F.concat(F.col("account_count").cast("string"), F.lit(" accounts"))
+        out = out.withColumn("Account", count)
+        if level == "agency":
+            out = out.withColumn("Bureau", F.concat(F.col("bureau_count").cast("string"), F.lit(" bureaus")))
+    return sort_budget_desc(out, "budget_authority", ties=("Fiscal_Year", *LEVEL_KEYS[level], "Period_of_Performance", "Expiration_Year"))
+
+
+def view_totals(view: DataFrame, level: str) -> DataFrame:
+    """E16 of a view: sums, percentage, and the number of different agencies, bureaus or rows that the level counts."""
+    entity = {"agency": F.count_distinct(F.nullif(F.col("Agency"), F.lit(""))),
+              "bureau": F.count_distinct(F.nullif(F.col("Bureau"), F.lit(""))), "account": F.count(F.lit(1))}[level]
+    one, many = {"agency": ("agency", "agencies"), "bureau": ("bureau", "bureaus"), "account": ("accounts", "accounts")}[level]
+    out = view.groupBy("Fiscal_Year").agg(exact_sum("budget_authority").alias("total_budget"),
+                                          exact_sum("unobligated").alias("total_unobligated"), entity.alias("entities"))
+    return out.withColumns({
+        "pct_unobligated": pct_rollup(F.col("total_unobligated"), F.col("total_budget")),
+        "entity_type": F.when(F.col("entities") == 1, F.lit(one)).otherwise(F.lit(many))})
+
+
 def level_display(agg: DataFrame, level: str) -> DataFrame:
     """Display text per level ('N bureaus', 'N accounts', period 'All')."""
     if level == "agency":
@@ -182,8 +210,7 @@ def bubble_scale(df: DataFrame, lo: float = 5.0, hi: float = 40.0, ba: str = "bu
     pos = df.where(F.col(ba) > 0)
     group = group or []
     if group:
-        mx = pos.groupBy(*group).agg(F.max(ba).alias("_max"))   # one row per group
-        joined = pos.join(F.broadcast(mx), group)
+        joined = pos.join(pos.groupBy(*group).agg(F.max(ba).alias("_max")), group)
     else:
         joined = pos.withColumn("_max", pos.select(F.max(ba)).scalar())
     return (joined.withColumn("radius", F.lit(lo) + F.lit(hi - lo) * F.sqrt(F.col(ba) / F.col("_max")))

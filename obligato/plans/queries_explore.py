@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators import facets as FA
 from ..operators import rollup as R
-from ..operators.months import list_periods, most_recent_month
+from ..operators.months import available_months, list_periods, most_recent_month
 from ..operators.pairing import sort_summary
+from ..sources.sinks import export_year, load_year_month
 from . import oracle_sql as S
 from .pipelines import build_master, monthly_summary_from, year_summary_from
 from .registry import register
@@ -21,8 +22,18 @@ def yearly(spark, d):
     return year_summary_from(build_master(spark, d))
 
 
-def monthly(spark, d):
-    return monthly_summary_from(build_master(spark, d))
+def monthly(spark, d, months=None):
+    return monthly_summary_from(build_master(spark, d), months)
+
+
+def loaded(spark, d, month=None, fallback="skip"):
+    """A5 rows for a view; the tables that the choice doesn't read are not built."""
+    if month is None:
+        return yearly(spark, d)
+    m = build_master(spark, d)
+    if fallback == "skip":
+        return monthly_summary_from(m, [month])
+    return load_year_month(year_summary_from(m), monthly_summary_from(m, [month]), month, fallback)
 
 
 def _esum(c: str) -> str:
@@ -89,13 +100,33 @@ def q_rollup_account(spark, d):
 
 # ------------------------------------------------------------------ E15 / P6
 
-def _mr_filter(src: str, month: str | None) -> str:
-    if month is not None:
-        return f"SELECT * FROM {src} WHERE Month = {S.q(month)}"
+def _mr_filter(src: str) -> str:
     return (f"SELECT s.* FROM {src} s JOIN (SELECT Fiscal_Year, max({S.month_ord('Month')}) AS o FROM {src} "
             f"GROUP BY Fiscal_Year) mr ON s.Fiscal_Year = mr.Fiscal_Year AND {S.month_ord('s.Month')} = mr.o")
 
 
+def _load_sql(month: str | None, fallback: str = "skip") -> str:
+    if month is None:
+        return "SELECT * FROM yearly"
+    chosen = f"SELECT * FROM monthly WHERE Month = {S.q(month)}"
+    if fallback == "skip":
+        return chosen
+    return (f"{chosen} UNION ALL BY NAME SELECT * FROM yearly WHERE Fiscal_Year NOT IN "
+            f"(SELECT Fiscal_Year FROM monthly WHERE Month = {S.q(month)})")
+
+
+@register("load_year_month", MY + f"SELECT * FROM ({_load_sql('Sep', 'latest')})")
+def q_load_year_month(spark, d):
+    """A5: September of every year; a year without it shows its year summary."""
+    return loaded(spark, d, "Sep", "latest")
+
+
+@register("load_year_month_skip", MY + f"SELECT * FROM ({_load_sql('Sep')})")
+def q_load_year_month_skip(spark, d):
+    """A5: September of every year; a year without it is left out."""
+    return loaded(spark, d, "Sep")
+
+
 def _multi_sql(level: str, month=None, expiration=None, agencies=None, pct_range=None) -> str:
     where = ["TRUE"]
     if expiration is None:
@@ -114,7 +145,7 @@ def _multi_sql(level: str, month=None, expiration=None, agencies=None, pct_range
     inner = (f"SELECT {', '.join(keys)}, {_esum('Budget_Authority_M')} AS budget_authority, "
              f"{_esum('Unobligated_Balance_M')} AS unobligated, count(*) AS account_count, "
              f"count(DISTINCT nullif(Bureau, '')) AS bureau_count{extra} "
-             f"FROM ({_mr_filter('monthly', month)}) WHERE {' AND '.join(where)} GROUP BY {', '.join(keys)}")
+             f"FROM ({_load_sql(month)}) WHERE {' AND '.join(where)} GROUP BY {', '.join(keys)}")
     if level == "agency":
         disp = ("CAST(bureau_count AS VARCHAR) || ' bureaus' AS Bureau, "
                 "CAST(account_count AS VARCHAR) || ' accounts' AS Account, 'All' AS Period_of_Performance")
@@ -125,29 +156,29 @@ def _multi_sql(level: str, month=None, expiration=None, agencies=None, pct_range
     else:
         disp = f"{_dflt('_period', 'All')} AS Period_of_Performance"
         cols = "* EXCLUDE (_period)"
-    return M + f"SELECT {cols}, {disp}, {S.pct_rollup('unobligated', 'budget_authority')} AS pct_unobligated FROM ({inner})"
+    return MY + f"SELECT {cols}, {disp}, {S.pct_rollup('unobligated', 'budget_authority')} AS pct_unobligated FROM ({inner})"
 
 
 @register("rollup_multi_year", _multi_sql("agency"))
 def q_rollup_multi_year(spark, d):
-    """Agency level, each year's most recent month, money expiring in year."""
-    return R.rollup_multi_year(monthly(spark, d), "agency")
+    """Agency level, each year's summary, money expiring in year."""
+    return R.rollup_multi_year(loaded(spark, d), "agency")
 
 
 @register("rollup_multi_year_bureau", _multi_sql("bureau", month="Mar", pct_range="25-100"))
 def q_rollup_multi_year_bureau(spark, d):
     """Bureau level, March of every year, rows with 25 <= pct <= 100."""
-    return R.rollup_multi_year(monthly(spark, d), "bureau", month="Mar", pct_range="25-100")
+    return R.rollup_multi_year(loaded(spark, d, "Mar"), "bureau", pct_range="25-100")
 
 
 @register("rollup_multi_year_account", _multi_sql("account", expiration="ALL_YEARS", agencies=["ASIA", "EUROPE"]))
 def q_rollup_multi_year_account(spark, d):
     """Account level, all expiration years, two agencies."""
-    return R.rollup_multi_year(monthly(spark, d), "account", expiration="ALL_YEARS",
+    return R.rollup_multi_year(loaded(spark, d), "account", expiration="ALL_YEARS",
                                agencies=["ASIA", "EUROPE"])
 
 
-@register("most_recent_month", M + f"SELECT * FROM ({_mr_filter('monthly', None)})")
+@register("most_recent_month", M + f"SELECT * FROM ({_mr_filter('monthly')})")
 def q_most_recent_month(spark, d):
     """rows of each fiscal year's latest month."""
     return most_recent_month(monthly(spark, d))
@@ -186,7 +217,7 @@ def q_filter_expiring(spark, d):
 @register("filter_month", M + "SELECT * FROM monthly WHERE Month = 'Jun'")
 def q_filter_month(spark, d):
     """One month across years."""
-    return R.filter_month(monthly(spark, d), "Jun")
+    return monthly(spark, d, ["Jun"])
 
 
 @register("positive_budget", Y + "SELECT * FROM yearly WHERE Budget_Authority_M > 0")
@@ -297,13 +328,13 @@ def q_expiry_flag(spark, d):
     return R.expiry_flags(yearly(spark, d), 2021)
 
 
-@register("list_periods", M + f"""
-SELECT Fiscal_Year, Month, {S.month_ord('Month')} AS month_ord,
-       {S.month_ord('Month')} = max({S.month_ord('Month')}) OVER (PARTITION BY Fiscal_Year) AS is_latest
-FROM (SELECT DISTINCT Fiscal_Year, Month FROM monthly) ORDER BY Fiscal_Year, month_ord""")
+@register("list_periods", S.with_ctes("avail") + """
+SELECT fiscal_year AS Fiscal_Year, month AS Month, month_ord,
+       month_ord = max(month_ord) OVER (PARTITION BY fiscal_year) AS is_latest
+FROM avail ORDER BY Fiscal_Year, month_ord""")
 def q_list_periods(spark, d):
     """Catalogue of (year, month) in fiscal order with the latest month flagged."""
-    return list_periods(monthly(spark, d))
+    return list_periods(available_months(build_master(spark, d)))
 
 
 @register("agency_table", Y + f"""
@@ -319,3 +350,67 @@ FROM folded""")
 def q_agency_table(spark, d):
     """Per-year agency table, top three by budget and an 'All Other' row."""
     return R.agency_table(yearly(spark, d), 3)
+
+
+# ------------------------------------------------------------------ P5 composed views
+
+def _explore_sql(level: str, where: str) -> str:
+    if level == "account":
+        return f"""
+SELECT Fiscal_Year, Agency, Bureau, Account, Account_Number, TAFS, Period_of_Performance, Expiration_Year,
+       Budget_Authority_M AS budget_authority, Unobligated_Balance_M AS unobligated, Percentage_Unobligated AS pct_unobligated
+FROM yearly WHERE {where}"""
+    bureau = {"agency": ", count(DISTINCT nullif(Bureau, '')) AS bureau_count", "bureau": ""}[level]
+    key = {"agency": "", "bureau": f", {_dflt('Bureau', 'Other')} AS Bureau"}[level]
+    shown = ", CAST(bureau_count AS VARCHAR) || ' bureaus' AS Bureau" if level == "agency" else ""
+    return f"""SELECT *, CAST(account_count AS VARCHAR) || ' accounts' AS Account{shown} FROM ({_with_pct(f"""
+SELECT Fiscal_Year, {_dflt('Agency', 'Other')} AS Agency{key}, {_dflt('Period_of_Performance', 'Unknown')} AS Period_of_Performance,
+       {_dflt('Expiration_Year', 'Unknown')} AS Expiration_Year, {_esum('Budget_Authority_M')} AS budget_authority,
+       {_esum('Unobligated_Balance_M')} AS unobligated, count(*) AS account_count{bureau}
+FROM yearly WHERE {where} GROUP BY ALL""")})"""
+
+
+_VIEWS = {"agency": ("Expiration_Year = CAST(Fiscal_Year AS VARCHAR)", {}),
+          "bureau": ("Agency IN ('ASIA', 'AMERICA')", {"expiration": "ALL_YEARS", "agencies": ["ASIA", "AMERICA"]}),
+          "account": ("Agency = 'ASIA' AND Expiration_Year = CAST(Fiscal_Year AS VARCHAR)", {"agencies": ["ASIA"]})}
+_ENTITY = {"agency": ("count(DISTINCT nullif(Agency, ''))", "agency", "agencies"),
+           "bureau": ("count(DISTINCT nullif(Bureau, ''))", "bureau", "bureaus"), "account": ("count(*)", "accounts", "accounts")}
+
+
+def _register_view(level: str) -> None:
+    where, options = _VIEWS[level]
+    inner = _explore_sql(level, where)
+    entity, one, many = _ENTITY[level]
+
+    @register(f"explore_year_{level}", Y + inner)
+    def view(spark, d):
+        return R.explore_year(yearly(spark, d), level, **options)
+
+    view.__doc__ = f"P5/G2: composed view of every year at {level} level, largest budget first."
+
+    @register(f"view_totals_{level}", Y + f"""
+SELECT Fiscal_Year, total_budget, total_unobligated, entities, {S.pct_rollup('total_unobligated', 'total_budget')} AS pct_unobligated,
+       CASE WHEN entities = 1 THEN '{one}' ELSE '{many}' END AS entity_type
+FROM (SELECT Fiscal_Year, {_esum('budget_authority')} AS total_budget, {_esum('unobligated')} AS total_unobligated,
+             {entity} AS entities FROM ({inner}) GROUP BY 1)""")
+    def totals(spark, d):
+        return R.view_totals(R.explore_year(yearly(spark, d), level, **options), level)
+
+    totals.__doc__ = f"E16: totals and entity count of the {level} view."
+
+    texts = {"agency": ["Agency", "Bureau", "Account"], "bureau": ["Agency", "Bureau", "Account"],
+             "account": ["Agency", "Bureau", "Account", "Account_Number"]}[level] + ["Period_of_Performance", "Expiration_Year"]
+    quoted = " || ',' || ".join(f"""'"' || replace({c}, '"', '""') || '"'""" for c in texts)
+    number = lambda c: f"regexp_replace({S.fmt_fixed(c, 1)}, '\\.0$', '')"
+
+    @register(f"export_year_{level}", Y + f"""
+SELECT Fiscal_Year, {', '.join(texts)}, {quoted} || ',' || {number('unobligated')} || ',' || {number('budget_authority')}
+       || ',' || {S.fmt_fixed('pct_unobligated', 1)} AS csv_line FROM ({inner})""")
+    def export(spark, d):
+        return export_year(R.explore_year(yearly(spark, d), level, **options), level)
+
+    export.__doc__ = f"A27: CSV lines of the {level} view of each year."
+
+
+for _level in _VIEWS:
+    _register_view(_level)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import to_number
 from ..operators import ingest as I
 from ..operators import months as MO
-from ..operators.pairing import LINE_BUDGET_AUTHORITY, LINE_UNOBLIGATED, pair_lines
+from ..operators.pairing import pair_totals
 from ..operators.rollup import sort_expiration
 from ..sources.fixture import ledger_rows, unit_notes
 from . import oracle_sql as S
@@ -61,20 +61,17 @@ GROUP BY 1""")
 def q_pair_lines_oia(spark, d):
     """Pairing on the symbol alone (all agencies), latest month, totals per year."""
     m = build_master(spark, d)
-    p = pair_lines(m, MO.latest_month(m), keys=("TAFS",))
-    return p.groupBy("fiscal_year").agg(F.count(F.lit(1)).alias("pairs"),
-                                        F.sum("value_2490").cast("double").alias("unobligated"),
-                                        F.sum("value_2500").cast("double").alias("budget"))
+    return pair_totals(m, MO.latest_month(m), keys=("TAFS",))
 
 
-@register("attach_period_metadata", S.with_ctes("monthly", "latest") + """
-SELECT y.Fiscal_Year, coalesce(l.month, 'Sep') AS display_month FROM (SELECT DISTINCT Fiscal_Year FROM monthly) y
+@register("attach_period_metadata", S.with_ctes("avail", "latest") + """
+SELECT y.Fiscal_Year, coalesce(l.month, 'Sep') AS display_month FROM (SELECT DISTINCT fiscal_year AS Fiscal_Year FROM avail) y
 LEFT JOIN (SELECT * FROM latest WHERE fiscal_year <= 2020) l ON y.Fiscal_Year = l.fiscal_year""")
 def q_attach_period_metadata(spark, d):
     """Year -> display month from metadata (years up to 2020 present), default 'Sep'."""
     m = build_master(spark, d)
     meta = MO.latest_month(m).where("fiscal_year <= 2020").select(F.col("fiscal_year").alias("Fiscal_Year"), "month")
-    years = monthly_summary_from(m).select("Fiscal_Year").distinct()
+    years = MO.available_months(m).select(F.col("fiscal_year").alias("Fiscal_Year")).distinct()
     return (years.join(F.broadcast(meta), "Fiscal_Year", "left")      # one row per year
             .select("Fiscal_Year", F.coalesce("month", F.lit("Sep")).alias("display_month")))
 

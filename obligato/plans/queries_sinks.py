@@ -13,7 +13,7 @@ from ..sources import links as L
 from ..sources import sinks as K
 from . import oracle_sql as S
 from .pipelines import build_master, build_one_month_files, monthly_summary_from, year_summary_from
-from .queries_explore import _multi_sql
+from .queries_explore import MY, _multi_sql
 from .registry import register
 
 _M = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" for m in S.FISCAL_MONTHS)
@@ -29,22 +29,29 @@ def q_write_master(spark, d):
                     *[F.col(x).cast("double").alias(x) for x in S.FISCAL_MONTHS])
 
 
-@register("write_year_summary", S.with_ctes("yearly") + f"""
-SELECT {', '.join('nullif("' + c + chr(34) + ", '') AS " + chr(34) + c + chr(34) for c in K.YEAR_CSV_COLUMNS)},
-       Fiscal_Year FROM yearly""")
+_NUM = {"Unobligated_Balance_M": "Unobligated Balance (Line 2490)", "Budget_Authority_M": "Budget Authority (Line 2500)",
+        "Percentage_Unobligated": "Percentage Unobligated"}
+_TYPED = ", ".join(f"""TRY_CAST(regexp_replace("{t}", '[$,M%]', '', 'g') AS DOUBLE) AS {n}""" for n, t in _NUM.items())
+
+
+def _cols(names) -> str:
+    return ", ".join(f'"{c}"' for c in names)
+
+
+@register("write_year_summary", S.with_ctes("yearly") + f"SELECT {_cols(K.YEAR_CSV_COLUMNS)}, Fiscal_Year, {_TYPED} FROM yearly")
 def q_write_year_summary(spark, d):
-    """A21 + A4: year summaries written as CSV per year and scanned back (quote-aware, malformed dropped)."""
+    """A21 + A4: year summaries written as CSV per year, scanned back and their display text parsed."""
     path = K.write_year_summary(year_summary_from(build_master(spark, d)), K.output_dir(spark, "year"))
-    return K.scan_summary_csv(spark, path)
+    return K.parse_summary(K.scan_summary_csv(spark, path))
 
 
-@register("write_monthly_summary", S.with_ctes("monthly") + """
-SELECT Fiscal_Year AS fy, Month AS m, count(*) AS rows FROM monthly GROUP BY 1, 2""")
+@register("write_monthly_summary", S.with_ctes("monthly") + f"""
+SELECT {_cols(c for c in K.MONTH_CSV_COLUMNS if c != 'Fiscal_Year')}, CAST(Fiscal_Year AS VARCHAR) AS Fiscal_Year,
+       Fiscal_Year AS fy, Month AS m FROM monthly""")
 def q_write_monthly_summary(spark, d):
-    """Monthly summaries written per (year, month); rows per written partition."""
+    """A22 + A4: monthly summaries written per (year, month) and scanned back in full (the '_all' union of every year)."""
     path = K.write_monthly_summary(monthly_summary_from(build_master(spark, d)), K.output_dir(spark, "monthly"))
-    back = spark.read.option("header", True).csv(path)
-    return back.groupBy(F.col("fy").cast("int").alias("fy"), "m").agg(F.count(F.lit(1)).alias("rows"))
+    return K.scan_summary_csv(spark, path, K.MONTH_CSV_COLUMNS, "fy int, m string")
 
 
 @register("summary_json")
@@ -59,21 +66,23 @@ def q_year_profile_json(spark, d):
     return PR.year_profile_json(build_master(spark, d), 2022)
 
 
-_MS = S.with_ctes("monthly")
-_EXP = _MS.rstrip("\n") + ",\nagg AS (" + _multi_sql("agency")[len(_MS):] + ")\n"
+def _register_export(level: str) -> None:
+    inner = _multi_sql(level)[len(MY):]
+    quoted = " || ',' || ".join(f"""'"' || replace({c}, '"', '""') || '"'""" for c in ["Agency", "Bureau", "Account", "Period_of_Performance"])
+
+    @register("export_level" if level == "agency" else f"export_level_{level}", MY + f"""
+SELECT Fiscal_Year, Month, Agency, Bureau, Account, Period_of_Performance,
+  '"' || Month || '",' || CAST(Fiscal_Year AS VARCHAR) || ',' || {quoted} || ',' || {S.fmt_fixed('budget_authority', 1)}
+  || ',' || {S.fmt_fixed('unobligated', 1)} || ',' || {S.fmt_fixed('pct_unobligated', 1)} AS csv_line
+FROM ({inner})""")
+    def export(spark, d):
+        return K.export_multi_year(R.rollup_multi_year(year_summary_from(build_master(spark, d)), level))
+
+    export.__doc__ = f"A27: CSV lines of the view of all years at {level} level."
 
 
-@register("export_level", _EXP + """
-SELECT Fiscal_Year, Month, Agency, Bureau, Account,
-  '"' || replace(CAST(Fiscal_Year AS VARCHAR), '"', '""') || '",' || '"' || replace(Month, '"', '""') || '",'
-  || '"' || replace(Agency, '"', '""') || '",' || '"' || replace(Bureau, '"', '""') || '",'
-  || '"' || replace(Account, '"', '""') || '",' || '"$' || format('{:,.1f}', budget_authority) || 'M",'
-  || '"$' || format('{:,.1f}', unobligated) || 'M",' || '"' || format('{:.1f}', pct_unobligated) || '%"' AS csv_line
-FROM agg""")
-def q_export_level(spark, d):
-    """Agency-level multi-year view exported as quoted CSV lines."""
-    agg = R.rollup_multi_year(monthly_summary_from(build_master(spark, d)), "agency")
-    return K.export_level(agg, "agency")
+for _level in ("agency", "bureau", "account"):
+    _register_export(_level)
 
 
 def _full_sql() -> str:
