@@ -67,54 +67,64 @@ class Encoder:
         self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
         sample = "".join(map(chr, [*range(0x800), *range(0x800, 0xD800, 0x40), *range(0xE000, 0x110000, 0x1000)]))
         letters = "".join(p for p, _ in pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(sample))
+        suffix = json.loads(tokenizer_json)["model"].get("end_of_word_suffix") or "\0"
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends_word[[i for t, i in self.tokenizer.get_vocab().items() if t.endswith(suffix)]] = True
         self.alphabet = dict(zip(sample.encode(), letters, strict=True)) | {ord(" "): " "}
 
     def _ids(self, tokenizer, text: str) -> np.ndarray:
         return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
-    def _parted(self, tokenizer, words: list[bytes], spelled) -> list[bytes]:
-        """Ids of each word from one call for all, parted by the ids of the mark."""
+    def _cut(self, ids: np.ndarray, first: list[int], last: list[int]) -> list[bytes]:
+        data, size = ids.tobytes(), self.dtype.itemsize
+        return [data[a * size:b * size] for a, b in zip(first, last, strict=True)]
+
+    def _plain_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of words that are one piece each: a piece ends where a token ends a word."""
         if not words:
             return []
-        ids = self._ids(tokenizer, spelled(b" \x01 ".join(words)))
-        at, size, ids = np.flatnonzero(ids == self.mark) * self.dtype.itemsize, self.dtype.itemsize, ids.tobytes()
-        return [ids[a:b] for a, b in zip([0, *(at + size).tolist()], [*at.tolist(), len(ids)], strict=True)]
-
-    def _word_ids(self, words: list[bytes]) -> dict[bytes, bytes]:
-        if self.mark is None:
-            return {w: self._ids(self.tokenizer, w.decode("utf-8", "replace")).tobytes() for w in words}
-        plain, odd, rest = [], [], []
-        for w in words:
-            if w.isalpha() and w.islower():
-                plain.append(w)
-            elif _MARK in w:
-                odd.append(w)
-            else:
-                u = w.decode("utf-8", "replace")
-                known = u.isalpha() and u == u.lower() and unicodedata.is_normalized("NFC", u)
-                (plain if known else rest).append(w)
-        out = dict(zip(plain, self._parted(self.plain, plain, lambda j: j.decode("latin-1").translate(self.alphabet)), strict=True))
-        out.update(zip(rest, self._parted(self.tokenizer, rest, lambda j: j.decode("utf-8", "replace")), strict=True))
-        return out | {w: self._ids(self.tokenizer, w.decode("utf-8", "replace")).tobytes() for w in odd}
+        ids = self._ids(self.plain, b" ".join(words).decode("latin-1").translate(self.alphabet))
+        ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+        if len(ends) != len(words):  # no word ends in the vocabulary
+            return self._marked_ids(words)
+        return self._cut(ids, [0, *ends[:-1]], ends)
+
+    def _marked_ids(self, words: list[bytes]) -> list[bytes]:
+        """Ids of any words from one call for all, parted by the ids of the mark."""
+        if not words:
+            return []
+        if self.mark is None or any(_MARK in w for w in words):
+            return [self._ids(self.tokenizer, w.decode("utf-8", "replace")).tobytes() for w in words]
+        ids = self._ids(self.tokenizer, b" \x01 ".join(words).decode("utf-8", "replace"))
+        at = np.flatnonzero(ids == self.mark)
+        return self._cut(ids, [0, *(at + 1).tolist()], [*at.tolist(), len(ids)])
 
     def _learn(self, words: set[bytes]) -> None:
         young, old = self.young, self.old
-        whole, joined = set(), []
+        plain, rest, joined = [], [], []
         for w in words:
-            if w in old:
-                young[w] = old[w]
-                continue
-            base = w.rstrip(_PUNCTUATION)
-            if len(base) == len(w) or not base or base[-1] not in _LETTERS or b"<|" in w:
-                whole.add(w)
+            known = old.get(w)
+            if known is not None:
+                young[w] = known
+            elif w.isalpha():
+                (plain if w.islower() else rest).append(w)
             else:
-                joined.append(w)
-                whole.add(base)
-                whole.add(w[len(base):])
-        young.update(self._word_ids([w for w in whole if w not in young and w not in old]))
-        for w in joined:
-            base = w.rstrip(_PUNCTUATION)
-            tail = w[len(base):]
+                base = w.rstrip(_PUNCTUATION)
+                if len(base) == len(w) or not base or base[-1] not in _LETTERS or b"<|" in w:
+                    rest.append(w)
+                else:
+                    joined.append((w, base, w[len(base):]))
+        pieces = {p for _, base, tail in joined for p in (base, tail)}.difference(words)
+        for p in pieces:
+            if p not in young and p not in old:
+                (plain if p.isalpha() and p.islower() else rest).append(p)
+        odd = []
+        for w in rest:
+            u = w.decode("utf-8", "replace")
+            (plain if u.isalpha() and u == u.lower() and unicodedata.is_normalized("NFC", u) else odd).append(w)
+        young.update(zip(plain, self._plain_ids(plain), strict=True))
+        young.update(zip(odd, self._marked_ids(odd), strict=True))
+        for w, base, tail in joined:
             young[w] = (young.get(base) or old[base]) + (young.get(tail) or old[tail])
 
     def __call__(self, texts: list[bytes | None]) -> list[bytes]:
