@@ -1,31 +1,37 @@
 """History-aware outlier report.
 
-Every step is an aggregate or an equi-join on small keys:
+All report levels go through together, with the level as part of every key:
 
-* entity summary  — one ``groupBy`` of the current-year rows;
+* entity summary  — one ``groupBy`` of the current-year rows, each row counted once per level;
 * mean / std      — one row per report level, joined on the level key;
 * BH-FDR ranks    — over *distinct* p-values (ties collapse under partial
-  aggregation), split into quantile buckets; per-bucket counts form a table
-  of at most ``BUCKETS`` rows whose prefix sums give each bucket's offset, and
+  aggregation), split into quantile buckets of about ``PER_BUCKET`` values; per-bucket counts
+  have prefix sums that give each bucket's offset, and
   the in-bucket running count is a window partitioned by bucket. No window
   ever runs over the whole input in one task;
 * history         — aggregated once for all entities (two-level groupBy) and
   left-joined on the entity keys instead of re-reading files per entity.
+
+What several branches read (the exploded rows, the z-scores, the ranks) is written once.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.constants import FDR_ALPHA, MIN_BUDGET
 from ..functions.money import fmt_fixed, pct_rollup
 from ..functions.stats import two_sided_p
 from ..functions.text import entity_label
 from ..session import materialize
 
-BUCKETS = 64
-LEVELS = {"agency": (["Agency"], 100.0), "bureau": (["Agency", "Bureau"], 50.0),
-          "account": (["Agency", "Bureau", "Account"], 10.0)}
+#: Distinct p-values per bucket of the rank computation; the number of buckets follows from the data.
+PER_BUCKET = 50_000
+KEYS = ["Agency", "Bureau", "Account"]
+LEVELS = {level: (KEYS[:n], MIN_BUDGET[level]) for n, level in enumerate(("agency", "bureau", "account"), 1)}
 
 
 def np_round(c, n: int) -> Column:
@@ -81,61 +87,82 @@ def z_scores(summary: DataFrame, key: str = "level") -> DataFrame:
 
 def _rank_max(values: DataFrame, key: str, p: str) -> DataFrame:
     """(key, p, n_at, rank_max, n) over distinct p with counts: rank_max(v) = #{p' <= v}."""
-    distinct = values.groupBy(key, p).agg(F.count(F.lit(1)).alias("n_at"))
-    qs = [i / BUCKETS for i in range(1, BUCKETS)]
-    edges = distinct.groupBy(key).agg(F.percentile_approx(p, qs, 10000).alias("_edges"))
-    b = distinct.join(F.broadcast(edges), key).withColumn(      # one row per level
+    distinct = materialize(values.groupBy(key, p).agg(F.count(F.lit(1)).alias("n_at")))
+    buckets = max(1, math.ceil(distinct.count() / PER_BUCKET))
+    edges = distinct.groupBy(key).agg(F.percentile_approx(p, [i / buckets for i in range(1, buckets)] or [1.0], 10000).alias("_edges"))
+    b = distinct.join(edges, key).withColumn(      # one row per level
         "_bucket", F.size(F.filter(F.col("_edges"), lambda e: e < F.col(p)))).drop("_edges")
-    per_bucket = b.groupBy(key, "_bucket").agg(F.sum("n_at").alias("_bn"))       # <= BUCKETS rows per level
+    per_bucket = b.groupBy(key, "_bucket").agg(F.sum("n_at").alias("_bn"))
     wb = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (per_bucket.withColumn("_off", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
                .withColumn("n", F.sum("_bn").over(Window.partitionBy(key))))
     w = Window.partitionBy(key, "_bucket").orderBy(p).rowsBetween(Window.unboundedPreceding, 0)
-    return (b.join(F.broadcast(offsets.drop("_bn")), [key, "_bucket"])
-            .withColumn("rank_max", F.col("_off") + F.sum("n_at").over(w))
-            .drop("_off"))
+    return materialize(b.join(offsets.drop("_bn"), [key, "_bucket"])
+                       .withColumn("rank_max", F.col("_off") + F.sum("n_at").over(w)).drop("_off"))
 
 
-def bh_fdr(df: DataFrame, alpha: float = 0.05, key: str = "level", p: str = "p_value") -> DataFrame:
+def bh_fdr(df: DataFrame, alpha: float = FDR_ALPHA, key: str = "level", p: str = "p_value") -> DataFrame:
     """Benjamini-Hochberg. Reject every p <= T where T is the largest p
     with p <= rank(p) / n * alpha (tied p share the largest rank). Also the
     corrected p = min(1, min over p' >= p of p' n / rank(p'))."""
-    valid = df.where(F.col(p).isNotNull())
-    ranks = _rank_max(valid, key, p)
-    ranks = ranks.withColumn("_raw", F.col(p) * F.col("n") / F.col("rank_max"))
-    # suffix minimum of _raw: within bucket (window by bucket) and across buckets (<= BUCKETS rows)
+    ranks = _rank_max(df.where(F.col(p).isNotNull()), key, p).withColumn("_raw", F.col(p) * F.col("n") / F.col("rank_max"))
+    # suffix minimum of _raw: within a bucket by a window, across buckets from their minima
     ws = Window.partitionBy(key, "_bucket").orderBy(F.col(p).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    ranks = ranks.withColumn("_suf_in", F.min("_raw").over(ws))
     bmin = ranks.groupBy(key, "_bucket").agg(F.min("_raw").alias("_bmin"))
     wl = Window.partitionBy(key).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
     bmin = bmin.withColumn("_suf_after", F.min("_bmin").over(wl)).drop("_bmin")
-    ranks = (ranks.join(F.broadcast(bmin), [key, "_bucket"])
-             .withColumn("p_corrected", F.least(F.lit(1.0), F.least(F.col("_suf_in"),
-                                                                   F.coalesce("_suf_after", "_suf_in")))))
     thr = (ranks.where(F.col(p) <= F.col("rank_max") / F.col("n") * F.lit(alpha))
            .groupBy(key).agg(F.max(p).alias("_thr")))
-    out = (df.join(ranks.select(key, p, "p_corrected"), [key, p], "left")
-           .join(F.broadcast(thr), key, "left"))
-    return (out.withColumn("is_outlier", F.coalesce(F.col(p) <= F.col("_thr"), F.lit(False)))
-            .drop("_thr"))
+    ranks = (ranks.withColumn("_suf_in", F.min("_raw").over(ws)).join(bmin, [key, "_bucket"])
+             .withColumn("p_corrected", F.least(F.lit(1.0), F.least(F.col("_suf_in"), F.coalesce("_suf_after", "_suf_in"))))
+             .join(thr, key, "left")
+             .select(key, p, "p_corrected", F.coalesce(F.col(p) <= F.col("_thr"), F.lit(False)).alias("_reject")))
+    return (df.join(ranks, [key, p], "left")
+            .withColumn("is_outlier", F.coalesce("_reject", F.lit(False))).drop("_reject"))
 
 
-def history_stats(monthly: DataFrame, cols: list[str], first_year: int, last_year: int,
-                  month: str = "Sep") -> DataFrame:
-    """Per entity over history years: yearly pct (budget > 0 and pct >= 0
-    only), then mean, max and whether fewer years than the window have data."""
-    rows = sep_expiring(monthly, month).where(F.col("Fiscal_Year").between(first_year, last_year))
+def history_of(rows: DataFrame, cols: list[str], expected: int) -> DataFrame:
+    """E18 over month-of-record rows of the history years: per entity the yearly pct (budget > 0 and pct >= 0
+    only), then mean, max and whether fewer than ``expected`` years have data."""
     per_year = rows.dropna(subset=cols).groupBy(*cols, "Fiscal_Year").agg(
         F.sum(F.col("Unobligated_Balance_M").cast("decimal(38,1)")).cast("double").alias("u"),
         F.sum(F.col("Budget_Authority_M").cast("decimal(38,1)")).cast("double").alias("b"))
     pct = F.when(F.col("b") > 0, F.col("u") / F.col("b") * F.lit(100.0))
     kept = per_year.withColumn("_pct", pct).where(F.col("_pct") >= 0)
-    expected = last_year - first_year + 1
     return (kept.groupBy(*cols).agg(F.avg("_pct").alias("hist_avg"), F.max("_pct").alias("hist_high"),
                                     F.count(F.lit(1)).alias("hist_years"))
             .withColumn("missing_years", F.col("hist_years") < expected))
 
 
+def history_stats(monthly: DataFrame, cols: list[str], first_year: int, last_year: int, month: str = "Sep") -> DataFrame:
+    """E18 of a monthly summary for one level's key columns."""
+    rows = sep_expiring(monthly, month).where(F.col("Fiscal_Year").between(first_year, last_year))
+    return history_of(rows, cols, last_year - first_year + 1)
+
+
+def by_level(rows: DataFrame, levels: dict) -> DataFrame:
+    """Each row once per level with the level's keys; keys below the level are '', rows with a NULL key of the level drop out."""
+    def struct(level: str, cols: list[str]) -> Column:
+        keys = [(F.col(c) if c in cols else F.lit("")).alias(c) for c in KEYS]
+        whole = F.lit(True)
+        for c in cols:
+            whole = whole & F.col(c).isNotNull()
+        return F.when(whole, F.struct(F.lit(level).alias("level"), *keys))
+
+    shape = F.explode(F.array_compact(F.array(*[struct(level, cols) for level, (cols, _) in levels.items()]))).alias("_l")
+    return rows.select("Fiscal_Year", "Unobligated_Balance_M", "Budget_Authority_M", shape).select("*", "_l.*").drop("_l")
+
+
+def level_summaries(rows: DataFrame, levels: dict) -> DataFrame:
+    """E20 for all levels at once: sums, pct, each level's minimum budget, and the entity's label."""
+    out = entity_summary(rows, ["level", *KEYS], float("-inf"))
+    least, label = F.lit(None).cast("double"), F.lit(None).cast("string")
+    for level, (cols, min_budget) in levels.items():
+        least = F.when(F.col("level") == level, F.lit(float(min_budget))).otherwise(least)
+        label = F.when(F.col("level") == level, entity_label(*cols)).otherwise(label)
+    return out.where(F.col("budget") >= least).withColumn("entity", label)
+
+
 def stat_display(df: DataFrame) -> DataFrame:
     """Report columns — pct (1 dp), history 'N/A' / '12.3' / '12.3*',
     budget in billions (1 dp), z (2 dp)."""
@@ -154,28 +181,21 @@ def stat_display(df: DataFrame) -> DataFrame:
 
 
 def outlier_report(monthly: DataFrame, current_year: int, hist_first: int, hist_last: int,
-                   alpha: float = 0.05, levels: dict | None = None, top_candidates: int = 15,
+                   alpha: float = FDR_ALPHA, levels: dict | None = None, top_candidates: int = 15,
                    top_notable: int = 10) -> DataFrame:
     """P7 at every level: outliers (BH reject, z > 0) and notable entities
     (top non-outliers with z > 0 that beat their own history)."""
-    from functools import reduce
     levels = levels or LEVELS
-    # every level reads the same month-of-record rows: materialise them once
-    sep = materialize(sep_expiring(monthly).where(F.col("Fiscal_Year").between(hist_first, current_year)))
-    cur = sep.where(F.col("Fiscal_Year") == current_year)
-    parts = []
-    for level, (cols, min_budget) in levels.items():
-        s = (entity_summary(cur, cols, min_budget)
-             .withColumn("level", F.lit(level))
-             .withColumn("entity", entity_label(*cols)))
-        s = bh_fdr(z_scores(s), alpha)
-        s = s.join(history_stats(sep, cols, hist_first, hist_last), cols, "left")
-        pos = s.where(F.col("z") > 0)
-        outl = pos.where("is_outlier").withColumn("kind", F.lit("outlier"))
-        # top-k by orderBy+limit: per-task top k, then one small merge
-        by_pct = [F.col("pct").desc(), F.col("entity")]
-        cand = pos.where(~F.col("is_outlier")).orderBy(*by_pct).limit(top_candidates)
+    rows = materialize(by_level(sep_expiring(monthly).where(F.col("Fiscal_Year").between(hist_first, current_year)), levels))
+    z = materialize(z_scores(level_summaries(rows.where(F.col("Fiscal_Year") == current_year), levels)))
+    keys = ["level", *KEYS]
+    history = history_of(rows.where(F.col("Fiscal_Year").between(hist_first, hist_last)), keys, hist_last - hist_first + 1)
+    pos = materialize(bh_fdr(z, alpha).where(F.col("z") > 0).join(history, keys, "left"))
+    report = stat_display(pos.where("is_outlier").withColumn("kind", F.lit("outlier")))
+    by_pct = [F.col("pct").desc(), F.col("entity")]
+    for level in levels:   # top-k by orderBy+limit: per-task top k, then one small merge
+        cand = pos.where(~F.col("is_outlier") & (F.col("level") == level)).orderBy(*by_pct).limit(top_candidates)
         notable = (cand.where(F.col("hist_avg").isNull() | (F.col("pct") > F.col("hist_avg")))
                    .orderBy(*by_pct).limit(top_notable).withColumn("kind", F.lit("notable")))
-        parts += [stat_display(outl), stat_display(notable)]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+        report = report.unionByName(stat_display(notable))
+    return report

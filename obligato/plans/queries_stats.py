@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.constants import FDR_ALPHA
 from ..functions.stats import two_sided_p_sql
 from ..operators import outliers as O
 from . import oracle_sql as S
@@ -14,7 +15,7 @@ from .pipelines import build_master, monthly_summary_from
 from .registry import register
 
 CUR, H1, H2 = 2021, 2015, 2020
-ALPHA = 0.05
+ALPHA = FDR_ALPHA
 D = "CAST({} AS DOUBLE)"
 
 

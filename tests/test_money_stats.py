@@ -2,11 +2,15 @@
 
 import math
 import random
+import statistics
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
 from obligato.functions.money import fmt_money, fmt_pct, pct_account, round1
-from obligato.functions.stats import erfc, erfc_py, two_sided_p
+from obligato.functions.stats import erfc, erfc_sql, two_sided_p
+from obligato.operators import outliers
 from obligato.operators.outliers import bh_fdr
 
 
@@ -30,14 +34,15 @@ def test_pct_account(spark):
         assert r.p == r.want
 
 
-def test_erfc_accuracy(spark):
-    xs = [i / 10 for i in range(-40, 81)]
+def test_erfc_is_exact_to_double_precision(spark):
+    xs = [i / 20 for i in range(-100, 500)]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
+    con = duckdb.connect()
+    sql = dict(con.execute(f"SELECT x, {erfc_sql('x')} FROM (SELECT unnest({xs!r}::DOUBLE[]) AS x)").fetchall())
     for r in df.select("x", erfc(F.col("x")).alias("e"), two_sided_p(F.col("x")).alias("p")).collect():
-        exact = math.erfc(r.x)
-        assert abs(r.e - exact) <= 1.3e-7 * max(exact, 1e-300) or abs(r.e - exact) < 1e-12
-        assert abs(r.e - erfc_py(r.x)) < 1e-12
-        assert abs(r.p - math.erfc(abs(r.x) / math.sqrt(2))) < 1e-6
+        assert math.isclose(r.e, math.erfc(r.x), rel_tol=2e-12), r.x
+        assert math.isclose(sql[r.x], math.erfc(r.x), rel_tol=2e-12), r.x
+        assert math.isclose(r.p, 2 * statistics.NormalDist().cdf(-abs(r.x)), rel_tol=1e-9, abs_tol=1e-15), r.x
 
 
 def _bh_brute(ps, alpha):
@@ -60,7 +65,9 @@ def _bh_brute(ps, alpha):
     return reject, corr
 
 
-def test_bh_matches_brute_force(spark):
+@pytest.mark.parametrize("per_bucket", [50_000, 20])
+def test_bh_matches_brute_force(spark, monkeypatch, per_bucket):
+    monkeypatch.setattr(outliers, "PER_BUCKET", per_bucket)
     rnd = random.Random(11)
     ps = [rnd.random() ** 3 for _ in range(300)] + [0.001] * 5 + [0.5] * 20    # ties included
     df = spark.createDataFrame([(i, p) for i, p in enumerate(ps)], "id long, p_value double") \
