@@ -13,7 +13,7 @@ from ..session import shared_dir
 
 #: Arrow batches handed to Python hold at most so many rows and bytes, so that a
 #: worker's memory does not depend on how long the texts are.
-BATCH_ROWS, BATCH_BYTES = 2000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 #: A shuffled join builds hash tables instead of sorting where every partition is known at run time to be smaller.
 HASH_JOIN = "64m"
 

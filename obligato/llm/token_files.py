@@ -32,7 +32,7 @@ from .common import bound_batches, written
 FILE_BYTES = 8 << 20
 SEQUENCE, BATCH = 1024, 256
 #: Words whose ids a worker remembers before it starts a new generation; it looks up one generation back.
-CACHE = 350_000
+CACHE = 300_000
 #: Texts encoded at once.
 TEXTS = 256
 #: Stands between words that are encoded in one call.
@@ -53,7 +53,7 @@ class Encoder:
 
     def __init__(self, tokenizer_json: str, split_words: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks share out the cores
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
@@ -63,8 +63,8 @@ class Encoder:
         mark = self._ids(self.tokenizer, _MARK.decode())
         self.mark = int(mark[0]) if len(mark) == 1 else None
         # the same model on words that are one piece already, spelled in the byte alphabet that the library tells
-        self.plain = Tokenizer.from_str(tokenizer_json)
-        self.plain.normalizer, self.plain.pre_tokenizer = normalizers.Sequence([]), pre_tokenizers.WhitespaceSplit()
+        self.plain = Tokenizer(self.tokenizer.model)
+        self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         sample = "".join(map(chr, [*range(0x800), *range(0x800, 0xD800, 0x40), *range(0xE000, 0x110000, 0x1000)]))
         letters = "".join(p for p, _ in pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(sample))
         suffix = json.loads(tokenizer_json)["model"].get("end_of_word_suffix") or "\0"
@@ -217,7 +217,9 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, path: str, end_id: i
             lengths = [len(p) // encode.dtype.itemsize for p in pieces]
             ids = np.frombuffer(b"".join(pieces), encode.dtype)
             content = to_file(TaskContext.get().partitionId(), pa.chunked_array(doc_ids), lengths, ids, length)
+            del pieces, ids
             yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
+        pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 
     sorted_rows = rows.repartitionByRange(-(-total // FILE_BYTES) or 1, "doc_id").sortWithinPartitions("doc_id", "text")
     write_files(sorted_rows.mapInArrow(run, "content binary"), "content", path)
@@ -242,6 +244,7 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     [pa.array(np.full(len(lengths), number, np.int64)), docs.column("doc_id").combine_chunks(),
                      pa.array(ends - lengths), pa.array(lengths), pa.array(crcs, pa.int64())],
                     ["file", "doc_id", "inside", "n_tokens", "ids_crc32"])
+        pa.default_memory_pool().release_unused()
 
     found = written(read_files(spark, path).mapInArrow(run, "file long, doc_id long, inside long, n_tokens long, ids_crc32 long"), "token-docs")
     sums = found.groupBy("file").agg(F.sum("n_tokens").alias("tokens"))
