@@ -13,6 +13,9 @@ FISCAL_MONTHS = ["Oct", "Nov", "Dec", "Jan", "Feb", "Mar",
 CALENDAR_MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun",
                    "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 
+# Month order of the legacy summary: its latest month is the first of Aug, Jul, ... Oct, Sep with data.
+LEGACY_MONTHS = ["Sep", "Oct", "Nov", "Dec", "Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug"]
+
 MONTH_FULL = {
     "Oct": "October", "Nov": "November", "Dec": "December",
     "Jan": "January", "Feb": "February", "Mar": "March",
@@ -84,17 +87,11 @@ AGENCY_SPECIAL_CASES = [
     ("Other Defense Civil Programs", ["other defense", "civil"], []),
 ]
 
-# Known (year, agency) exceptions for the completeness suite.
-KNOWN_EXCEPTIONS = [(2012, "Judicial Branch"), (2017, "Other Independent Agencies")]
-
 # Expected summary rows per year for the snapshot check.
 EXPECTED_SUMMARY_ROWS = {2018: 29988, 2019: 30164, 2020: 29641, 2021: 32790,
                          2022: 32651, 2023: 9474, 2024: 9557, 2025: 8557}
 
-# Quality thresholds.
-MIN_ROWS_PASS = 1000
-MIN_ROWS_WARN = 8000
-MIN_ROWS_WARN_EARLY = 3000          # 2013-2017
+# Thresholds.
 COVERAGE_THRESHOLD_PCT = 80.0
 FDR_ALPHA = 0.05
 NEAR_ZERO_M = 0.001
@@ -104,6 +101,3 @@ MIN_BUDGET = {"agency": 100.0, "bureau": 50.0, "account": 10.0}
 
 # Invalid display tokens.
 INVALID_TOKEN_PATTERN = r"\$nanM|nan%|nanM"
-
-# Fund-type classes.
-FUND_NO_YEAR, FUND_CURRENT, FUND_MULTI, FUND_OTHER = "no_year", "current_year", "multi_year", "other"

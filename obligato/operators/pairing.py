@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.constants import FISCAL_MONTHS, LINE_BUDGET_AUTHORITY, LINE_UNOBLIGATED, NEAR_ZERO_M, OIA
 from ..functions.money import fmt_money, fmt_pct, pct_account, round1, to_millions
-from ..functions.text import account_name, to_number, with_components
+from ..functions.text import account_name, oia_bureau, to_number, with_components
 
 SUMMARY_COLUMNS = ["Month", "Fiscal_Year", "Agency", "Bureau", "Account", "Account_Number",
                    "Period_of_Performance", "Expiration_Year", "TAFS",
@@ -46,6 +46,12 @@ def line_values(master: DataFrame, line: int, months: DataFrame, extra=("BUREAU"
     return lg.join(F.broadcast(months.select("fiscal_year", "month")), ["fiscal_year", "month"])
 
 
+def oia_bureaus(master: DataFrame, code_name: str = "OMB_ACCOUNT") -> DataFrame:
+    """Bureau of Other Independent Agencies rows: the name behind the code in ``code_name``, else the
+    account's name."""
+    return master.withColumn("BUREAU", oia_bureau(F.trim(F.col(code_name)), account_name(F.col("TAFS"))))
+
+
 def pair_lines(master: DataFrame, months: DataFrame, keys=("Agency", "TAFS"),
                null_keys: str = "match") -> DataFrame:
     """2490 rows x 2500 rows on (year, month, keys); many-to-many kept.

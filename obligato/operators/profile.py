@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.calendar import fiscal_month_ord
-from ..functions.constants import FISCAL_MONTHS
+from ..functions.constants import COVERAGE_THRESHOLD_PCT, FISCAL_MONTHS, QUARTER_END
 from ..functions.money import round_n
 from ..functions.text import fund_type, to_number
 
@@ -59,24 +59,20 @@ def distinct_accounts(df: DataFrame, agency: str = "Agency", tafs: str = "TAFS",
             .where(F.col(year).isNotNull()))
 
 
-def coverage_vs_baseline(master: DataFrame, baseline_year: int, threshold: float = 80.0) -> DataFrame:
+def coverage_vs_baseline(master: DataFrame, baseline_year: int, threshold: float = COVERAGE_THRESHOLD_PCT) -> DataFrame:
     """Per year and baseline agency, accounts vs the baseline year's
     accounts (absent -> 0); agencies only present in the year are ignored;
-    an overall row per year. The baseline agency list (one row per agency, a
-    bounded dimension) is attached as a scalar subquery and exploded per year
-    — no cross join."""
+    an overall row per year. The table of (year, agency) counts is pivoted to one row per agency with a
+    map of years, so absent years show without pairing years and agencies."""
     counts = distinct_accounts(master)
-    base = counts.where(F.col("fiscal_year") == baseline_year).select(
-        F.struct("Agency", "gid", F.col("accounts").alias("baseline_accounts")).alias("b"))
-    base_list = base.select(F.collect_list("b")).scalar()
-    grid = (counts.select("fiscal_year").distinct()
-            .select("fiscal_year", F.explode(base_list).alias("b"))
-            .select("fiscal_year", "b.*"))
-    cur = counts.select(F.col("fiscal_year").alias("_y"), F.col("Agency").alias("_a"), F.col("gid").alias("_g"),
-                        F.col("accounts").alias("current_accounts"))
-    out = (grid.join(cur, (grid.fiscal_year == cur._y) & (grid.gid == cur._g) & grid.Agency.eqNullSafe(cur._a), "left")
-           .drop("_y", "_a", "_g")
-           .withColumn("current_accounts", F.coalesce("current_accounts", F.lit(0))))
+    per = counts.groupBy("Agency", "gid").agg(
+        F.map_from_entries(F.collect_list(F.struct("fiscal_year", "accounts"))).alias("by_year"))   # one entry per year
+    years = F.transform(F.map_keys(F.col("_all")), lambda y: F.struct(
+        y.alias("fiscal_year"), F.coalesce(F.try_element_at("by_year", y), F.lit(0)).alias("current_accounts")))
+    total = per.where("gid = 1").select(F.col("by_year").alias("_all")).scalar()     # every year has a total
+    out = (per.withColumns({"_all": total, "baseline_accounts": F.try_element_at("by_year", F.lit(baseline_year))})
+           .where(F.col("baseline_accounts").isNotNull())
+           .select("Agency", "gid", "baseline_accounts", F.explode(years).alias("y")).select("Agency", "gid", "baseline_accounts", "y.*"))
     pct = round_n(F.col("current_accounts") * 100.0 / F.col("baseline_accounts"), 2)
     return (out.withColumn("coverage_pct", pct)
             .withColumn("below_threshold", F.col("coverage_pct") < threshold)
@@ -135,20 +131,44 @@ def agency_month_coverage(ledger: DataFrame, expected=FISCAL_MONTHS) -> DataFram
                        F.size(F.array_except(exp, F.col("_seen"))).alias("missing_count"))
 
 
-def year_profile_json(master: DataFrame, as_of_year: int) -> DataFrame:
-    """Nested year profile as one JSON text per year (months, quarters, counts)."""
+def year_profile_document(master: DataFrame, as_of_year: int, baseline_year: int, threshold: float = COVERAGE_THRESHOLD_PCT) -> DataFrame:
+    """One nested document per year: months present and missing, quarters, counts, the validation flag and the
+    account coverage against the baseline year with every baseline agency."""
     from .months import months_with_data, quarter_totals
     m = months_with_data(master, "total")
     months = m.groupBy("fiscal_year").agg(
         F.array_sort(F.collect_list(F.when(F.col("has_data"), F.struct("month_ord", "month")))).alias("_av"),
         F.array_sort(F.collect_list(F.when(~F.col("has_data"), F.struct("month_ord", "month")))).alias("_mi"))
     q = quarter_totals(master).groupBy("fiscal_year").agg(
-        F.map_from_entries(F.collect_list(F.struct("quarter", F.struct("total", "has_data")))).alias("quarter_data"))
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("quarter", F.struct("total", "has_data"))))).alias("quarter_data"),
+        F.bool_or("has_data").alias("validation_passed"))
     base = master.groupBy("fiscal_year").agg(F.count(F.lit(1)).alias("total_rows"),
                                              F.count_distinct("Agency").alias("total_agencies"))
-    j = base.join(months, "fiscal_year", "left").join(q, "fiscal_year", "left")
-    doc = F.struct(F.col("fiscal_year"), (F.col("fiscal_year") >= as_of_year).alias("is_current_year"),
-                   F.transform("_av", lambda s: s["month"]).alias("available_months"),
-                   F.transform("_mi", lambda s: s["month"]).alias("missing_months"),
-                   "quarter_data", "total_agencies", "total_rows")
-    return j.select("fiscal_year", F.to_json(doc).alias("profile_json"))
+    cover = coverage_vs_baseline(master, baseline_year, threshold)
+    agency = F.col("scope") == "agency"
+    accounts = F.struct("baseline_accounts", "current_accounts", F.col("coverage_pct").alias("coverage_percent"))
+    tafs = cover.groupBy("fiscal_year").agg(F.struct(
+        F.bool_or("below_threshold").alias("has_coverage_issues"),
+        F.max(F.when(~agency, F.col("coverage_pct"))).alias("overall_coverage_percent"),
+        F.max(F.when(~agency, F.col("baseline_accounts"))).alias("baseline_total_accounts"),
+        F.max(F.when(~agency, F.col("current_accounts"))).alias("current_total_accounts"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.when(agency, F.struct("Agency", accounts))))).alias("agency_coverage"),
+        F.array_sort(F.collect_list(F.when(agency & F.col("below_threshold"), F.col("Agency")))).alias("agencies_below_threshold"),
+        F.lit(float(threshold)).alias("threshold_percent")).alias("tafs_coverage"))
+    j = base.join(months, "fiscal_year", "left").join(q, "fiscal_year", "left").join(tafs, "fiscal_year", "left")
+    quarters = F.create_map(*[x for k in QUARTER_END for x in (F.lit(k), F.array(*[F.lit(v) for v in _quarter_months(k)]))])
+    return j.select(F.col("fiscal_year"), (F.col("fiscal_year") >= as_of_year).alias("is_current_year"),
+                    F.transform("_av", lambda s: s["month"]).alias("available_months"),
+                    F.transform("_mi", lambda s: s["month"]).alias("missing_months"), quarters.alias("quarter_mapping"),
+                    "quarter_data", "total_agencies", "total_rows", "validation_passed", "tafs_coverage")
+
+
+def _quarter_months(quarter: str) -> list[str]:
+    end = FISCAL_MONTHS.index(QUARTER_END[quarter])
+    return FISCAL_MONTHS[end - 2:end + 1]
+
+
+def year_profile_json(master: DataFrame, as_of_year: int, baseline_year: int) -> DataFrame:
+    """The year document as one JSON text per year."""
+    doc = year_profile_document(master, as_of_year, baseline_year)
+    return doc.select("fiscal_year", F.to_json(F.struct(*doc.columns)).alias("profile_json"))

@@ -131,16 +131,14 @@ def dq_reasonable(summary: DataFrame, lo_billions: float = 1000.0, hi_billions:
 def lost_members(summary: DataFrame, max_lost: int = 3, year: str = "Fiscal_Year",
                  member: str = "Agency") -> DataFrame:
     """Members of the first year missing in each later year; > max_lost fails."""
-    first = summary.select(F.min(year)).scalar()
-    base = summary.where(F.col(year) == first).select(F.col(member).alias("member")).distinct()
-    base_list = base.select(F.collect_list("member")).scalar()
-    grid = (_years(summary, year).where(F.col("fiscal_year") != first)
-            .select("fiscal_year", F.explode(base_list).alias("member")))
-    present = summary.select(F.col(year).alias("fiscal_year"), F.col(member).alias("member")).distinct()
-    lost = grid.join(present, ["fiscal_year", "member"], "left_anti")
-    per = lost.groupBy("fiscal_year").agg(F.count(F.lit(1)).alias("lost"))
-    return (_years(summary, year).where(F.col("fiscal_year") != first)
-            .join(per, "fiscal_year", "left").fillna(0, subset=["lost"])
+    seen = summary.groupBy(F.col(year).alias("fiscal_year"), F.col(member).alias("member")).agg(F.count(F.lit(1)).alias("rows"))
+    first = seen.select(F.min("fiscal_year")).scalar()
+    base = seen.where(F.col("fiscal_year") == first).select("member")
+    # lost = members of the first year less those of them that the year still has; no (year, member) grid
+    still = seen.join(base, "member", "left_semi").groupBy("fiscal_year").agg(F.count(F.lit(1)).alias("kept"))
+    years = seen.select("fiscal_year").distinct().where(F.col("fiscal_year") != first)
+    total = base.select(F.count(F.lit(1))).scalar()
+    return (years.join(still, "fiscal_year", "left").withColumn("lost", total - F.coalesce("kept", F.lit(0))).drop("kept")
             .withColumn("passed", F.col("lost") <= max_lost))
 
 
@@ -187,11 +185,22 @@ def publish_approved(df: DataFrame, approved: DataFrame, year: str = "Fiscal_Yea
     return df.join(approved.select(F.col("fiscal_year").alias(year)), year, "left_semi")
 
 
+def publish(df: DataFrame, approved: DataFrame, path: str, year: str = "Fiscal_Year", month: str = "Month") -> DataFrame:
+    """A28/P8 as a write: the approved years' rows partitioned by year and month, each published partition replaced as a
+    whole; returns the catalogue of what was published (year, month, rows), read back from the folder."""
+    (publish_approved(df, approved, year).withColumns({"_y": F.col(year), "_m": F.col(month)}).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("_y", "_m").parquet(path))
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return back.groupBy(F.col(year).alias("fiscal_year"), F.col(month).alias("month")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 def unapproved(df: DataFrame, approved: DataFrame, year: str = "Fiscal_Year") -> DataFrame:
     """Rows of years that are not approved (left anti)."""
     return df.join(approved.select(F.col("fiscal_year").alias(year)), year, "left_anti")
 
 
-def outputs_present(approved: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """Approved years without a published output (left anti vs the catalogue)."""
-    return approved.join(catalogue.select("fiscal_year").distinct(), "fiscal_year", "left_anti")
+def outputs_present(approved: DataFrame, catalogue: DataFrame, month: str = "Sep") -> DataFrame:
+    """Per approved year the number of published month outputs and whether ``month`` is among them."""
+    per = catalogue.groupBy("fiscal_year").agg(F.count(F.lit(1)).alias("outputs"), F.bool_or(F.col("month") == month).alias("has_month"))
+    return (approved.join(per, "fiscal_year", "left")
+            .select("fiscal_year", F.coalesce("outputs", F.lit(0)).alias("outputs"), F.coalesce("has_month", F.lit(False)).alias("has_month")))

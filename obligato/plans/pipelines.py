@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.constants import FISCAL_MONTHS
+from ..functions.constants import FISCAL_MONTHS, LEGACY_MONTHS
 from ..session import materialize
 from ..functions.text import clean_text
 from ..operators.ingest import (CHECK_COLUMNS, NULLABLE_KEYS, apply_fixed_units, derive_codes, detect_units,
                                 drop_null_keys, file_check_rates, first_agency, partial_groups, pivot_months,
                                 resolve_groups, skip_files, standard_lines)
 from ..operators.months import available_months, latest_month
-from ..operators.pairing import (drop_near_zero, pair_lines, split_oia, summarize_pairs,
-                                 with_display)
+from ..operators.pairing import (drop_near_zero, oia_bureaus, pair_lines, sort_summary, split_oia,
+                                summarize_pairs, with_display)
 from ..sources.fixture import ledger_rows, unit_notes
 
 # Consolidated multi-agency file skipped to avoid double counting (fixed value).
@@ -84,6 +84,15 @@ def monthly_summary_from(master: DataFrame, months: list[str] | None = None) ->
     return materialize(_finish(pair_lines(split_oia(master), avail), True, ""))
 
 
+def summary_legacy(master: DataFrame) -> DataFrame:
+    """Standard agencies paired on (agency, symbol) and Other Independent Agencies on the symbol alone, with their
+    own symbol grammar and bureau (C4, D2, B11, B14), at the legacy latest month; near-zero rows kept, sorted (G1)."""
+    months = latest_month(master, order=LEGACY_MONTHS)
+    standard = pair_lines(split_oia(master), months)
+    independent = pair_lines(oia_bureaus(split_oia(master, keep_oia=True)), months, keys=("TAFS",))
+    return sort_summary(_finish(standard.unionByName(independent.select(*standard.columns)), False, ""))
+
+
 def year_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return year_summary_from(build_master(spark, sf_dir))
 

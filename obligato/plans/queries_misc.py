@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from ..functions.text import to_number
 from ..operators import ingest as I
 from ..operators import months as MO
-from ..operators.pairing import pair_totals
+from ..operators.pairing import pair_counts, pair_totals, split_oia
 from ..operators.rollup import sort_expiration
 from ..sources.fixture import ledger_rows, unit_notes
 from . import oracle_sql as S
-from .pipelines import build_master, ledger_groups, monthly_summary_from, year_summary_from
+from ..functions.constants import LEGACY_MONTHS, OIA
+from .pipelines import build_master, ledger_groups, monthly_summary_from, summary_legacy, year_summary_from
 from .registry import register
 
 LN = "TRY_CAST(LINENO AS DOUBLE)"
@@ -127,3 +128,47 @@ def q_union_ledgers(spark, d):
     mo = monthly_summary_from(m).withColumn("src", F.lit("month"))
     u = I.union_ledgers(y, mo)
     return u.groupBy("src", "Fiscal_Year").agg(F.count(F.lit(1)).alias("rows"), F.count("Month").alias("with_month"))
+
+
+# ------------------------------------------------------------------ P4 with Other Independent Agencies rows
+
+_SYMBOL = "TRY_CAST(LINENO AS DOUBLE)"
+_LEGACY = S.with_ctes("master", extra=[
+    ("legacy_master", f"""SELECT * REPLACE (CASE WHEN AGENCY_TITLE = 'MIDDLE EAST' THEN {S.q(OIA)} ELSE Agency END AS Agency,
+        CASE WHEN DERIVED_FY2 = 'X' THEN split_part(OMB_ACCOUNT, ' ', 1) ELSE OMB_ACCOUNT END AS OMB_ACCOUNT) FROM master"""),
+    ("legacy_long", f"SELECT fiscal_year, Agency, BUREAU, OMB_ACCOUNT, TAFS, LINENO, {S.unnest_months()} FROM legacy_master"),
+    ("legacy_months", f"""SELECT fiscal_year, arg_max(month, list_position({S.months_list(LEGACY_MONTHS)}, month)) AS month FROM (
+        SELECT fiscal_year, month FROM legacy_long GROUP BY 1, 2 HAVING bool_or(value IS NOT NULL) AND bool_or(coalesce(value <> 0, true)))
+        GROUP BY 1"""),
+    ("legacy_at", "SELECT l.* FROM legacy_long l JOIN legacy_months m ON l.fiscal_year = m.fiscal_year AND l.month = m.month"),
+    ("legacy_pairs", f"""
+SELECT u.fiscal_year, u.month, u.Agency, u.TAFS,
+       CASE WHEN u.Agency = {S.q(OIA)} THEN coalesce(nullif(regexp_extract(trim(u.OMB_ACCOUNT), '^\\S+\\s+(.*)$', 1), ''), {S.account_name('u.TAFS')})
+            ELSE u.BUREAU END AS BUREAU, u.value AS value_2490, b.value AS value_2500
+FROM legacy_at u JOIN legacy_at b ON u.fiscal_year = b.fiscal_year AND u.TAFS IS NOT DISTINCT FROM b.TAFS
+  AND (u.Agency = {S.q(OIA)} AND b.Agency = {S.q(OIA)} OR u.Agency <> {S.q(OIA)} AND u.Agency = b.Agency)
+WHERE TRY_CAST(u.LINENO AS DOUBLE) = 2490 AND TRY_CAST(b.LINENO AS DOUBLE) = 2500"""),
+    ("legacy_summary", S._summary_body("legacy_pairs", False, ""))])
+
+
+@register("summary_legacy", _LEGACY + "SELECT * FROM legacy_summary ORDER BY Agency, Budget_Authority_M DESC")
+def q_summary_legacy(spark, d):
+    """Legacy summary; one region stands for Other Independent Agencies, some of its code columns lack the name."""
+    m = build_master(spark, d).withColumns({
+        "Agency": F.when(F.col("AGENCY_TITLE") == "MIDDLE EAST", F.lit(OIA)).otherwise(F.col("Agency")),
+        "OMB_ACCOUNT": F.when(F.col("DERIVED_FY2") == "X", F.substring_index("OMB_ACCOUNT", " ", 1)).otherwise(F.col("OMB_ACCOUNT"))})
+    return summary_legacy(m)
+
+
+@register("pair_counts", S.with_ctes("u_long", "b_long", "latest") + """
+SELECT fiscal_year, month, Agency, TAFS, coalesce(n_u, 0) AS rows_2490, coalesce(n_b, 0) AS rows_2500,
+       CAST(s_u AS DOUBLE) AS sum_2490, CAST(s_b AS DOUBLE) AS sum_2500
+FROM (SELECT u.fiscal_year, u.month, Agency, TAFS, count(*) AS n_u, sum(value) AS s_u FROM u_long u JOIN latest l
+        ON u.fiscal_year = l.fiscal_year AND u.month = l.month GROUP BY ALL)
+FULL JOIN (SELECT b.fiscal_year, b.month, Agency, TAFS, count(*) AS n_b, sum(value) AS s_b FROM b_long b JOIN latest l
+        ON b.fiscal_year = l.fiscal_year AND b.month = l.month GROUP BY ALL) USING (fiscal_year, month, Agency, TAFS)""")
+def q_pair_counts(spark, d):
+    """Rows of both lines per pairing key at the latest month (their product is the key's number of pairs)."""
+    m = build_master(spark, d)
+    out = pair_counts(split_oia(m), MO.latest_month(m))
+    return out.withColumns({c: F.col(c).cast("double") for c in ("sum_2490", "sum_2500")})

@@ -17,6 +17,7 @@ from ..operators import months as MO
 from ..operators import profile as PR
 from ..operators import quality as Q
 from ..sources.fixture import ledger_rows
+from ..sources.sinks import output_dir
 from . import oracle_sql as S
 from .pipelines import build_master, ledger_groups, monthly_summary_from, year_summary_from
 from .registry import register
@@ -421,10 +422,25 @@ def q_unapproved_rows(spark, d):
     return Q.unapproved(y, a)
 
 
-@register("outputs_present", _APPROVED_SQL + """
-SELECT fiscal_year FROM approved WHERE fiscal_year NOT IN (SELECT Fiscal_Year FROM monthly WHERE Month = 'Sep')""")
-def q_outputs_present(spark, d):
-    """Approved years lacking a September monthly output."""
+def _publish(spark, d):
     m = build_master(spark, d)
-    _, a = _approved(m)
-    return Q.outputs_present(a, monthly_summary_from(m, ["Sep"]).select(F.col("Fiscal_Year").alias("fiscal_year")))
+    _, approved = _approved(m)
+    return approved, Q.publish(monthly_summary_from(m), approved, output_dir(spark, "published"))
+
+
+_PUBLISHED_SQL = """SELECT Fiscal_Year AS fiscal_year, Month AS month, count(*) AS rows FROM monthly
+WHERE Fiscal_Year IN (SELECT fiscal_year FROM approved) GROUP BY 1, 2"""
+
+
+@register("validate_publish", _APPROVED_SQL + _PUBLISHED_SQL)
+def q_validate_publish(spark, d):
+    """Quality gate, then the approved years' monthly outputs written and catalogued from the folder."""
+    return _publish(spark, d)[1]
+
+
+@register("outputs_present", _APPROVED_SQL + f"""
+SELECT a.fiscal_year, coalesce(o.outputs, 0) AS outputs, coalesce(o.has_month, false) AS has_month FROM approved a
+LEFT JOIN (SELECT fiscal_year, count(*) AS outputs, bool_or(month = 'Sep') AS has_month FROM ({_PUBLISHED_SQL}) GROUP BY 1) o USING (fiscal_year)""")
+def q_outputs_present(spark, d):
+    """Published month outputs of every approved year, and whether September is there."""
+    return Q.outputs_present(*_publish(spark, d))

@@ -54,16 +54,46 @@ def q_write_monthly_summary(spark, d):
     return K.scan_summary_csv(spark, path, K.MONTH_CSV_COLUMNS, "fy int, m string")
 
 
-@register("summary_json")
+@register("summary_json", S.with_ctes("yearly") + f"SELECT {_cols(c for c, _ in K.SUMMARY_TYPES[:-2])}, '[]' AS BA_TimeSeries, '[]' AS Unob_TimeSeries FROM yearly")
 def q_summary_json(spark, d):
-    """One JSON record per year-summary row (text format is engine specific: rows-only check)."""
-    return K.summary_json(year_summary_from(build_master(spark, d)))
-
-
-@register("year_profile_json")
+    """One JSON record per year-summary row, parsed back."""
+    return K.parse_summary_json(K.summary_json(year_summary_from(build_master(spark, d))))
+
+
+_BASE_FY = 2020
+_R2 = lambda x: S.round1(x, 2)
+
+
+@register("year_profile_json", S.with_ctes("master", "month_flags") + f"""
+, yrs AS (SELECT fiscal_year, count(*) AS total_rows, count(DISTINCT Agency) AS total_agencies, count(DISTINCT TAFS) AS cur FROM master GROUP BY 1),
+mon AS (SELECT fiscal_year, array_to_string(list(month ORDER BY month_ord) FILTER (WHERE total <> 0), ',') AS available_months,
+        array_to_string(list(month ORDER BY month_ord) FILTER (WHERE NOT coalesce(total <> 0, false)), ',') AS missing_months,
+        coalesce(any_value(total) FILTER (WHERE month = 'Jun'), 0) AS q3_total, bool_or(month IN ('Dec', 'Mar', 'Jun', 'Sep') AND total <> 0) AS validation_passed
+        FROM month_flags GROUP BY 1),
+ag AS (SELECT fiscal_year, Agency, count(DISTINCT TAFS) AS n FROM master WHERE TAFS IS NOT NULL GROUP BY 1, 2),
+cov AS (SELECT y.fiscal_year, b.Agency, {_R2('coalesce(c.n, 0) * 100.0::DOUBLE / b.n')} AS pct
+        FROM yrs y CROSS JOIN (SELECT * FROM ag WHERE fiscal_year = {_BASE_FY}) b LEFT JOIN ag c ON c.fiscal_year = y.fiscal_year AND c.Agency = b.Agency),
+cv AS (SELECT fiscal_year, array_to_string(list(Agency ORDER BY Agency) FILTER (WHERE pct < 80), ',') AS below, count(*) AS agencies,
+       max(pct) FILTER (WHERE Agency = 'ASIA') AS asia_pct, bool_or(pct < 80) AS any_below FROM cov GROUP BY 1)
+SELECT * EXCLUDE (any_below), any_below OR overall_coverage_percent < 80 AS has_coverage_issues FROM (
+SELECT y.fiscal_year, y.fiscal_year >= 2022 AS is_current_year, coalesce(available_months, '') AS available_months, coalesce(missing_months, '') AS missing_months,
+  'Oct,Nov,Dec' AS q1_months, q3_total, total_agencies, total_rows, validation_passed, y.cur AS current_total_accounts,
+  {_R2('y.cur * 100.0::DOUBLE / (SELECT cur FROM yrs WHERE fiscal_year = ' + str(_BASE_FY) + ')')} AS overall_coverage_percent,
+  cv.any_below, coalesce(below, '') AS agencies_below_threshold, cv.agencies AS covered_agencies, asia_pct
+FROM yrs y JOIN mon USING (fiscal_year) LEFT JOIN cv USING (fiscal_year))""")
 def q_year_profile_json(spark, d):
-    """Nested year profile (months, quarters, counts) as JSON text per year (rows-only check)."""
-    return PR.year_profile_json(build_master(spark, d), 2022)
+    """Nested year documents written as JSON text and parsed back."""
+    doc = PR.year_profile_document(build_master(spark, d), 2022, _BASE_FY)
+    text = doc.select(F.to_json(F.struct(*doc.columns)).alias("profile_json"))
+    r = text.select(F.from_json("profile_json", doc.schema).alias("r")).select("r.*")
+    t = F.col("tafs_coverage")
+    return r.select(
+        "fiscal_year", "is_current_year", F.array_join("available_months", ",").alias("available_months"),
+        F.array_join("missing_months", ",").alias("missing_months"), F.array_join(F.col("quarter_mapping")["Q1"], ",").alias("q1_months"),
+        F.col("quarter_data")["Q3"]["total"].alias("q3_total"), "total_agencies", "total_rows", "validation_passed",
+        t["current_total_accounts"].alias("current_total_accounts"), t["overall_coverage_percent"].alias("overall_coverage_percent"),
+        t["has_coverage_issues"].alias("has_coverage_issues"), F.array_join(t["agencies_below_threshold"], ",").alias("agencies_below_threshold"),
+        F.size(t["agency_coverage"]).cast("long").alias("covered_agencies"), t["agency_coverage"]["ASIA"]["coverage_percent"].alias("asia_pct"))
 
 
 def _register_export(level: str) -> None:

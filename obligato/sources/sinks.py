@@ -95,6 +95,17 @@ def summary_json(summary: DataFrame) -> DataFrame:
     return summary.select("Fiscal_Year", F.to_json(rec).alias("record"))
 
 
+def parse_summary_json(records: DataFrame) -> DataFrame:
+    """The summary rows of A23 records."""
+    schema = ", ".join(f"`{c}` {t}" for c, t in SUMMARY_TYPES)
+    return records.select(F.from_json("record", schema).alias("r")).select("r.*")
+
+
+SUMMARY_TYPES = [("Month", "string"), ("Fiscal_Year", "int"), *[(c, "string") for c in YEAR_CSV_COLUMNS],
+                 *[(c, "double") for c in ("Unobligated_Balance_M", "Budget_Authority_M", "Percentage_Unobligated")],
+                 ("BA_TimeSeries", "string"), ("Unob_TimeSeries", "string")]
+
+
 def _quoted(c: str):
     return F.concat(F.lit('"'), F.replace(F.coalesce(F.col(c).cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
 
