@@ -78,7 +78,8 @@ def _ball(code, masks: list[int]):
 
 
 def links(fps: DataFrame, max_distance: int = 4, segments: int = 3) -> DataFrame:
-    """(a, b) ids of all pairs of rows of ``fps`` (id, fp; distinct fp) that differ in at most ``max_distance`` bits.
+    """(a, b) groups of all pairs of rows of ``fps`` (id, fp, group; distinct fp) of different groups that differ in at
+    most ``max_distance`` bits.
 
     ``segments`` sets how long the stored codes are: 64/segments bits should be no
     less than log2 of the number of fingerprints, so that a code holds few by
@@ -89,29 +90,46 @@ def links(fps: DataFrame, max_distance: int = 4, segments: int = 3) -> DataFrame
     for number, offset, width, radius in layout:
         masks = [sum(1 << bit for bit in flip) for r in range(radius + 1) for flip in combinations(range(width), r)]
         balls.append(_ball(_code(number, offset, width), masks))
-    probes = fps.select("id", "fp", F.explode(F.concat(*balls)).alias("code"))
-    stored = fps.select(F.col("id").alias("b"), F.col("fp").alias("fp_b"),
+    probes = fps.select(F.col("group").alias("a"), "fp", F.explode(F.concat(*balls)).alias("code"))
+    stored = fps.select(F.col("group").alias("b"), F.col("fp").alias("fp_b"),
                         F.explode(F.array(*[_code(i, o, w) for i, o, w, _ in layout])).alias("code"))
-    near = (F.col("fp") < F.col("fp_b")) & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_b"))) <= max_distance)
-    return probes.join(stored, (probes["code"] == stored["code"]) & near).select(F.col("id").alias("a"), "b")
+    near = ((F.col("a") != F.col("b")) & (F.col("fp") < F.col("fp_b"))
+            & (F.bit_count(F.col("fp").bitwiseXOR(F.col("fp_b"))) <= max_distance))
+    return probes.join(stored, (probes["code"] == stored["code"]) & near).select("a", "b")
+
+
+def close_links(nodes: DataFrame) -> DataFrame:
+    """Some links of at most two bits, two ends for each 64-bit code within one bit of several fingerprints.
+
+    They gather the many fingerprints of a large group of near copies with a number of rows that grows
+    with the fingerprints, not with their pairs; whatever they miss ``links`` finds.
+    """
+    masks = [0, *[1 << b for b in range(BITS - 1)], -(1 << (BITS - 1))]
+    codes = nodes.select("id", F.explode(_ball(F.col("fp"), masks)).alias("code"))
+    return (codes.groupBy("code").agg(F.min("id").alias("a"), F.max("id").alias("b")).where("a < b").select("a", "b").distinct())
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4, seed: int = 42, segments: int = 3,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, fingerprint, component_id), one row per input row.
 
-    Equal fingerprints are one node (its smallest id), so copies never multiply
-    links. Documents link at ``max_distance`` differing bits or fewer;
+    Equal fingerprints are one node (its smallest id), and fingerprints within two bits are gathered into
+    groups first, so that neither copies nor near copies multiply links. Documents link at ``max_distance`` differing bits or fewer;
     component_id is the smallest id reachable. Null and empty texts have
     fingerprint zero and link like any other. A row whose id is null gets its
     fingerprint but links to nothing: its component_id is null. Repeated rows are
     copies. An empty table gives an empty result; further columns are ignored.
     """
     fps = written(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
-    nodes = fps.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("id"))
-    found = connected_components(links(nodes, max_distance, segments))
-    labels = (nodes.join(found, "id", "left")
-              .select(F.col("fp").alias("label_fp"), F.coalesce("component", "id").alias("component_id")))
+    nodes = written(fps.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("id")), "nodes")
+    if max_distance >= 2:
+        close = connected_components(close_links(nodes))
+        nodes = written(nodes.join(close, "id", "left").select("id", "fp", F.coalesce("component", "id").alias("group")), "groups")
+    else:
+        nodes = nodes.withColumn("group", F.col("id"))
+    found = connected_components(links(nodes, max_distance, segments)).withColumnRenamed("id", "group")
+    labels = (nodes.join(found, "group", "left")
+              .select(F.col("fp").alias("label_fp"), F.coalesce("component", "group").alias("component_id")))
     return (fps.join(labels, F.col("fp") == F.col("label_fp"), "left")
             .select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                     F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id")))

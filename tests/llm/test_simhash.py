@@ -32,6 +32,24 @@ def test_components_match_brute_force(spark, segments):
     assert rows_of(simhash.near_duplicates(df, segments=segments)) == brute.components(rows)
 
 
+@pytest.mark.parametrize("max_distance", [0, 1, 2, 3])
+def test_other_distances(spark, max_distance):
+    rows = near_copies(40, 5)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rows_of(simhash.near_duplicates(df, max_distance=max_distance)) == brute.components(rows, max_distance)
+
+
+def test_a_large_group_of_near_copies_needs_few_links(spark):
+    rng = random.Random(4)
+    fps = {sum(1 << b for b in rng.sample(range(10, 50), 2)) ^ 0x5A5A for _ in range(600)}
+    nodes = spark.createDataFrame([(i, f - (1 << 64) if f >> 63 else f) for i, f in enumerate(sorted(fps))], "id long, fp long")
+    close = simhash.connected_components(simhash.close_links(nodes))
+    grouped = nodes.join(close, "id", "left").selectExpr("id", "fp", "coalesce(component, id) AS `group`")
+    assert simhash.close_links(nodes).count() <= 65 * len(fps)
+    assert simhash.links(nodes.selectExpr("id", "fp", "id AS `group`")).count() > 50 * len(fps)
+    assert simhash.links(grouped).count() < len(fps)
+
+
 def test_long_text_counts_blocks(monkeypatch):
     monkeypatch.setattr(simhash, "BLOCK", 7)
     text = " ".join(f"w{i % 50} x{i % 7}" for i in range(300))
