@@ -92,11 +92,11 @@ def remove_repeated_chunks(docs: DataFrame, divisor: int = DIVISOR, id_col: str
     shared = written(rows.join(several.hint("merge"), "h"), "shared-chunks")
     discard(several)
     release(spark)
-    first = shared.groupBy("h", "text").agg(F.min(_order()).alias("first"))
+    first = written(shared.groupBy("h", "text").agg(F.min(_order()).alias("first")), "first-chunks")
     gone = (shared.join(first.hint("merge"), ["h", "text"]).where(_order() > F.col("first"))
             .groupBy(F.col("doc").alias("d"), F.col("tag").alias("t")).agg(F.collect_list("chunk").alias("gone")))
     gone = written(gone, "removed-chunks")
-    discard(shared)
+    discard(shared, first)
     release(spark)
     out = with_chunks(docs, divisor).join(gone.hint("merge"), (F.col("doc") == F.col("d")) & (F.col("tag") == F.col("t")), "left")
     kept = F.array_except("chunks", F.coalesce("gone", F.array().cast("array<bigint>")))
