@@ -65,16 +65,21 @@ def dq_completeness(summary: DataFrame, expected: list[str], exceptions, current
             .withColumn("warning", (F.col("fiscal_year") < current_fy) & (F.col("rows") < warn_at)))
 
 
+def missing_columns(df: DataFrame, required: list[str]) -> list[str]:
+    """H7: required columns that a table lacks, in the order of the list (a schema check, no job)."""
+    return [c for c in required if c not in df.columns]
+
+
 def dq_structure(summary: DataFrame, required: list[str], min_rows: int = 100, min_agencies: int = 15,
                  year: str = "Fiscal_Year") -> DataFrame:
-    """Per year — required columns present, non-empty, >= min_rows rows and
+    """Per year — required columns present (the missing ones by name), >= min_rows rows and
     >= min_agencies agencies; months present per year."""
-    cols_ok = all(c in summary.columns for c in required)
+    missing = missing_columns(summary, required)
     g = summary.groupBy(F.col(year).alias("fiscal_year")).agg(
         F.count(F.lit(1)).alias("rows"), F.count_distinct("Agency").alias("agencies"),
         F.count_distinct("Month").alias("months"))
-    return g.withColumn("columns_ok", F.lit(cols_ok)).withColumn(
-        "passed", F.lit(cols_ok) & (F.col("rows") >= min_rows) & (F.col("agencies") >= min_agencies))
+    return g.withColumns({"columns_ok": F.lit(not missing), "missing_columns": F.lit(",".join(missing))}).withColumn(
+        "passed", F.col("columns_ok") & (F.col("rows") >= min_rows) & (F.col("agencies") >= min_agencies))
 
 
 def dq_invalid_tokens(summary: DataFrame, year: str = "Fiscal_Year") -> DataFrame:

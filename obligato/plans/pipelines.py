@@ -26,21 +26,21 @@ DEFAULT_SKIP = ["2668331098.xlsx"]
 TEXT_COLUMNS = ["TAFS", "BUREAU", "AGENCY_TITLE", "BUREAU_TITLE", "OMB_ACCOUNT", "LINE_DESC"]
 
 
-def ledger_groups(spark: SparkSession, sf_dir: str, skip: list[str] | None = None) -> DataFrame:
+def ledger_groups(spark: SparkSession, sf_dir: str, skip: list[str] | None = None, by_part: bool = False) -> DataFrame:
     """E1 over all raw rows of files not on the skip list, materialised: the one pass over the raw ledger."""
     skip_df = spark.createDataFrame([(s,) for s in (skip if skip is not None else DEFAULT_SKIP)], "Source_File string")
-    return materialize(resolve_groups(partial_groups(derive_codes(skip_files(ledger_rows(spark, sf_dir), skip_df)))))
+    return materialize(resolve_groups(partial_groups(derive_codes(skip_files(ledger_rows(spark, sf_dir, by_part=by_part), skip_df)))))
 
 
 def build_master(spark: SparkSession, sf_dir: str, skip: list[str] | None = None,
-                 reject_mismatches: bool = True) -> DataFrame:
+                 reject_mismatches: bool = True, by_part: bool = False) -> DataFrame:
     """One hash aggregate of all raw rows, then everything else on the aggregate.
 
     Line number and derived codes are group keys, so the line filter (C1), the per-file code check (E9), the
     NULL-key drop (C2), the per-file agency (B5) and the unit scaling (B2/B3, linear over
     exact decimal sums) all run on the aggregate instead of the raw rows.
     """
-    return master_from_groups(ledger_groups(spark, sf_dir, skip), reject_mismatches)
+    return master_from_groups(ledger_groups(spark, sf_dir, skip, by_part), reject_mismatches)
 
 
 def master_from_groups(groups: DataFrame, reject_mismatches: bool = True) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from . import oracle_sql as S
-from .pipelines import build_master, monthly_summary, year_summary
+from .pipelines import build_master, monthly_summary, year_summary, year_summary_from
 from .registry import register
 
 SUMMARY_SELECT = """Month, Fiscal_Year, Agency, Bureau, Account, Account_Number, Period_of_Performance,
@@ -52,3 +52,22 @@ def q_stream_master(spark, sf_dir):
     ST.ingest_stream(spark, src, f"{base}/groups", f"{base}/checkpoint")
     m = master_from_groups(ST.streamed_groups(spark, f"{base}/groups"))
     return m.select(*_MASTER_COLS, *[F.col(x).cast("double").alias(x) for x in S.FISCAL_MONTHS])
+
+
+# ------------------------------------------------------------------ the same over a master that grows with the tables
+
+def _by_part(sql: str) -> str:
+    return sql.replace("       p.p_brand, p.p_size,", "       p.p_brand || '-' || p.p_partkey AS p_brand, p.p_size,")
+
+
+@register("build_master_by_part", _by_part(S.with_ctes("master") + f"SELECT {', '.join(_MASTER_COLS)}, {_M} FROM master"))
+def q_build_master_by_part(spark, sf_dir):
+    """P1 with accounts by part."""
+    m = build_master(spark, sf_dir, by_part=True)
+    return m.select(*_MASTER_COLS, *[F.col(x).cast("double").alias(x) for x in S.FISCAL_MONTHS])
+
+
+@register("year_summary_by_part", _by_part(S.with_ctes("yearly") + f"SELECT {SUMMARY_SELECT} FROM yearly"))
+def q_year_summary_by_part(spark, sf_dir):
+    """P2 with accounts by part."""
+    return year_summary_from(build_master(spark, sf_dir, by_part=True))

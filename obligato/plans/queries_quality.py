@@ -17,7 +17,7 @@ from ..operators import months as MO
 from ..operators import profile as PR
 from ..operators import quality as Q
 from ..sources.fixture import ledger_rows
-from ..sources.sinks import output_dir
+from ..sources.sinks import output_dir, write_master
 from . import oracle_sql as S
 from .pipelines import build_master, ledger_groups, monthly_summary_from, year_summary_from
 from .registry import register
@@ -56,6 +56,16 @@ def q_scan_master(spark, d):
                                                        F.count_distinct("Agency").alias("agencies"))
 
 
+@register("scan_master_years", S.with_ctes("master") + """
+SELECT fiscal_year, Agency, LINENO, count(*) AS rows, CAST(sum(Sep) AS DOUBLE) AS september FROM master
+WHERE fiscal_year IN (2018, 2019) GROUP BY ALL""")
+def q_scan_master_years(spark, d):
+    """A3: a stored master read with a filter on its year partitions."""
+    stored = spark.read.parquet(write_master(master(spark, d), output_dir(spark, "master")))
+    return (stored.where(F.col("fiscal_year").isin(2018, 2019)).groupBy("fiscal_year", "Agency", "LINENO")
+            .agg(F.count(F.lit(1)).alias("rows"), F.sum("Sep").cast("double").alias("september")))
+
+
 @register("months_with_data", S.with_ctes("month_flags") + "SELECT * FROM month_flags")
 def q_months_with_data(spark, d):
     """Per year and month — has data (any non-zero), non-zero count, total."""
@@ -286,12 +296,21 @@ def q_unexpected_members(spark, d):
 
 @register("dq_structure", S.with_ctes("yearly") + """
 SELECT Fiscal_Year AS fiscal_year, count(*) AS rows, count(DISTINCT Agency) AS agencies, count(DISTINCT Month) AS months,
-  true AS columns_ok, count(*) >= 100 AND count(DISTINCT Agency) >= 5 AS passed FROM yearly GROUP BY 1""")
+  true AS columns_ok, '' AS missing_columns, count(*) >= 100 AND count(DISTINCT Agency) >= 5 AS passed FROM yearly GROUP BY 1""")
 def q_dq_structure(spark, d):
     """Required columns, >= 100 rows and all five agencies per year."""
     return Q.dq_structure(yearly(spark, d), REQUIRED, 100, 5)
 
 
+@register("dq_structure_monthly", S.with_ctes("monthly") + """
+SELECT Fiscal_Year AS fiscal_year, count(*) AS rows, count(DISTINCT Agency) AS agencies, count(DISTINCT Month) AS months,
+  false AS columns_ok, 'Fund_Type' AS missing_columns, false AS passed FROM monthly GROUP BY 1""")
+def q_dq_structure_monthly(spark, d):
+    """The twelve published monthly columns, and one that they do not have."""
+    from ..sources.sinks import MONTH_CSV_COLUMNS
+    return Q.dq_structure(monthly(spark, d), [*MONTH_CSV_COLUMNS, "Fund_Type"], 100, 5)
+
+
 _STR_COLS = ["Month", "Agency", "Bureau", "Account", "Account_Number", "Period_of_Performance", "Expiration_Year",
              "TAFS", "Unobligated Balance (Line 2490)", "Budget Authority (Line 2500)", "Percentage Unobligated"]
 

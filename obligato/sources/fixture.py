@@ -26,9 +26,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ledger_rows(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
+def ledger_rows(spark: SparkSession, sf_dir: str, year: int | None = None, by_part: bool = False) -> DataFrame:
     """Raw long-form ledger: one row per line item, of all fiscal years or of ``year``.
 
+    An account is a part brand, so the master's size is bounded; ``by_part`` makes it a part, and the master
+    then grows with the tables.
+
     Columns: fiscal_year, month, AGENCY, AGENCY_TITLE, BUREAU (NULL on seventh lines), BUREAU_TITLE, OMB_ACCT,
     OMB_ACCOUNT, TAFS, LINENO, LINE_DESC (NULL on some), TRAG, TRACCT (optional keys), FY1, FY2,
     ALLOC (given codes, for the match-rate check), amount decimal(18,2),
@@ -45,7 +48,8 @@ def ledger_rows(spark: SparkSession, sf_dir: str, year: int | None = None) -> Da
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
     region = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+    brand = F.concat("p_brand", F.lit("-"), "p_partkey") if by_part else F.col("p_brand")
+    part = table(spark, sf_dir, "part").select("p_partkey", brand.alias("p_brand"), "p_size")
 
     df = (li.join(orders, li.l_orderkey == orders.o_orderkey)
           .join(supplier, li.l_suppkey == supplier.s_suppkey)
