@@ -46,6 +46,13 @@ def new_path(spark: SparkSession, name: str) -> str:
     return shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column of ``df`` has."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove the shuffle files of steps whose results have been written."""
     gc.collect()

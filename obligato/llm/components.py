@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import discard, written
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -37,7 +37,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
          .where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col("u") != F.col("v"))).distinct())
     state, e = None, written(e, "edges")
     for _ in range(max_rounds):
-        e = written(_stars(e), "stars")
+        stars = written(_stars(e), "stars")
+        discard(e)
+        e = stars
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             return e.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(

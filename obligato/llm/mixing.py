@@ -106,9 +106,10 @@ def first_positions(planned: DataFrame) -> DataFrame:
 
 def mixed_documents(docs: DataFrame, slopes: list[tuple[float, float]], max_epochs: int = 3, seed: str = "mix") -> DataFrame:
     """The documents as training reads them: every copy a row, range-sorted by training position."""
-    planned = plan(docs.withColumn("size", word_count(F.col("text"))), slopes, max_epochs, seed).where("copies > 0")
+    rows = docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), F.struct("*").alias("_row"))
+    planned = plan(rows, slopes, max_epochs, seed).where("copies > 0")
     copies = planned.withColumn("_epoch", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
     words = F.col("_epoch") * F.col("source_size") + F.col("before") + F.col("size") / 2
     placed = copies.withColumn("position", F.when(F.col("target") > 0, _position(words)).otherwise(0.0))
     return (placed.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
-            .select(*docs.columns))
+            .select("_row.*"))

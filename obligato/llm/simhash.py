@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import bound_batches, written
+from .common import bound_batches, free_name, written
 from .components import connected_components
 
 BITS = 64
@@ -143,5 +143,6 @@ def keep_representatives(docs: DataFrame, shingle: int = 4, max_distance: int =
     removed = (near_duplicates(docs, shingle, max_distance, seed).where("component_id <> doc_id")
                .select("doc_id").distinct())
     left = docs.join(removed, "doc_id", "left_anti")
-    once = F.row_number().over(Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy("doc_id"))
-    return left.withColumn("_nth", once).where("_nth = 1 OR doc_id IS NULL").drop("_nth").select(*docs.columns)
+    once, nth = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy("doc_id"), free_name(docs, "nth")
+    numbered = left.withColumn(nth, F.row_number().over(once))
+    return numbered.where((F.col(nth) == 1) | F.col("doc_id").isNull()).select(*docs.columns)

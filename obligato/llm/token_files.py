@@ -17,10 +17,11 @@ import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, chain, pairwise
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -34,7 +35,7 @@ SEQUENCE, BATCH = 1024, 256
 #: Words whose ids a worker remembers before it starts a new generation; it looks up one generation back.
 CACHE = 300_000
 #: Texts encoded at once.
-TEXTS = 256
+TEXTS = 1024
 #: Stands between words that are encoded in one call.
 _MARK = b"\x01"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
@@ -127,23 +128,47 @@ class Encoder:
         for w, base, tail in joined:
             young[w] = (young.get(base) or old[base]) + (young.get(tail) or old[tail])
 
-    def __call__(self, texts: list[bytes | None]) -> list[bytes]:
-        if not self.split_words:
-            return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(
-                [(t or b"").decode("utf-8", "replace") for t in texts], add_special_tokens=False)]
+    def _words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts word by word, and each text's number of ids."""
         # lower-casing might turn other strings into special tokens, which have no upper case
-        words = [((t or b"") if b"<|" in (t or b"") else (t or b"").lower()).split() for t in texts]
-        flat = list(chain.from_iterable(words))
+        low = pc.if_else(pc.match_substring(texts, "<|"), texts, pc.ascii_lower(texts))
+        split = pc.ascii_split_whitespace(low)
+        words = split.flatten().dictionary_encode()
+        known = _pybytes(words.dictionary)
         if len(self.young) > CACHE:
             self.young, self.old = {}, self.young
-        ids = list(map(self.young.get, flat))
-        missing = [i for i, x in enumerate(ids) if x is None]
+        pieces = list(map(self.young.get, known))
+        missing = [i for i, p in enumerate(pieces) if p is None]
         if missing:
-            self._learn({flat[i] for i in missing})
+            self._learn({known[i] for i in missing})
             for i in missing:
-                ids[i] = self.young[flat[i]]
-        ends = list(accumulate(map(len, words), initial=0))
-        return [b"".join(ids[a:b]) for a, b in pairwise(ends)]
+                pieces[i] = self.young[known[i]]
+        ids = np.frombuffer(b"".join(pieces), self.dtype)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
+        which = words.indices.to_numpy()
+        count = size[which]
+        ahead = np.concatenate(([0], np.cumsum(count)))
+        at = np.repeat((np.cumsum(size) - size)[which] - ahead[:-1], count) + np.arange(ahead[-1])
+        bounds = ahead[split.offsets.to_numpy() - split.offsets[0].as_py()]
+        return ids[at], np.diff(bounds)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (UTF-8 bytes, null for none) in order, and each text's number of ids."""
+        texts = texts.cast(pa.binary()).fill_null(b"")
+        if self.split_words:
+            return self._words(texts.view(pa.string()))
+        each = [np.array(e.ids, self.dtype) for e in self.tokenizer.encode_batch_fast(
+            [t.decode("utf-8", "replace") for t in texts.to_pylist()], add_special_tokens=False)]
+        return np.concatenate([*each, np.zeros(0, self.dtype)]), np.array([len(e) for e in each], np.int64)
+
+
+def _pybytes(strings: pa.Array) -> list[bytes]:
+    """The values as bytes, cut from one copy of the data."""
+    if not len(strings):
+        return []
+    offsets = np.frombuffer(strings.buffers()[1], np.int32)[strings.offset:strings.offset + len(strings) + 1].tolist()
+    data = strings.buffers()[2].to_pybytes() if strings.buffers()[2] else b""
+    return [data[a:b] for a, b in pairwise(offsets)]
 
 
 @lru_cache(maxsize=1)
@@ -207,17 +232,16 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, path: str, end_id: i
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(shared.value, split_words)
-        end = np.array([end_id], encode.dtype).tobytes()
-        doc_ids, pieces = [], []
+        doc_ids, ids, lengths = [], [], []
         for batch in batches:
             doc_ids.append(batch.column(0))
             for i in range(0, batch.num_rows, TEXTS):
-                pieces += [ids + end for ids in encode(batch.column(1)[i:i + TEXTS].to_pylist())]
-        if pieces:
-            lengths = [len(p) // encode.dtype.itemsize for p in pieces]
-            ids = np.frombuffer(b"".join(pieces), encode.dtype)
-            content = to_file(TaskContext.get().partitionId(), pa.chunked_array(doc_ids), lengths, ids, length)
-            del pieces, ids
+                found, count = encode(batch.column(1)[i:i + TEXTS])
+                ids.append(np.insert(found, np.cumsum(count), end_id))
+                lengths += (count + 1).tolist()
+        if lengths:
+            content = to_file(TaskContext.get().partitionId(), pa.chunked_array(doc_ids), lengths, np.concatenate(ids), length)
+            del ids
             yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
         pa.default_memory_pool().release_unused()  # the worker stays for later tasks
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, words_of, written
+from .common import bound_batches, free_name, words_of, written
 
 #: Labelled documents that the chain is fitted on at most: those with the smallest hashes of their ids.
 SAMPLE = 12_000
@@ -159,12 +159,13 @@ def probabilities(chain: Chain, text: Column) -> Column:
 
 
 def score(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
-    """``docs`` with p_<category> and is_<category> of every category, one row per row."""
+    """``docs`` with p_<category> and is_<category> of every category (replacing columns of those names), one row per row."""
     bound_batches(docs.sparkSession)
-    scored = docs.withColumn("_p", probabilities(chain, F.col(text_col)))
+    p = free_name(docs, "p")
+    scored = docs.withColumn(p, probabilities(chain, F.col(text_col)))
     for i, m in enumerate(chain.models):
-        scored = scored.withColumn(f"p_{m.name}", F.col("_p")[i]).withColumn(f"is_{m.name}", F.col("_p")[i] >= m.threshold)
-    return scored.drop("_p")
+        scored = scored.withColumn(f"p_{m.name}", F.col(p)[i]).withColumn(f"is_{m.name}", F.col(p)[i] >= m.threshold)
+    return scored.drop(p)
 
 
 def clean_documents(docs: DataFrame, chain: Chain, category: str = "toxic") -> DataFrame:

@@ -55,11 +55,13 @@ def test_positions_follow_the_schedule(spark):
             assert given == pytest.approx(min(asked, once), abs=10)
 
 
-def test_mixed_documents_are_copies_in_order(spark):
+def test_mixed_documents_are_copies_with_their_own_columns(spark):
     rows = rows_of(5)
-    df = spark.createDataFrame([(*r, 1, "x") for r in rows], SCHEMA + ", copies int, size string")
-    mixed = mixing.mixed_documents(df.drop("size"), SLOPES)
-    assert mixed.columns == df.drop("size").columns
+    extra = ", copies int, size string, target string, before int, _row int, _key string, position string"
+    df = spark.createDataFrame([(*r, -1, "x", "y", 7, 8, "k", None) for r in rows], SCHEMA + extra)
+    mixed = mixing.mixed_documents(df, SLOPES)
+    assert mixed.schema.names == df.schema.names
+    assert {tuple(r)[3:] for r in mixed.collect()} == {(-1, "x", "y", 7, 8, "k", None)}
     expected = brute.copies(rows)
     count = {r.doc_id: r.n for r in mixed.groupBy("doc_id").agg(F.count("*").alias("n")).collect()}
     assert count == {k: v[3] for k, v in expected.items() if v[3]}

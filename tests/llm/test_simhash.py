@@ -58,13 +58,14 @@ def test_long_text_counts_blocks(monkeypatch):
 
 def test_nulls_repeats_and_clashing_columns(spark):
     rows = [(None, "a b c d e", 1, "x"), (4, "a b c d e", 2, "y"), (4, "a b c d e", 3, None), (9, "a b c d e", 4, "z"), (None, "solo", 5, "z")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, id long, fp string")
+    df = spark.createDataFrame(rows, "doc_id long, text string, id long, nth string")
     got = [(r.doc_id, r.component_id) for r in simhash.near_duplicates(df).collect()]
     assert sorted(g for g in got if g[0] is not None) == [(4, 4), (4, 4), (9, 4)]
     assert [g for g in got if g[0] is None] == [(None, None)] * 2
     kept = simhash.keep_representatives(df)
     assert kept.columns == df.columns
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 0, 4]
+    assert {r.nth for r in kept.collect()} <= {"x", "y", "z", None}
 
 
 def test_empty_table(spark):

@@ -67,8 +67,10 @@ def test_later_models_learn_from_out_of_fold_predictions(monkeypatch):
 
 
 def test_null_and_empty_texts_and_tables(spark, fitted):
-    df = spark.createDataFrame([(1, None), (2, ""), (3, "grobian " * 20000), (3, "grobian " * 20000), (None, "x")], "doc_id long, text string")
+    rows = [(1, None), (2, ""), (3, "grobian " * 20000), (3, "grobian " * 20000), (None, "x")]
+    df = spark.createDataFrame([(*r, "own") for r in rows], "doc_id long, text string, p string")
     got = toxicity.score(df, fitted).collect()
+    assert {r.p for r in got} == {"own"}
     assert len(got) == 5 and all(0 <= r.p_toxic <= 1 for r in got)
     assert len({r.p_toxic for r in got if r.doc_id in (1, 2)}) == 1
     assert toxicity.score(df.limit(0), fitted).count() == 0
