@@ -1,6 +1,6 @@
 """Toxicity by a classifier chain of linear models over words.
 
-Each category has a logistic model over the presence of words and over the probabilities of the
+Each category has a logistic model over the presence of words and word beginnings and over the probabilities of the
 categories before it. Later models are trained with out-of-fold probabilities of the earlier ones, so
 that they meet the errors those make on new texts; at prediction the chain runs through in order.
 """
@@ -19,9 +19,12 @@ from .common import bound_batches, free_name, words_of, written
 
 #: Labelled documents that the chain is fitted on at most: those with the smallest hashes of their ids.
 SAMPLE = 12_000
-#: Words that the models look at: those that tell most about any category, by chi-square, if in so many of the sample's
-#: documents and above CHI, so that a mislabelled document's rare words do not count as signs.
-FEATURES, LEAST, CHI = 192, 8, 30.0
+#: Bytes of a longer word's beginning, which tells families of inflected or compounded words.
+BEGINNING = 4
+#: Words and beginnings that the models look at: those that tell most about any category, by chi-square, if in so many of the sample's
+#: documents and above CHI, so that a mislabelled document's rare words do not count as signs. A category's
+#: model takes those that tell about it.
+FEATURES, LEAST, CHI = 224, 8, 30.0
 FOLDS, RIDGE, STEPS = 5, 0.1, 25
 
 
@@ -37,13 +40,13 @@ class Model:
 
 @dataclass
 class Chain:
-    words: dict[bytes, int]
+    signs: dict[bytes, int]
     models: list[Model]
 
     def probabilities(self, found: list[np.ndarray]) -> np.ndarray:
         """(texts, categories) from the feature numbers of each text."""
         out = np.zeros((len(found), len(self.models)))
-        n = len(self.words)
+        n = len(self.signs)
         text = np.repeat(np.arange(len(found)), [len(f) for f in found])
         every = np.concatenate([*found, np.zeros(0, np.int64)]).astype(np.int64)
         for k, m in enumerate(self.models):
@@ -52,7 +55,13 @@ class Chain:
         return out
 
     def features(self, text: bytes | None) -> np.ndarray:
-        return np.array(sorted(self.words[w] for w in set(words_of(text)).intersection(self.words.keys())), np.int64)
+        return np.array(sorted(map(self.signs.__getitem__, signs_of(text).intersection(self.signs.keys()))), np.int64)
+
+
+def signs_of(text: bytes | None) -> set[bytes]:
+    """The different words of a text, and the beginnings of its longer ones (marked with a tilde, which no word has)."""
+    words = set(words_of(text))
+    return words | {w[:BEGINNING] + b"~" for w in words if len(w) > BEGINNING}
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -74,28 +83,32 @@ def _fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
 
 
 def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """0.5, unless another cut between two out-of-fold probabilities has a clearly (by 0.02) better F1."""
+    """Halfway between 0.5 and the cut between two out-of-fold probabilities that has the best F1."""
     if y.min() == y.max():
         return 0.5
     order = np.argsort(-p, kind="stable")
     p, hits = p[order], np.cumsum(y[order])
     f1 = 2 * hits / (np.arange(1, len(y) + 1) + hits[-1])
     f1[:-1][p[:-1] == p[1:]] = -1  # no cut within a tie
-    best, half = int(np.argmax(f1)), int((p >= 0.5).sum())
-    if half and f1[half - 1] >= f1[best] - 0.02:
-        return 0.5
-    return float((p[best] + (p[best + 1] if best + 1 < len(p) else 0)) / 2)
+    best = int(np.argmax(f1))
+    cut = (p[best] + (p[best + 1] if best + 1 < len(p) else 0)) / 2
+    return float((cut + 0.5) / 2)
 
 
-def fit_models(x: np.ndarray, labels: np.ndarray, fold: np.ndarray, names: list[str]) -> list[Model]:
-    """The chain's models in order: ``labels`` has a column per category, ``fold`` the fold of each row."""
+def fit_models(x: np.ndarray, labels: np.ndarray, fold: np.ndarray, names: list[str], own: np.ndarray | None = None) -> list[Model]:
+    """The chain's models in order: ``labels`` has a column per category, ``fold`` the fold of each row, ``own`` tells
+    which features each category uses (all, if None)."""
     models, earlier = [], np.zeros((len(x), 0))
-    for name, y in zip(names, labels.T, strict=True):
-        inputs, held_out = np.column_stack([x, earlier]), np.zeros(len(x))
+    for k, (name, y) in enumerate(zip(names, labels.T, strict=True)):
+        used = np.ones(x.shape[1], bool) if own is None else own[k]
+        inputs, held_out = np.column_stack([x[:, used], earlier]), np.zeros(len(x))
         for f in np.unique(fold):
             w, b = _fit(inputs[fold != f], y[fold != f])
             held_out[fold == f] = _sigmoid(inputs[fold == f] @ w + b)
-        models.append(Model(name, *_fit(inputs, y), _threshold(held_out, y)))
+        w, bias = _fit(inputs, y)
+        weights = np.zeros(x.shape[1] + k)
+        weights[np.append(used, np.ones(k, bool))] = w
+        models.append(Model(name, weights, bias, _threshold(held_out, y)))
         earlier = np.column_stack([earlier, held_out])
     return models
 
@@ -119,27 +132,30 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: dict[str, str], sa
     # broadcast: ``sample`` rows of integers at most
     chosen = texts.join(F.broadcast(known), "id").dropDuplicates(["id"])
 
-    @F.arrow_udf("array<string>")
-    def words(text: pa.Array) -> pa.Array:
-        return pa.array([sorted({w.decode("utf-8", "replace") for w in words_of(t)}) for t in text.to_pylist()], pa.list_(pa.string()))
+    @F.arrow_udf("array<binary>")
+    def signs(text: pa.Array) -> pa.Array:
+        return pa.array([sorted(signs_of(t)) for t in text.to_pylist()], pa.list_(pa.binary()))
 
     ys = [f"y{i}" for i in range(len(names))]
-    rows = written(chosen.select("id", *ys, words("text").alias("words")), "toxicity-sample")
+    rows = written(chosen.select("id", *ys, signs("text").alias("signs")), "toxicity-sample")
     totals = rows.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(y), F.lit(0)).alias(y) for y in ys]).first()
-    counts = rows.select(*ys, F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("n"), *[F.sum(y).alias(y) for y in ys])
-    scores = [_chi_square(F.col(y), F.col("n"), totals[y], totals["n"]) for y in ys]
-    best = (counts.where(F.col("n") >= LEAST).select("word", F.greatest(*scores, F.lit(0.0)).alias("chi")).where(F.col("chi") >= CHI)
-            .orderBy(F.desc("chi"), "word").limit(FEATURES).collect()) if totals["n"] else []
-    index = {r.word: i for i, r in enumerate(best)}
-    vectors = rows.select("id", *ys, F.filter("words", lambda w: w.isin(list(index))).alias("words")).orderBy("id").collect()
+    counts = rows.select(*ys, F.explode("signs").alias("sign")).groupBy("sign").agg(F.count("*").alias("n"), *[F.sum(y).alias(y) for y in ys])
+    scores = [_chi_square(F.col(y), F.col("n"), totals[y], totals["n"]).alias(f"chi_{y}") for y in ys]
+    chi = F.greatest(*[f"chi_{y}" for y in ys], F.lit(0.0))
+    best = (counts.where(F.col("n") >= LEAST).select("sign", *scores).withColumn("chi", chi).where(F.col("chi") >= CHI)
+            .orderBy(F.desc("chi"), "sign").limit(FEATURES).collect()) if totals["n"] else []
+    index = {bytes(r["sign"]): i for i, r in enumerate(best)}
+    wanted = F.array(*[F.lit(w) for w in index]) if index else F.array().cast("array<binary>")
+    vectors = rows.select("id", *ys, F.array_intersect("signs", wanted).alias("signs")).orderBy("id").collect()
     x = np.zeros((len(vectors), len(index)))
     for i, r in enumerate(vectors):
-        x[i, [index[w] for w in r.words]] = 1
+        x[i, [index[bytes(w)] for w in r.signs]] = 1
     y = np.array([[r[c] for c in ys] for r in vectors], float).reshape(-1, len(names))
     fold = np.array([zlib.crc32(str(r.id).encode()) % FOLDS for r in vectors])
     if not len(vectors):
         return Chain({}, [Model(n, np.zeros(i), -35.0, 0.5) for i, n in enumerate(names)])
-    return Chain({w.encode(): i for w, i in index.items()}, fit_models(x, y, fold, names))
+    own = np.array([[r[f"chi_{c}"] >= CHI for r in best] for c in ys], bool).reshape(len(ys), len(best))
+    return Chain(index, fit_models(x, y, fold, names, own))
 
 
 def _chi_square(hits: Column, n: Column, positives: int, total: int) -> Column:

@@ -42,11 +42,21 @@ def test_held_out_accuracy(spark, fitted):
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in got if not r.is_toxic}
 
 
+def test_families_of_words_are_told_by_their_beginnings(spark):
+    rng, ends = random.Random(3), ["a", "ing", "hr", "wei", "isch", "und", "tum", "en", "ig", "sp", "eu", "or"]
+    rows = [(i, " ".join(rng.choices([f"word{k}" for k in range(200)], k=40) + [f"lowei{rng.choice(ends)}"] * (i % 5 == 0)), i % 5 == 0) for i in range(800)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic boolean")
+    chain = toxicity.fit_chain(df, df.selectExpr("doc_id", "1 AS quality", "int(toxic) AS toxic"), CATEGORIES)
+    new = spark.createDataFrame([(1, "word1 loweixyz word2"), (2, "word3 word4")], "doc_id long, text string")
+    assert [r.doc_id for r in toxicity.clean_documents(new, chain).collect()] == [2]
+
+
 def test_chain_feeds_earlier_probabilities(fitted):
-    assert [len(m.weights) - len(fitted.words) for m in fitted.models] == [0, 1, 2]
+    assert [len(m.weights) - len(fitted.signs) for m in fitted.models] == [0, 1, 2]
     assert all(abs(x) > 0.1 for x in fitted.models[2].weights[-2:])
     p = fitted.probabilities([fitted.features(b"Grobian, SCHUFT qqq zzz"), fitted.features(b"")])
-    score = fitted.models[2].bias + sum(fitted.models[2].weights[fitted.words[w]] for w in (b"grobian", b"schuft", b"qqq", b"zzz") if w in fitted.words)
+    signs = (b"grobian", b"grob~", b"schuft", b"schu~", b"qqq", b"zzz")
+    score = fitted.models[2].bias + sum(fitted.models[2].weights[fitted.signs[w]] for w in signs if w in fitted.signs)
     assert p[0, 2] == pytest.approx(1 / (1 + np.exp(-(score + p[0, :2] @ fitted.models[2].weights[-2:]))))
 
 
