@@ -21,11 +21,21 @@ TEMPLATE = "https://reports.example.org/budget/FY%20{year}%20-%20Reports.html"
 LABELS = [("The", "Legislative Branch"), ("and", "Judicial Branch"), ("to", "Department of State")]
 
 _RE = S.q(L.ANCHOR_RE)
-ANCHORS = [("a", f"""
-SELECT page_id, page_url, unnest(generate_series(1, len(h))) AS link_ord, unnest(h) AS href,
-       trim(regexp_replace(regexp_replace(unnest(t), '<[^>]*>', '', 'g'), '\\s+', ' ', 'g')) AS text FROM (
+
+
+def _plain(x: str) -> str:
+    for entity, char in L.ENTITIES:
+        x = f"replace({x}, {S.q(entity)}, {S.q(char)})"
+    return x
+
+
+ANCHORS = [("a0", f"""
+SELECT page_id, page_url, unnest(generate_series(1, len(h))) AS link_ord, unnest(h) AS h, unnest(t) AS t FROM (
   SELECT page_id, url AS page_url, regexp_extract_all(html, {_RE}, 1) AS h, regexp_extract_all(html, {_RE}, 2) AS t
   FROM pages)"""),
+           ("a", f"""
+SELECT page_id, page_url, link_ord, trim({_plain("regexp_replace(h, '^[''\"]|[''\"]$', '', 'g')")}) AS href,
+       trim(regexp_replace({_plain("regexp_replace(t, '<[^>]*>', '', 'g')")}, '\\s+', ' ', 'g')) AS text FROM a0"""),
            ("a2", """
 SELECT *, CASE WHEN starts_with(href, 'http') THEN href
                WHEN starts_with(href, '/') THEN regexp_extract(page_url, '^(https?://[^/?#]+)', 1) || href

@@ -11,7 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-ANCHOR_RE = r'<a\s[^>]*?href="([^"]*)"[^>]*>(.*?)</a>'
+# Any letter case, quotes of either kind or none, line breaks within the tag and its text.
+ANCHOR_RE = r"""(?is)<a\s(?:[^>]*?\s)?href\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)[^>]*>(.*?)</a\s*>"""
+# Character references that occur in links and their texts; the ampersand comes last.
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")]
+
+
+def _unescaped(c):
+    for entity, char in ENTITIES:
+        c = F.replace(c, F.lit(entity), F.lit(char))
+    return c
 
 
 def anchors(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -20,9 +29,9 @@ def anchors(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     texts = F.regexp_extract_all(F.col(html_col), F.lit(ANCHOR_RE), 2)
     z = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("page_url"),
                      F.posexplode(F.arrays_zip(hrefs.alias("href"), texts.alias("text"))).alias("link_ord", "a"))
-    text = F.trim(F.regexp_replace(F.regexp_replace(F.col("a.text"), "<[^>]*>", ""), r"\s+", " "))
-    return z.select("page_id", "page_url", (F.col("link_ord") + 1).alias("link_ord"),
-                    F.col("a.href").alias("href"), text.alias("text"))
+    text = F.trim(F.regexp_replace(_unescaped(F.regexp_replace(F.col("a.text"), "<[^>]*>", "")), r"\s+", " "))
+    href = F.trim(_unescaped(F.regexp_replace(F.col("a.href"), r"""^["']|["']$""", "")))
+    return z.select("page_id", "page_url", (F.col("link_ord") + 1).alias("link_ord"), href.alias("href"), text.alias("text"))
 
 
 def resolve(href, page_url, base_url: str | None = None):
