@@ -33,9 +33,9 @@ from .common import bound_batches, written
 FILE_BYTES = 8 << 20
 SEQUENCE, BATCH = 1024, 256
 #: Words whose ids a worker remembers before it starts a new generation; it looks up one generation back.
-CACHE = 300_000
+CACHE = 200_000
 #: Texts encoded at once.
-TEXTS = 1024
+TEXTS = 512
 #: Stands between words that are encoded in one call.
 _MARK = b"\x01"
 _LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyz")
@@ -148,7 +148,8 @@ class Encoder:
         which = words.indices.to_numpy()
         count = size[which]
         ahead = np.concatenate(([0], np.cumsum(count)))
-        at = np.repeat((np.cumsum(size) - size)[which] - ahead[:-1], count) + np.arange(ahead[-1])
+        at = np.repeat(((np.cumsum(size) - size)[which] - ahead[:-1]).astype(np.int32), count)
+        at += np.arange(ahead[-1], dtype=np.int32)
         bounds = ahead[split.offsets.to_numpy() - split.offsets[0].as_py()]
         return ids[at], np.diff(bounds)
 
@@ -181,7 +182,9 @@ def _sequences(ids: np.ndarray, length: int) -> pa.Table:
     n = -(-len(ids) // length)
     padded = np.zeros(n * length, ids.dtype)
     padded[:len(ids)] = ids
-    mask = pa.array(np.arange(n * length) < len(ids))
+    tokens = np.zeros(n * length, bool)
+    tokens[:len(ids)] = True
+    mask = pa.array(tokens)
     return pa.table({"ids": pa.FixedSizeListArray.from_arrays(pa.array(padded), length),
                      "mask": pa.FixedSizeListArray.from_arrays(mask, length)})
 
@@ -239,6 +242,7 @@ def write_token_files(docs: DataFrame, tokenizer_json: str, path: str, end_id: i
                 found, count = encode(batch.column(1)[i:i + TEXTS])
                 ids.append(np.insert(found, np.cumsum(count), end_id))
                 lengths += (count + 1).tolist()
+            pa.default_memory_pool().release_unused()
         if lengths:
             content = to_file(TaskContext.get().partitionId(), pa.chunked_array(doc_ids), lengths, np.concatenate(ids), length)
             del ids
