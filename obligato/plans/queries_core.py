@@ -57,7 +57,7 @@ def q_stream_master(spark, sf_dir):
 # ------------------------------------------------------------------ the same over a master that grows with the tables
 
 def _by_part(sql: str) -> str:
-    return sql.replace("       p.p_brand, p.p_size,", "       p.p_brand || '-' || p.p_partkey AS p_brand, p.p_size,")
+    return sql.replace("       p.p_brand, p.p_size,", "       p.p_brand || p.p_partkey AS p_brand, p.p_size,")
 
 
 @register("build_master_by_part", _by_part(S.with_ctes("master") + f"SELECT {', '.join(_MASTER_COLS)}, {_M} FROM master"))

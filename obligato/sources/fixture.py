@@ -48,7 +48,7 @@ def ledger_rows(spark: SparkSession, sf_dir: str, year: int | None = None, by_pa
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
     region = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
-    brand = F.concat("p_brand", F.lit("-"), "p_partkey") if by_part else F.col("p_brand")
+    brand = F.concat("p_brand", "p_partkey") if by_part else F.col("p_brand")
     part = table(spark, sf_dir, "part").select("p_partkey", brand.alias("p_brand"), "p_size")
 
     df = (li.join(orders, li.l_orderkey == orders.o_orderkey)
