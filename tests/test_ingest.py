@@ -49,10 +49,10 @@ def test_mismatch_samples_are_the_first_in_file_order(spark):
     assert sorted((r.Source_File, r.code, r.ordinal, r["sample"]) for r in got) == [("f", "FY2", i, i) for i in (1, 2, 3)]
 
 
-def test_streamed_groups_keep_optional_keys_and_compact(spark):
+def test_streamed_groups_keep_optional_keys_and_compact(spark, tmp_path):
     rows = [row(1, trag="1"), row(2, trag="2"), row(3, trag="1", month="Nov"), row(4, trag="2", month="Nov", agency=None)]
     df = spark.createDataFrame(rows, COLUMNS)
-    base = shared_dir(spark, "stream-test")
+    base = str(tmp_path)
     src = ST.write_month_partitions(df, f"{base}/raw")
     ST.ingest_stream(spark, src, f"{base}/groups", f"{base}/checkpoint", files_per_trigger=1)
     key = lambda g: sorted((r.TRAG, float(r.Oct), float(r.Nov), r.source_rows, r.AGENCY_ord) for r in g.collect())
