@@ -1,16 +1,17 @@
 """Licence scan: sparse TF-IDF cosine to notice templates, then inheritance from the nearest directory above.
 
-A file's own licence is the template nearest to any run of up to LINES of its lines (a notice may stand
-anywhere in it), or to its whole text. Files without one take that of the licence file in the nearest
-directory on the way up, found by joining directories' paths.
+A file's own licence is the template nearest to any of its runs of as many words as the template has (a notice may
+stand anywhere in it, also within a line), to any run of up to LINES of its lines, or to its whole text. Files
+without one take that of the licence file in the nearest directory on the way up, found by joining directories' paths.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import accumulate
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -46,24 +47,43 @@ THRESHOLD, LINES = 0.7, 6
 LICENCE_FILE = r"(?i)^(licen[cs]e|copying|unlicense)"
 
 
+class Candidate(NamedTuple):
+    """A run of words: a bound on its cosine, the template's name, the dot product with it, the squared norm of the words
+    that templates have, and the other words with their counts."""
+
+    bound: float
+    name: str
+    dot: float
+    square: float
+    others: tuple[tuple[str, int], ...]
+
+
 class Matcher:
-    """Scores texts against templates; ``documents`` and ``frequency`` are the corpus counts that the weights come from."""
+    """Scores texts against templates; ``documents`` and ``frequency`` are the corpus counts that the weights come from.
 
-    def __init__(self, templates: list[tuple[str, str]], threshold: float, documents: int, frequency: dict[str, int]):
-        self.threshold = threshold
+    ``counted`` is a table (word, n) of all words' document frequencies, if there are more than ``frequency`` has.
+    """
+
+    def __init__(self, templates: list[tuple[str, str]], threshold: float, documents: int, frequency: dict[str, int],
+                 counted: DataFrame | None = None):
+        self.threshold, self.documents, self.frequency, self.counted = threshold, documents, frequency, counted
         self.vocabulary = {w for _, t in templates for w in words_of(t.encode())}
-        self.idf = {w: self._weight(documents, frequency.get(w.decode(), 0)) for w in self.vocabulary}
-        self.rare = self._weight(documents, 0)  # words that no template has weigh as the rarest
-        self.templates = [(name, self.vector(words_of(t.encode()))) for name, t in sorted(templates)]
-        self.signs = set().union(*(self._signs(v) for _, v in self.templates))
+        self.idf = {w: self.weight(w) for w in self.vocabulary}
+        split = [(name, words_of(t.encode())) for name, t in sorted(templates)]
+        self.templates = [(name, self.vector(words)) for name, words in split]
+        self.lengths = [len(words) for _, words in split]
+        self.own_signs = [self._signs(v) for _, v in self.templates]
+        self.signs = set().union(*self.own_signs)
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"counted": None}  # a table stays with the driver
 
-    @staticmethod
-    def _weight(documents: int, frequency: int) -> float:
-        return math.log((1 + documents) / (1 + frequency)) + 1
+    def weight(self, word: bytes) -> float:
+        return math.log((1 + self.documents) / (1 + self.frequency.get(word.decode("utf-8", "replace"), 0))) + 1
 
     def vector(self, words: list[bytes]) -> dict[bytes, float]:
         """Unit TF-IDF vector."""
-        counts = {w: n * self.idf.get(w, self.rare) for w, n in Counter(words).items()}
+        counts = {w: n * (self.idf.get(w) or self.weight(w)) for w, n in Counter(words).items()}
         norm = math.sqrt(sum(x * x for x in counts.values()))
         return {w: x / norm for w, x in counts.items()} if norm else {}
 
@@ -87,49 +107,120 @@ class Matcher:
                 best = (c, name)
         return best
 
-    def best(self, text: bytes | None) -> tuple[float, str] | None:
-        """Best match of the whole text or of any run of up to LINES lines of it."""
-        if not self.signs.intersection(words_of(text)):
-            return None
+    def candidates(self, text: bytes | None) -> list[Candidate]:
+        """The runs of words that can be the best match. Words that no template has weigh at least 1, so that a bound
+        on each cosine is known before they are looked up; runs that it rules out are left out."""
         lines = [words_of(line) for line in (text or b"").split(b"\n")]
-        runs = {(max(0, i - a), i - a + n) for i, line in enumerate(lines) if self.signs.intersection(line)
-                for n in range(1, LINES + 1) for a in range(n)}
-        found = [m for a, b in sorted(runs) if (m := self.cosine([w for line in lines[a:b] for w in line]))]
-        found += [m] if (m := self.cosine([w for line in lines for w in line])) else []
-        return min(found, key=lambda m: (-round(m[0], 12), m[1]), default=None)
+        words = [w for line in lines for w in line]
+        if not self.signs.intersection(words):
+            return []
+        at = [0, *accumulate(map(len, lines))]
+        runs = {(at[max(0, i - a)], at[min(len(lines), i - a + n)]) for i, line in enumerate(lines) if self.signs.intersection(line)
+                for n in range(1, LINES + 1) for a in range(n)} | {(0, len(words))}
+        every = range(len(self.templates))
+        found = {x for a, b in runs for x in self._scored(words[a:b], every)}
+        for k in every:
+            found.update(x for a, b in self._windows(words, k) for x in self._scored(words[a:b], [k]))
+        sure = max((x.bound for x in found if not x.others), default=0.0)
+        return sorted(x for x in found if x.bound >= sure - 1e-12)
+
+    def _scored(self, words: list[bytes], templates: Iterable[int]) -> Iterator[Candidate]:
+        counts = Counter(words)
+        known = {w: n * self.idf[w] for w, n in counts.items() if w in self.idf}
+        others = tuple(sorted((w.decode("utf-8", "replace"), n) for w, n in counts.items() if w not in self.idf))
+        square = math.fsum(x * x for x in known.values())
+        least = math.sqrt(square + sum(n * n for _, n in others))
+        for k in templates:
+            name, t = self.templates[k]
+            dot = math.fsum(x * known[w] for w, x in t.items() if w in known)
+            if least and dot / least >= self.threshold - 1e-9:
+                yield Candidate(dot / least, name, dot, square, others)
+
+    def _windows(self, words: list[bytes], k: int) -> Iterator[tuple[int, int]]:
+        """Runs of as many words as template ``k`` has whose cosine to it may reach the threshold."""
+        n, t, signs = self.lengths[k], self.templates[k][1], self.own_signs[k]
+        spans: list[list[int]] = []
+        for i, w in enumerate(words):
+            if w in signs:
+                low, high = max(0, i - n + 1), min(len(words), i + n)
+                if spans and low <= spans[-1][1]:
+                    spans[-1][1] = high
+                else:
+                    spans.append([low, high])
+        for low, high in spans:
+            counts: Counter = Counter()
+            dot = square = 0.0
+            for i in range(low, high):
+                w = words[i]
+                x = self.idf.get(w, 1.0)
+                square += x * x * (2 * counts[w] + 1)
+                counts[w] += 1
+                dot += x * t.get(w, 0.0)
+                if i >= low + n:
+                    w = words[i - n]
+                    x = self.idf.get(w, 1.0)
+                    counts[w] -= 1
+                    square -= x * x * (2 * counts[w] + 1)
+                    dot -= x * t.get(w, 0.0)
+                if i >= low + n - 1 and dot > 0 and dot * dot >= self.threshold ** 2 * square - 1e-6:
+                    yield i - n + 1, i + 1
+
+    def best(self, text: bytes | None) -> tuple[float, str] | None:
+        """Best match of any run, with the weights that ``frequency`` gives."""
+        scored = [(x.dot / math.sqrt(x.square + sum((n * self.weight(w.encode())) ** 2 for w, n in x.others)), x.name) for x in self.candidates(text)]
+        return min((m for m in scored if m[0] >= self.threshold - 1e-9), key=lambda m: (-round(m[0], 12), m[1]), default=None)
 
 
 def fit(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = THRESHOLD, text_col: str = "text") -> Matcher:
-    """A matcher with the templates' words counted over all rows of ``files``."""
+    """A matcher with the document frequencies of all words of ``files``; the driver holds those of the templates' words."""
     bound_batches(files.sparkSession)
-    vocabulary = {w for _, t in templates for w in words_of(t.encode())}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
         for batch in batches:
-            counts[b""] += batch.num_rows
+            counts: Counter = Counter({b"": batch.num_rows})
             for text in batch.column(0).to_pylist():
-                counts.update(vocabulary.intersection(words_of(text)))
-        yield pa.RecordBatch.from_arrays([pa.array([w.decode() for w in counts], pa.string()), pa.array(counts.values(), pa.int64())], ["word", "n"])
+                counts.update(set(words_of(text)))
+            yield pa.RecordBatch.from_arrays([pa.array([w.decode("utf-8", "replace") for w in counts], pa.string()),
+                                              pa.array(counts.values(), pa.int64())], ["word", "n"])
 
-    rows = (files.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "word string, n long")
-            .groupBy("word").agg(F.sum("n").alias("n")).collect())
-    counts = {r.word: r.n for r in rows}
-    return Matcher(templates, threshold, counts.pop("", 0), counts)
+    counted = written(files.select(F.col(text_col).cast("binary").alias("text")).mapInArrow(run, "word string, n long")
+                      .groupBy("word").agg(F.sum("n").alias("n")), "licence-words")
+    vocabulary = sorted({w.decode() for _, t in templates for w in words_of(t.encode())})
+    counts = {r.word: r.n for r in counted.where(F.col("word").isin(["", *vocabulary])).collect()}
+    return Matcher(templates, threshold, counts.pop("", 0), counts, counted)
 
 
-def own_licence(matcher: Matcher, text: Column) -> Column:
-    """struct(score, licence) of a text, null if it has none."""
-    kind = pa.struct([("score", pa.float64()), ("licence", pa.string())])
+def found_runs(matcher: Matcher, text: Column) -> Column:
+    """The matcher's candidates of a text."""
+    word = pa.struct([("word", pa.string()), ("n", pa.int64())])
+    kind = pa.list_(pa.struct([("licence", pa.string()), ("dot", pa.float64()), ("square", pa.float64()), ("others", pa.list_(word))]))
 
-    @F.arrow_udf("score double, licence string")
+    @F.arrow_udf("array<struct<licence string, dot double, square double, others array<struct<word string, n bigint>>>>")
     def run(texts: pa.Array) -> pa.Array:
-        found = [matcher.best(t) for t in texts.to_pylist()]
-        return pa.array([m and {"score": round(m[0], 9), "licence": m[1]} for m in found], kind)
+        return pa.array([[{"licence": x.name, "dot": x.dot, "square": x.square, "others": [{"word": w, "n": n} for w, n in x.others]}
+                          for x in matcher.candidates(t)] for t in texts.to_pylist()], kind)
 
     return run(text.cast("binary"))
 
 
+def own_licences(rows: DataFrame, matcher: Matcher) -> DataFrame:
+    """(at, own): struct(score, licence) of the best of each row's ``runs`` that reaches the threshold, the words
+    that no template has weighed by their document frequencies."""
+    counted = matcher.counted
+    if counted is None:
+        counted = rows.sparkSession.createDataFrame([*matcher.frequency.items()], "word string, n long")
+    runs = (rows.where(F.size("runs") > 0).select("at", F.posexplode("runs").alias("nth", "run"))
+            .select("at", "nth", "run.licence", "run.dot", "run.square", F.explode_outer("run.others").alias("other")))
+    weight = F.log((1 + F.lit(float(matcher.documents))) / (1 + F.coalesce("n", F.lit(0)))) + 1
+    weighed = (runs.select("at", "nth", "licence", "dot", "square", F.col("other.word").alias("word"), F.col("other.n").alias("times"))
+               .join(counted, "word", "left").groupBy("at", "nth", "licence", "dot", "square")
+               .agg(F.sum(F.coalesce(F.pow(F.col("times") * weight, F.lit(2)), F.lit(0.0))).alias("more")))
+    score = F.col("dot") / F.sqrt(F.col("square") + F.col("more"))
+    return (weighed.select("at", "licence", score.alias("score")).where(F.col("score") >= matcher.threshold - 1e-9)
+            .groupBy("at").agg(F.min(F.struct(-F.round("score", 12), "licence", F.round("score", 9).alias("score"))).alias("best"))
+            .select("at", F.struct("best.score", "best.licence").alias("own")))
+
+
 def scan(files: DataFrame, matcher: Matcher, path_col: str = "path", text_col: str = "text", id_cols: tuple[str, ...] = ()) -> DataFrame:
     """(*id_cols, path, licence, score, how, source), one row per row of ``files``.
 
@@ -139,7 +230,10 @@ def scan(files: DataFrame, matcher: Matcher, path_col: str = "path", text_col: s
     nothing; rows that repeat a path each get their row. An empty table gives an empty result.
     """
     path = F.col(path_col)
-    rows = written(files.select(*id_cols, path.alias("path"), own_licence(matcher, F.col(text_col)).alias("own")), "licences")
+    bound_batches(files.sparkSession)
+    rows = written(files.select(*id_cols, path.alias("path"), found_runs(matcher, F.col(text_col)).alias("runs"),
+                                F.monotonically_increasing_id().alias("at")), "licence-runs")
+    rows = written(rows.drop("runs").join(own_licences(rows, matcher), "at", "left").drop("at"), "licences")
     name = F.element_at(F.split("path", "/"), -1)
     rows = rows.withColumns({"dir": F.regexp_extract("path", r"^(.*)/[^/]*$", 1), "is_file": name.rlike(LICENCE_FILE)})
     granted = (rows.where("is_file AND own IS NOT NULL").groupBy(F.col("dir").alias("at"))

@@ -58,3 +58,30 @@ def test_clashing_columns_and_empty_table(spark):
     df, out = scanned(spark, [("/a/LICENSE", MIT, 1, "q"), ("/a/b", "x", 2, "r")], "path string, text string, dir int, own string")
     assert {r.path: r.licence for r in out.collect()} == {"/a/LICENSE": "MIT", "/a/b": "MIT"}
     assert licences.scan(df.limit(0), licences.fit(df.limit(0))).count() == 0
+
+
+def test_neighbouring_words_and_corpus_size_do_not_hide_a_notice(spark):
+    texts = ["Released under the MIT License by Acme.", "Released under the MIT License. All rights reserved.",
+             "Copyright 2021 Acme. Released under the MIT License.", "prose before it, released under the MIT License, and prose behind it " + "word " * 40]
+    apache = "Licensed under the Apache License, Version 2.0. See LICENSE for details."
+    for documents in (100, 10 ** 8):
+        m = licences.Matcher(licences.TEMPLATES, licences.THRESHOLD, documents, {"the": documents // 2, "license": documents // 10})
+        assert [m.best(t.encode())[1] for t in texts] == ["MIT"] * 4
+        assert m.best(apache.encode())[1] == "Apache-2.0"
+    rows = [(f"/p/{i}", t) for i, t in enumerate([*texts, apache])]
+    _, out = scanned(spark, rows)
+    assert sorted((r.path, r.licence, r.how) for r in out.collect()) == [
+        (p, "Apache-2.0" if t == apache else "MIT", "header") for p, t in rows]
+
+
+def test_words_that_no_template_has_weigh_by_their_document_frequency(spark):
+    text = "Released beneath the MIT License"
+    rows = [("/x", text)] + [(f"/{i}", "beneath the prose") for i in range(30)]
+    df, out = scanned(spark, rows)
+    m = licences.fit(df)
+    got = {r.path: (r.licence, r.score) for r in out.collect()}
+    frequency = {"released": 1, "beneath": 31, "the": 31, "mit": 1, "license": 1}
+    direct = licences.Matcher(licences.TEMPLATES, licences.THRESHOLD, 31, frequency)
+    score, name = direct.best(text.encode())
+    assert m.documents == 31 and got["/x"] == (name, pytest.approx(score, abs=1e-8))
+    assert score > licences.Matcher(licences.TEMPLATES, 0.1, 31, frequency | {"beneath": 0}).best(text.encode())[0]
