@@ -2,12 +2,14 @@
 
 A file's own licence is the template nearest to any of its runs of as many words as the template has (a notice may
 stand anywhere in it, also within a line), to any run of up to LINES of its lines, or to its whole text. Files
-without one take that of the licence file in the nearest directory on the way up, found by joining directories' paths.
+without one take that of the licence file in the nearest directory on the way up, found by joining directories' paths. A match counts only if the words that tell the
+licence from its relatives (version, variant) agree.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from itertools import accumulate
@@ -40,7 +42,58 @@ TEMPLATES = [
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation "
             "files, to deal in the Software without restriction"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public "
+                 "License as published by the Free Software Foundation, either version 3 of the License, or any later version."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+                     "following conditions are met"),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+                "as published by the Free Software Foundation; either version 2 of the License, or any later version."),
+    ("LGPL-2.1", "This library is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                 "License as published by the Free Software Foundation; either version 2.1 of the License, or any later version."),
+    ("LGPL-3.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public "
+                 "License as published by the Free Software Foundation; either version 3 of the License, or any later version."),
 ]
+
+
+def _gnu(kind: str, version: str) -> str:
+    """The name, and the version that stands first after it or directly before it."""
+    name, number = rf"(?<!affero )(?<!lesser )(?<!library ){kind}general public licen[cs]e\b", rf"{version}\b(?! [1-9]\b)"
+    return rf"\b{name}(?:(?: (?!v(?:ersion)? ?\d)\S+){{0,12}}? v(?:ersion)?)? ?{number}|\bv(?:ersion)? ?{version}(?: 0)? of the (?:gnu )?{name}"
+
+
+def _cc(short: str, long: str) -> str:
+    return rf"\b(?:cc by{short}|attribution{long})(?: (?:international|public|licen[cs]e|version|v))* v?4\b"
+
+
+_NC, _ND, _SA = " non ?commercial", r" no ?deriv(?:ative)?s?(?: works)?", " share ?alike"
+_CONDITIONS = r"\bredistribution and use in source and binary forms\b(?=.* redistributions in binary form must\b)(?!.* all advertising materials\b)"
+# What tells a licence from its relatives, as patterns over the words of a run, NEAR words around it, and, for conditions that
+# follow a notice, AFTER words up to the disclaimer. A run without it is no match.
+TELLING = {
+    "AGPL-3.0": _gnu("affero ", "3"),
+    "Apache-2.0": r"\bapache (?:software )?(?:licen[cs]e)?(?: ?v(?:ersion)?)? ?2\b(?! [1-9]\b)|\blicenses license 2 0\b",
+    "BSD-2-Clause": rf"\b(?:bsd 2 clause|2 clause bsd|simplified bsd)\b|{_CONDITIONS}(?!.* endorse or promote\b)",
+    "BSD-3-Clause": rf"\b(?:bsd 3 clause|3 clause bsd|new bsd|modified bsd)\b|{_CONDITIONS}(?=.* endorse or promote\b)",
+    "CC-BY-4.0": _cc("", ""), "CC-BY-NC-4.0": _cc(" nc", _NC), "CC-BY-ND-4.0": _cc(" nd", _ND), "CC-BY-SA-4.0": _cc(" sa", _SA),
+    "CC-BY-NC-ND-4.0": _cc(" nc nd", _NC + _ND), "CC-BY-NC-SA-4.0": _cc(" nc sa", _NC + _SA),
+    "CC0-1.0": r"\bcc0\b|\bwaived all copyright\b",
+    "GPL-2.0": _gnu("", "2"), "GPL-3.0": _gnu("", "3"), "LGPL-2.1": _gnu("lesser ", "2 1"), "LGPL-3.0": _gnu("lesser ", "3"),
+    "MIT": r"\bmit\b(?! no attribution\b| 0\b)|\bassociated documentation files\b",
+    "MPL-2.0": r"\bmozilla public licen[cs]e(?: v(?:ersion)?)? ?2\b(?! [1-9]\b)",
+}
+NEAR, AFTER, DISCLAIMER = 2, 150, " this software is provided "
 #: Least cosine of a match, and lines that a notice may run over.
 THRESHOLD, LINES = 0.7, 6
 #: Names of licence files.
@@ -73,6 +126,7 @@ class Matcher:
         self.templates = [(name, self.vector(words)) for name, words in split]
         self.lengths = [len(words) for _, words in split]
         self.own_signs = [self._signs(v) for _, v in self.templates]
+        self.telling = [re.compile(TELLING.get(name, "")) for name, _ in self.templates]
         self.signs = set().union(*self.own_signs)
 
     def __getstate__(self) -> dict:
@@ -101,12 +155,18 @@ class Matcher:
         """Best (cosine, name) from the threshold on; ties go to the first name."""
         v = self.vector(words)
         best = None
-        for name, t in self.templates:
+        for k, (name, t) in enumerate(self.templates):
             c = sum(x * v[w] for w, x in t.items() if w in v)
-            if c >= self.threshold - 1e-9 and (best is None or c > best[0] + 1e-12):
+            if c >= self.threshold - 1e-9 and (best is None or c > best[0] + 1e-12) and self._told(words, 0, len(words), k):
                 best = (c, name)
         return best
 
+    def _told(self, words: list[bytes], a: int, b: int, k: int) -> bool:
+        """Whether the words of the run or around it tell template ``k``'s licence from its relatives."""
+        after = AFTER if self.templates[k][0].startswith("BSD-") else NEAR
+        around = b" ".join(words[max(0, a - NEAR):b + after]).decode("utf-8", "replace")
+        return self.telling[k].search(around.split(DISCLAIMER)[0] if after == AFTER else around) is not None
+
     def candidates(self, text: bytes | None) -> list[Candidate]:
         """The runs of words that can be the best match. Words that no template has weigh at least 1, so that a bound
         on each cosine is known before they are looked up; runs that it rules out are left out."""
@@ -118,14 +178,14 @@ class Matcher:
         runs = {(at[max(0, i - a)], at[min(len(lines), i - a + n)]) for i, line in enumerate(lines) if self.signs.intersection(line)
                 for n in range(1, LINES + 1) for a in range(n)} | {(0, len(words))}
         every = range(len(self.templates))
-        found = {x for a, b in runs for x in self._scored(words[a:b], every)}
+        found = {x for a, b in runs for x in self._scored(words, a, b, every)}
         for k in every:
-            found.update(x for a, b in self._windows(words, k) for x in self._scored(words[a:b], [k]))
+            found.update(x for a, b in self._windows(words, k) for x in self._scored(words, a, b, [k]))
         sure = max((x.bound for x in found if not x.others), default=0.0)
         return sorted(x for x in found if x.bound >= sure - 1e-12)
 
-    def _scored(self, words: list[bytes], templates: Iterable[int]) -> Iterator[Candidate]:
-        counts = Counter(words)
+    def _scored(self, words: list[bytes], a: int, b: int, templates: Iterable[int]) -> Iterator[Candidate]:
+        counts = Counter(words[a:b])
         known = {w: n * self.idf[w] for w, n in counts.items() if w in self.idf}
         others = tuple(sorted((w.decode("utf-8", "replace"), n) for w, n in counts.items() if w not in self.idf))
         square = math.fsum(x * x for x in known.values())
@@ -133,7 +193,7 @@ class Matcher:
         for k in templates:
             name, t = self.templates[k]
             dot = math.fsum(x * known[w] for w, x in t.items() if w in known)
-            if least and dot / least >= self.threshold - 1e-9:
+            if least and dot / least >= self.threshold - 1e-9 and self._told(words, a, b, k):
                 yield Candidate(dot / least, name, dot, square, others)
 
     def _windows(self, words: list[bytes], k: int) -> Iterator[tuple[int, int]]:

@@ -85,3 +85,56 @@ def test_words_that_no_template_has_weigh_by_their_document_frequency(spark):
     score, name = direct.best(text.encode())
     assert m.documents == 31 and got["/x"] == (name, pytest.approx(score, abs=1e-8))
     assert score > licences.Matcher(licences.TEMPLATES, 0.1, 31, frequency | {"beneath": 0}).best(text.encode())[0]
+
+
+BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:\n"
+       "1. Redistributions of source code must retain the above copyright notice.\n2. Redistributions in binary form must reproduce the above "
+       "copyright notice.\n")
+THIRD = "3. Neither the name of the holder nor the names of its contributors may be used to endorse or promote products.\n"
+DISCLAIMER = "THIS SOFTWARE IS PROVIDED AS IS\n"
+GNU = "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {}, either version {} of the License, or any later version."
+RELATIVES = [
+    ("This work is licensed under the GNU General Public License, version 2.", "GPL-2.0"), (GPL, "GPL-3.0"),
+    ("This work is licensed under version 2 of the GNU General Public License.", "GPL-2.0"),
+    ("This work is licensed under the GNU General Public License v3.", "GPL-3.0"),
+    ("This work is licensed under the GNU General Public License, version 1.", None),
+    ("This work is licensed under the GNU General Public License.", None),
+    ("This work is licensed under the GNU Affero General Public License, version 3.", "AGPL-3.0"),
+    ("This library is licensed under the GNU Lesser General Public License, version 2.1.", "LGPL-2.1"),
+    ("This library is licensed under the GNU Lesser General Public License, version 3.", "LGPL-3.0"),
+    *[(GNU.format(f"{kind}General Public License as published by the Free Software Foundation", version), name) for kind, version, name in
+      [("", "2", "GPL-2.0"), ("", "3", "GPL-3.0"), ("Affero ", "3", "AGPL-3.0"), ("Lesser ", "2.1", "LGPL-2.1"), ("Lesser ", "3", "LGPL-3.0")]],
+    *[(f"Licensed under CC BY{x} 4.0.", f"CC-BY{x}-4.0") for x in ("", "-NC", "-ND", "-SA", "-NC-ND", "-NC-SA")],
+    *[(f"This work is licensed under a Creative Commons Attribution{x} 4.0 International License.", f"CC-BY{y}-4.0") for x, y in
+      [("", ""), ("-NonCommercial", "-NC"), ("-NoDerivatives", "-ND"), ("-ShareAlike", "-SA"), ("-NonCommercial-ShareAlike", "-NC-SA")]],
+    ("Licensed under CC BY 3.0.", None), ("Licensed under the Apache License, Version 1.1.", None),
+    ("Licensed under the Apache License 2.0", "Apache-2.0"), ("Licensed under the Apache License, Version 2.0.", "Apache-2.0"),
+    ("Licensed under the BSD 2-Clause License.", "BSD-2-Clause"), ("Licensed under the BSD 3-Clause License.", "BSD-3-Clause"),
+    (BSD + DISCLAIMER, "BSD-2-Clause"), (BSD + THIRD + DISCLAIMER, "BSD-3-Clause"),
+    (BSD + DISCLAIMER + "other parts: " + THIRD, "BSD-2-Clause"),
+    (BSD + "3. All advertising materials must display this.\n" + THIRD + DISCLAIMER, None),
+    ("Released under the ISC License.", None), ("Released under the MIT No Attribution License.", None), (MIT, "MIT"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 1.1.", None),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "MPL-2.0"),
+]
+
+
+@pytest.mark.parametrize("documents", [100, 10 ** 8])
+@pytest.mark.parametrize("around", ["{}", "Copyright 2021 Acme. {} See the file for more."])
+def test_relatives_are_told_apart(documents, around):
+    m = licences.Matcher(licences.TEMPLATES, licences.THRESHOLD, documents, {"the": documents // 2, "license": documents // 10, "version": documents // 20})
+    got = [(t, (m.best(around.format(t).encode()) or (0, None))[1]) for t, _ in RELATIVES]
+    assert got == RELATIVES
+
+
+def test_every_template_with_its_own_words_tells_its_licence():
+    m = licences.Matcher(licences.TEMPLATES, licences.THRESHOLD, 100, {})
+    for name, text in licences.TEMPLATES:
+        if not text.startswith("Redistribution"):  # shared; the conditions after it tell
+            assert m.best(text.encode())[1] == name
+
+
+def test_a_directory_inherits_the_relative_not_the_listed_neighbour(spark):
+    rows = [("/a/LICENSE", RELATIVES[0][0]), ("/a/x.txt", "prose"), ("/b/LICENSE", "Licensed under CC BY-SA 3.0."), ("/b/y.txt", "prose")]
+    _, out = scanned(spark, rows)
+    assert {r.path: r.licence for r in out.collect()} == {"/a/LICENSE": "GPL-2.0", "/a/x.txt": "GPL-2.0", "/b/LICENSE": None, "/b/y.txt": None}
