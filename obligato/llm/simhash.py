@@ -15,7 +15,7 @@ from itertools import combinations, repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import bound_batches, free_name, written
@@ -49,7 +49,8 @@ def fingerprint(text: str | None, shingle: int = 4, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text",
+                 id_type: str = "long") -> DataFrame:
     """(id, fp) with the fingerprint as a signed long, one row per input row."""
     bound_batches(docs.sparkSession)
 
@@ -58,7 +59,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, seed: int = 42, id_col: str
             fps = [fingerprint(t.as_py(), shingle, seed) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(fps, "<u8").view("<i8"))], ["id", "fp"])
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).mapInArrow(run, "id long, fp long")
+    return docs.select(F.col(id_col).cast(id_type).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {id_type}, fp long")
 
 
 def segments_of(segments: int, max_distance: int) -> list[tuple[int, int, int]]:
@@ -120,7 +121,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4, se
     fingerprint but links to nothing: its component_id is null. Repeated rows are
     copies. An empty table gives an empty result; further columns are ignored.
     """
-    fps = written(fingerprints(docs, shingle, seed, id_col, text_col), "fingerprints")
+    found = _with_components(fingerprints(docs, shingle, seed, id_col, text_col), max_distance, segments)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _with_components(fps: DataFrame, max_distance: int, segments: int = 3) -> DataFrame:
+    """``fps`` (id, fp) with component_id, the smallest id reachable; ids of any type that has an order."""
+    fps = written(fps, "fingerprints")
     nodes = written(fps.where("id IS NOT NULL").groupBy("fp").agg(F.min("id").alias("id")), "nodes")
     if max_distance >= 2:
         close = connected_components(close_links(nodes))
@@ -131,18 +138,31 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, max_distance: int = 4, se
     labels = (nodes.join(found, "group", "left")
               .select(F.col("fp").alias("label_fp"), F.coalesce("component", "group").alias("component_id")))
     return (fps.join(labels, F.col("fp") == F.col("label_fp"), "left")
-            .select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
-                    F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id")))
+            .select("id", "fp", F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id")))
+
+
+#: Type of a document's key: its doc_id, then KEY_BITS of its text's hash. It sorts by doc_id first.
+KEY_TYPE, KEY_BITS = "decimal(38,0)", 62
+
+
+def _key() -> Column:
+    tag = F.xxhash64("text").bitwiseAND(F.lit((1 << KEY_BITS) - 1))
+    return (F.col("doc_id").cast("long").cast("decimal(19,0)") * F.expr(f"{1 << KEY_BITS}BD") + tag).cast(KEY_TYPE)
 
 
 def keep_representatives(docs: DataFrame, shingle: int = 4, max_distance: int = 4, seed: int = 42) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is the smallest of its component, each doc_id once.
+    """Rows of ``docs`` whose doc_id is the smallest of their texts' component, one row each.
 
-    Rows without a doc_id are kept: nothing can stand for them.
+    Rows that share a doc_id but not the text are documents of their own: of several in one component that with the
+    smallest text hash stays. Of equal rows one stays, of those that differ in further columns the one with the
+    smallest hash. Rows without a doc_id are kept: nothing can stand for them.
     """
-    removed = (near_duplicates(docs, shingle, max_distance, seed).where("component_id <> doc_id")
-               .select("doc_id").distinct())
-    left = docs.join(removed, "doc_id", "left_anti")
-    once, nth = Window.partitionBy("doc_id", F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy("doc_id"), free_name(docs, "nth")
+    key, nth = free_name(docs, "key"), free_name(docs, "nth")
+    keyed = docs.withColumn(key, _key())
+    found = _with_components(fingerprints(keyed, shingle, seed, key, id_type=KEY_TYPE), max_distance)
+    removed = found.where("component_id <> id").select(F.col("id").alias(key)).distinct()
+    left = keyed.join(removed, key, "left_anti")
+    plain = [c for c, kind in docs.dtypes if "map<" not in kind and kind != "variant"]
+    once = Window.partitionBy(key, F.when(F.col("doc_id").isNull(), F.xxhash64("text"))).orderBy(F.xxhash64(*plain))
     numbered = left.withColumn(nth, F.row_number().over(once))
     return numbered.where((F.col(nth) == 1) | F.col("doc_id").isNull()).select(*docs.columns)

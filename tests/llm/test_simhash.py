@@ -68,6 +68,20 @@ def test_nulls_repeats_and_clashing_columns(spark):
     assert {r.nth for r in kept.collect()} <= {"x", "y", "z", None}
 
 
+def test_different_texts_that_share_an_id_are_kept(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(60)) for x in "abcd")
+    near = " ".join([*b.split()[:-1], "other"])
+    distance = (brute.fingerprint(b) ^ brute.fingerprint(near)).bit_count()
+    rows = [(2, a, 1), (4, a, 2), (4, b, 3), (4, c, 4), (4, near, 5), (4, c, 4), (4, c, 6), (9, b, 7), (10, c, 8), (11, d, 9), (-3, d, 10),
+            (2 ** 63 - 1, "e", 11), (-(2 ** 63), "f", 12), (5, None, 13), (5, "g", 14)]
+    for parts in (1, 3):
+        df = spark.createDataFrame(rows, "doc_id long, text string, key int").repartition(parts)
+        kept = sorted((r.doc_id, r.text or "") for r in simhash.keep_representatives(df, max_distance=max(4, distance)).collect())
+        assert [k for k in kept if k[1] not in (b, near)] == sorted([
+            (2, a), (4, c), (-3, d), (2 ** 63 - 1, "e"), (-(2 ** 63), "f"), (5, ""), (5, "g")])
+        assert [k[0] for k in kept if k[1] in (b, near)] == [4]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert simhash.near_duplicates(df).count() == 0
