@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bound_batches, words_of
+from .common import bound_batches, discard, words_of, written
 from .fmindex import FMIndex
 
 #: Benchmark text handled in one pass over the documents; a larger benchmark takes several.
@@ -110,14 +110,32 @@ def _merged(spans: list[int]) -> list[int]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[str | None, bytes | None]]]:
-    """The benchmark in blocks of about BLOCK_BYTES, the only part of it that the driver holds at a time."""
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[tuple[list[tuple[str | None, bytes | None]], bool]]:
+    """The benchmark in blocks of about BLOCK_BYTES, the only part of it that the driver holds at a time, and whether more follow."""
     items = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("binary").alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-total // BLOCK_BYTES) or 1
     part = F.pmod(F.xxhash64("item", "text"), F.lit(n))
     for i in range(n):
-        yield [(r.item, None if r.text is None else bytes(r.text)) for r in items.where(part == i).toLocalIterator()]
+        yield [(r.item, None if r.text is None else bytes(r.text)) for r in items.where(part == i).toLocalIterator()], i + 1 < n
+
+
+def _searched(df: DataFrame, block: list[tuple[str | None, bytes | None]], window: int) -> DataFrame:
+    """``df`` with one block's hits added."""
+    p = phrases(block, window)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            counts, spans, found = search_shard(batch.column("text").to_pylist(), p)
+            spans = [_merged(a + b) for a, b in zip(batch.column("spans").to_pylist(), spans, strict=True)]
+            names = [sorted({*a, *(p.items[i] for i in b if p.items[i] is not None)})
+                     for a, b in zip(batch.column("items").to_pylist(), found, strict=True)]
+            new = {"n_words": pa.array(counts, pa.int64()), "spans": pa.array(spans, pa.list_(pa.int32())),
+                   "n_hit": pa.array([sum(s[1::2]) - sum(s[::2]) for s in spans], pa.int64()),
+                   "items": pa.array(names, pa.list_(pa.string()))}
+            yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names], batch.schema.names)
+
+    return df.mapInArrow(run, df.schema)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, keep: tuple[str, ...] = (),
@@ -126,7 +144,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, keep:
 
     ``spans`` are the maximal runs of hit words (start, end word numbers, flat), ``items`` the
     sorted ids (as strings) of the items that occur. A shard is one Arrow batch; it is indexed once per
-    benchmark block, and blocks follow each other without a shuffle. Null and empty texts have no
+    benchmark block; the table is written after each block but the last, so blocks follow each other without a shuffle. Null and empty texts have no
     words and no hits. Items without words are ignored; repeated items count once; the hits of an
     item whose id is null count, but it is in no list. Repeated documents each get their row; an empty
     benchmark gives rows without hits, an empty table none.
@@ -137,22 +155,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, keep:
     df = docs.select(F.col(id_col).alias("doc_id"), F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
                      F.array().cast("array<int>").alias("spans"), F.array().cast("array<string>").alias("items"),
                      F.col(text_col).cast("binary").alias("text"), *[F.col(c).alias(k) for c, k in zip(keep, kept, strict=True)])
-    schema = df.schema
-    for block in _blocks(benchmark, item_col, item_text):
-        p = phrases(block, window)
-
-        def run(batches: Iterator[pa.RecordBatch], p: Phrases = p) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                counts, spans, found = search_shard(batch.column("text").to_pylist(), p)
-                spans = [_merged(a + b) for a, b in zip(batch.column("spans").to_pylist(), spans, strict=True)]
-                names = [sorted({*a, *(p.items[i] for i in b if p.items[i] is not None)})
-                         for a, b in zip(batch.column("items").to_pylist(), found, strict=True)]
-                new = {"n_words": pa.array(counts, pa.int64()), "spans": pa.array(spans, pa.list_(pa.int32())),
-                       "n_hit": pa.array([sum(s[1::2]) - sum(s[::2]) for s in spans], pa.int64()),
-                       "items": pa.array(names, pa.list_(pa.string()))}
-                yield pa.RecordBatch.from_arrays([new.get(c, batch.column(c)) for c in batch.schema.names], batch.schema.names)
-
-        df = df.mapInArrow(run, schema)
+    earlier = None
+    for block, more in _blocks(benchmark, item_col, item_text):
+        df = _searched(df, block, window)
+        del block
+        if more:  # written, so that neither plan nor tasks hold a block besides the next one
+            df = written(df, "searched")
+            if earlier is not None:
+                discard(earlier)
+            earlier = df
     return df.select("doc_id", "n_words", "n_hit", "spans", "items", *[F.col(k).alias(c) for c, k in zip(keep, kept, strict=True)])
 
 

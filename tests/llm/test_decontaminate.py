@@ -53,6 +53,16 @@ def test_matches_brute_force_in_one_block_or_many(spark, monkeypatch, block):
     assert got == {k: (n, h, i, h) for k, (n, h, i, _, _) in brute.contamination(rows, items).items()}
 
 
+def test_plan_and_driver_hold_one_block(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 300)
+    rows, items = case()
+    docs, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert sum(more for _, more in decontaminate._blocks(bench, "item_id", "text")) > 1
+    found = decontaminate.contamination(docs, bench, keep=("doc_id",))
+    assert found._jdf.queryExecution().analyzed().toString().count("MapInArrow") == 1
+    assert found.count() == len(rows)
+
+
 def test_blocks_of_rows_located(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ROWS", 3)
     rows, items = case()
