@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, licences, line_chunks, mixing, repeats, simhash, token_files, toxicity, warc
+from . import ann, decontaminate, licences, line_chunks, mixing, repeats, simhash, token_files, toxicity, url_filter, warc
 from .common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,51 @@ def op5_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The licence of every document as a file of a tree: its own, or that of the nearest licence file above."""
     files = file_tree(table(spark, sf_dir, "documents"))
     return licences.scan(files, licences.fit(files), id_cols=("doc_id",))
+
+
+#: Rules of the query: verdict, host, path.
+URL_RULES = [("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/")]
+
+_URL_SQL = r"""
+WITH u AS (SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+                  coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+rules(verdict, rh, rp) AS (VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'), ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')),
+o AS (SELECT doc_id AS page_id, count(*) AS n, sum((toxic = 1 OR quality = 0)::INT) AS bad FROM labels
+      WHERE doc_id IS NOT NULL AND (toxic = 1 OR quality = 0) IS NOT NULL GROUP BY doc_id),
+h AS (SELECT host, sum(coalesce(n, 0))::BIGINT AS n, sum(coalesce(bad, 0))::BIGINT AS bad FROM u LEFT JOIN o USING (page_id) GROUP BY host),
+s AS (SELECT *, regexp_replace(regexp_replace(host, '^.*@', ''), '\.?(:[0-9]*)?$', '') AS site FROM h),
+p AS (SELECT *, string_split(site, '.') AS l, regexp_matches(site, '^[0-9]{1,3}(\.[0-9]{1,3}){3}$') OR contains(site, '[') AS num FROM s),
+l AS (SELECT host, n, bad, CASE WHEN num THEN 'ip' WHEN two IN (%s) THEN two ELSE l[-1] END AS suffix,
+             CASE WHEN num THEN site WHEN two IN (%s) THEN array_to_string(l[-3:], '.') ELSE two END AS domain
+      FROM (SELECT *, array_to_string(l[-2:], '.') AS two FROM p)),
+d AS (SELECT domain, suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM l GROUP BY domain, suffix),
+x AS (SELECT suffix, sum(n)::BIGINT AS n, sum(bad)::BIGINT AS bad FROM d GROUP BY suffix),
+x1 AS (SELECT *, (SELECT (sum(bad) + 1)::DOUBLE / (sum(n) + 10) FROM x) AS parent FROM x),
+x2 AS (SELECT *, (bad + k * parent) / ((bad + k * parent) + (n - bad + k * (1 - parent))) AS mean FROM x1, (SELECT %s AS k FROM x1 WHERE n > 0)),
+d1 AS (SELECT d.*, x2.mean AS parent FROM d JOIN x2 USING (suffix)),
+d2 AS (SELECT *, (bad + k * parent) / ((bad + k * parent) + (n - bad + k * (1 - parent))) AS mean FROM d1, (SELECT %s AS k FROM d1 WHERE n > 0)),
+h1 AS (SELECT l.*, d2.mean AS parent FROM l JOIN d2 USING (domain, suffix)),
+h2 AS (SELECT host, n, bad, bad + k * parent AS a, n - bad + k * (1 - parent) AS b FROM h1, (SELECT %s AS k FROM h1 WHERE n > 0)),
+h3 AS (SELECT host, n, bad, greatest(a / (a + b) - 1.645::DOUBLE * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))), 0.0::DOUBLE) AS bound FROM h2),
+r AS (SELECT DISTINCT ON (host, path) host, path, rh || rp AS rule, verdict
+      FROM (SELECT DISTINCT host, path FROM u) JOIN rules ON (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)
+      ORDER BY host, path, len(rh || rp) DESC, len(rh) DESC, verdict DESC)
+SELECT u.page_id, u.host, u.path, r.rule, coalesce(r.verdict, CASE WHEN bound > 0.5 THEN 'block' ELSE 'allow' END) AS verdict,
+       h3.n AS host_labelled, h3.bad AS host_bad, round(bound, 4) AS bad_bound
+FROM u JOIN h3 ON h3.host = u.host LEFT JOIN r ON r.host = u.host AND r.path = u.path
+"""
+_STRENGTH_SQL = """1 / least(greatest(CASE WHEN sum(n::DOUBLE * (n - 1) * parent * (1 - parent)) > 0
+    THEN sum((bad - n * parent) * (bad - n * parent) - n * parent * (1 - parent)) / sum(n::DOUBLE * (n - 1) * parent * (1 - parent))
+    ELSE 0.1::DOUBLE END, 0.001::DOUBLE), 0.999::DOUBLE) - 1"""
+_LONG = ", ".join(f"'{s}'" for s in url_filter.LONG_SUFFIXES)
+
+
+@register("op11_url_filter", _URL_SQL % (_LONG, _LONG, _STRENGTH_SQL, _STRENGTH_SQL, _STRENGTH_SQL))
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule and verdict of every page; a page's label is that of the document of its number, bad if toxic or of low quality."""
+    rules = spark.range(1).select(F.inline(F.array(*[
+        F.struct(F.lit(v).alias("verdict"), F.lit(h).alias("host"), F.lit(p).alias("path")) for v, h, p in URL_RULES])))
+    outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.expr("toxic = 1 OR quality = 0").alias("bad"))
+    out = url_filter.judge(table(spark, sf_dir, "pages"), rules, outcomes)
+    return out.withColumn("bad_bound", F.round("bad_bound", 4))

@@ -120,3 +120,54 @@ def tokens(rows, tokenizer, end=2):
         out.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     return out
+
+
+def url(address, rules, other="allow"):
+    """(host, path, rule, verdict); ``other`` is the verdict of pages without a rule."""
+    if address is None or "://" not in address:
+        return "", "", None, other
+    rest = address.split("://", 1)[1]
+    host = re.split("[/?#]", rest, maxsplit=1)[0]
+    path = re.split("[?#]", rest[len(host):], maxsplit=1)[0]
+    host = lower(host)
+    fits = [(len(h + p), len(h), v, h + p) for v, h, p in rules
+            if h is not None and (host == h or host.endswith("." + h)) and path.startswith(p)]
+    return (host, path, max(fits)[3], max(fits)[2]) if fits else (host, path, None, other)
+
+
+def reputations(pages, labels):
+    """{host: (labelled, bad, alpha, beta)} for pages (page_id, url, ...) and labels (page_id, bad)."""
+    long = {"co.uk"}
+    host_of = {i: url(u, [])[0] for i, u, *_ in pages}
+    count = {h: [0, 0] for h in host_of.values()}
+    for i, bad in labels:
+        count[host_of[i]][0] += 1
+        count[host_of[i]][1] += bad
+
+    def parents(host):
+        site = host.split("@")[-1].split(":")[0]
+        parts = site.split(".")
+        if re.fullmatch(r"[\d.]+", site):
+            return site, "ip"
+        k = 2 if ".".join(parts[-2:]) in long else 1
+        return ".".join(parts[-k - 1:]), ".".join(parts[-k:])
+
+    def total(children, parent):
+        out = {}
+        for c, (n, y) in children.items():
+            t = out.setdefault(parent(c), [0, 0])
+            t[0], t[1] = t[0] + n, t[1] + y
+        return out
+
+    domains = total(count, parents)
+    suffixes = total(domains, lambda d: d[1])
+    n, y = map(sum, zip(*suffixes.values(), strict=True))
+    posterior, mean = {}, {None: (y + 1) / (n + 10)}
+    for level, parent in ((suffixes, lambda s: None), (domains, lambda d: d[1]), (count, parents)):
+        rows = [(n, y, mean[parent(c)]) for c, (n, y) in level.items() if n]
+        pairs = sum(n * (n - 1) * m * (1 - m) for n, _, m in rows)
+        rho = sum((y - n * m) ** 2 - n * m * (1 - m) for n, y, m in rows) / pairs if pairs > 0 else 0.1
+        strength = 1 / min(max(rho, 0.001), 0.999) - 1
+        posterior = {c: (y + strength * mean[parent(c)], n - y + strength * (1 - mean[parent(c)])) for c, (n, y) in level.items()}
+        mean |= {c: a / (a + b) for c, (a, b) in posterior.items()}
+    return {h: (*count[h], *posterior[h]) for h in count}

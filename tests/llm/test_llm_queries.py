@@ -14,14 +14,15 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="test data not pre
 
 def test_every_operator_is_registered():
     names = __spark_entry__.queries()
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
     assert "pipeline" in names and set(queries.ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_matches_oracle(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{SF}/documents.parquet')")
+    for t in ("documents", "pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     expected, got = con.execute(queries.ORACLE[name]).df(), queries.QUERIES[name](spark, SF).toPandas()
 
     def rows(pdf):
