@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, decontaminate, licences, line_chunks, merkle, mixing, repeats, simhash, token_files, toxicity, url_filter, warc
+from . import ann, collocations, decontaminate, licences, line_chunks, merkle, mixing, repeats, simhash, token_files, toxicity, url_filter, warc
 from .common import new_path, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -261,3 +261,30 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaf, subroot, root, proof and recomputed root of every document, line feeds deleted from those with even CRC-32 of their id."""
     docs = table(spark, sf_dir, "documents")
     return merkle.manifest(docs, merkle.without_line_feeds(docs))
+
+
+_PHRASE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS w FROM d),
+g AS (SELECT lang, unnest(flatten(list_transform([1, 2, 3], lambda n: list_transform(range(1, len(w) - n + 2), lambda i: w[i:i + n - 1])))) AS ws FROM p),
+c AS (SELECT lang, ws, count(*)::HUGEINT AS a FROM g GROUP BY lang, ws),
+t AS (SELECT lang, sum(a)::BIGINT AS n FROM c WHERE len(ws) = 1 GROUP BY lang),
+f AS MATERIALIZED (SELECT * FROM c WHERE a >= 10),
+k AS (SELECT lang, ws, a, unnest(range(1, len(ws))) AS k FROM f WHERE len(ws) > 1),
+s AS (SELECT k.lang, k.ws, k.a, k.k, x.a AS l, y.a AS r, (1000000::HUGEINT * k.a * k.a) // (x.a * y.a) AS score
+      FROM k JOIN f x ON x.lang = k.lang AND x.ws = k.ws[1:k.k] JOIN f y ON y.lang = k.lang AND y.ws = k.ws[k.k + 1:]),
+b AS (SELECT DISTINCT ON (lang, ws) * FROM s ORDER BY lang, ws, score, k),
+o AS (SELECT lang, unnest([ws[1:2], ws[2:3]]) AS ws, a FROM f WHERE len(ws) = 3),
+m AS (SELECT lang, ws, max(a) AS more FROM o GROUP BY lang, ws),
+e AS (SELECT b.lang, array_to_string(b.ws, ' ') AS phrase, b.a, l, r, score FROM b LEFT JOIN m ON m.lang = b.lang AND m.ws = b.ws
+      WHERE more IS NULL OR 100 * more < 50 * b.a),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM e)
+SELECT z.lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score FROM z JOIN t ON t.lang = z.lang WHERE rank <= 2000
+"""
+
+
+@register("op13_collocations", _PHRASE_SQL)
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 best phrases of 2 or 3 words of every language, of those that occur 10 times or more."""
+    return collocations.mine(table(spark, sf_dir, "documents"), max_words=3, min_count=10, share=50, top=2000)

@@ -207,3 +207,32 @@ def manifest(rows):
                     at //= 3
             out.append((r[0], tree[0][i], tree[-1][0], top[-1][0], digest(siblings), now, now == top[-1][0]))
     return out
+
+
+def phrases(rows, max_words=3, min_count=10, share=50, top=2000):
+    """[(lang, rank, phrase, a, l, r, n, score)] for rows (lang, text)."""
+    count = {}
+    for lang, text in rows:
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower(text)):
+            words = re.findall("[^\x20\x09]+", piece)
+            f = count.setdefault(lang or "und" if lang != "" else "", {})
+            for n in range(1, max_words + 1):
+                for i in range(len(words) - n + 1):
+                    f[tuple(words[i:i + n])] = f.get(tuple(words[i:i + n]), 0) + 1
+    out = []
+    for lang, f in count.items():
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= min_count}
+        inside = {}
+        for p, a in candidates.items():
+            for n in range(2, len(p)):
+                for i in range(len(p) - n + 1):
+                    inside[p[i:i + n]] = max(inside.get(p[i:i + n], 0), a)
+        kept = []
+        for p, a in candidates.items():
+            if 100 * inside.get(p, -1) >= share * a:
+                continue
+            score, k = min((10 ** 6 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p)))
+            kept.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        n = sum(a for p, a in f.items() if len(p) == 1)
+        out += [(lang, i, p.decode(), -a, l, r, n, -s) for i, (s, a, p, l, r) in enumerate(sorted(kept)[:top], 1)]
+    return out
