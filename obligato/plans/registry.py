@@ -25,4 +25,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every module that registers queries."""
-    from . import queries_core, queries_explore, queries_links, queries_misc, queries_quality, queries_scalar, queries_sinks, queries_stats, queries_text  # noqa: F401
+    from . import queries_core, queries_explore, queries_files, queries_links, queries_misc, queries_quality, queries_scalar, queries_sinks, queries_stats, queries_text  # noqa: F401

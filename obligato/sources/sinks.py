@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 
 from ..functions.money import fmt_fixed, parse_money, parse_pct
 from ..operators.pairing import DISPLAY_COLUMNS
-from ..session import shared_dir
+from ..session import materialize, shared_dir
+from .records import field_count, fields, read_lines, split_records
 
 YEAR_CSV_COLUMNS = ["Agency", "Bureau", "Account", "Account_Number", "Period_of_Performance", "Expiration_Year",
                     "TAFS", *DISPLAY_COLUMNS]
@@ -130,3 +131,19 @@ def export_year(view: DataFrame, level: str) -> DataFrame:
     number = lambda c: F.regexp_replace(fmt_fixed(c, 1), r"\.0$", "")
     fields = [*[_quoted(c) for c in EXPORT_KEYS[level]], number("unobligated"), number("budget_authority"), fmt_fixed("pct_unobligated", 1)]
     return view.select("Fiscal_Year", *EXPORT_KEYS[level], F.concat_ws(",", *fields).alias("csv_line"))
+
+
+def scan_summary_records(spark: SparkSession, path: str, columns: list[str] = YEAR_CSV_COLUMNS) -> tuple[DataFrame, DataFrame]:
+    """A4 with nothing lost: the rows of published summaries as ``scan_summary_csv`` gives them, and the dropped records
+    as (file, line, n_fields, n_expected, record): those whose fields are not as many as their file's header's.
+
+    Quoted line breaks stay within a record; ``n_fields`` is null where quotes do not close.
+    """
+    records = split_records(read_lines(spark, path))
+    header = records.where("line = 1").select("file", field_count(F.col("record")).alias("n_expected"))
+    counted = materialize(records.where("line > 1").join(header, "file").withColumn("n_fields", field_count(F.col("record"))))
+    year = F.regexp_extract("file", "Fiscal_Year=([0-9]+)", 1).cast("int").alias("Fiscal_Year")
+    whole = counted.where("n_fields = n_expected").withColumn("_f", fields(F.col("record"), len(columns)))
+    rows = whole.select(*[F.coalesce(F.get("_f", F.lit(i)), F.lit("")).alias(c) for i, c in enumerate(columns)], year)
+    dropped = counted.where("n_fields IS NULL OR n_fields <> n_expected").select("file", "line", "n_fields", "n_expected", "record")
+    return rows, dropped
