@@ -22,8 +22,11 @@ from . import quotient_filter as qf
 from .common import bound_batches, discard, written
 from .positions import numbered
 
-#: Words of a chunk, bytes of text split at once, and leading bits a round splits by (2**6 chunks are merged at once).
-CHUNK, SLICE, FAN_BITS = 1 << 20, 1 << 20, 6
+#: Words that a worker gathers before it writes the chunk of the language that has most of them, bytes of text split at
+#: once, and leading bits a round splits by (2**8 chunks are merged at once).
+CHUNK, SLICE, FAN_BITS = 3 << 20, 1 << 20, 8
+#: Slices of a language's phrases that are ranked first, so that the last ranking gets a bounded number from all.
+RANK_SLICES = 64
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 _PLAIN = bytes.maketrans(_ENDS + b"\t", b"\n" * len(_ENDS) + b" ")
 _CHUNK_SCHEMA = "lang string, chunk long, words array<string>, counts array<long>, codes binary"
@@ -50,43 +53,38 @@ def _slices(text: bytes) -> Iterator[bytes]:
         at = end
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
-    number, size, langs = TaskContext.get().partitionId() << 32, 0, {}
-
-    def rows() -> pa.RecordBatch:
-        out = {"lang": [], "words": [], "counts": [], "codes": []}
-        for lang, (words, parts) in langs.items():
-            codes = np.concatenate(parts)
-            codes = codes[codes > 0] - 2
-            out["lang"].append(lang)
-            out["words"].append(list(words)[2:])
-            out["counts"].append(np.bincount(codes[codes >= 0], minlength=len(words) - 2))
-            out["codes"].append(codes.astype("<i4").tobytes())
-        offsets = np.cumsum([0, *map(len, out["words"])])
-        words = pa.array([w for ws in out["words"] for w in ws], pa.binary()).cast(pa.string())
-        counts = pa.array(np.concatenate(out["counts"]), pa.int64())
-        ends = pa.array(offsets, pa.int32())
-        return pa.RecordBatch.from_arrays(
-            [pa.array(out["lang"], pa.string()), pa.array([number] * len(langs), pa.int64()), pa.ListArray.from_arrays(ends, words),
-             pa.ListArray.from_arrays(ends, counts), pa.array(out["codes"], pa.binary())], names=["lang", "chunk", "words", "counts", "codes"])
+def _chunk_row(lang: str, number: int, words: _Codes, parts: list[np.ndarray]) -> pa.RecordBatch:
+    codes = np.concatenate(parts)
+    codes = codes[codes > 0] - 2
+    counts = np.bincount(codes[codes >= 0], minlength=len(words) - 2)
+    ends = pa.array([0, len(words) - 2], pa.int32())
+    return pa.RecordBatch.from_arrays(
+        [pa.array([lang], pa.string()), pa.array([number], pa.int64()), pa.ListArray.from_arrays(ends, pa.array(list(words)[2:], pa.binary()).cast(pa.string())),
+         pa.ListArray.from_arrays(ends, pa.array(counts, pa.int64())), pa.array([codes.astype("<i4").tobytes()], pa.binary())],
+        names=["lang", "chunk", "words", "counts", "codes"])
+
 
+def _encoded(batches: Iterator[pa.RecordBatch], chunk: int) -> Iterator[pa.RecordBatch]:
+    number, sizes, langs = TaskContext.get().partitionId() << 32, {}, {}
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
             for piece in _slices((text.as_py() or "").encode().lower().translate(_PLAIN)):
                 words, parts = langs.setdefault(lang, (_Codes(), []))
                 tokens = piece.replace(b"\n", b" \n ").split(b" ")
-                parts.append(np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens)))
-                parts.append(np.ones(1, np.int32))
-                size += len(tokens)
-                if size >= chunk:
-                    yield rows()
-                    number, size, langs = number + 1, 0, {}
-    if langs:
-        yield rows()
+                parts += [np.fromiter(map(words.__getitem__, tokens), np.int32, len(tokens)), np.ones(1, np.int32)]
+                sizes[lang] = sizes.get(lang, 0) + len(tokens)
+                if sum(sizes.values()) >= chunk:
+                    most = max(sizes, key=sizes.get)
+                    yield _chunk_row(most, number, *langs.pop(most))
+                    del sizes[most]
+                    number += 1
+    for lang, state in langs.items():
+        yield _chunk_row(lang, number, *state)
+        number += 1
 
 
 def encode_chunks(docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """(lang, chunk, words, counts, codes) of ``docs`` (lang, text): a chunk's dictionary, how often each word occurs, and
+    """(lang, chunk, words, counts, codes) of ``docs`` (lang, text): a chunk's number, dictionary, how often each word occurs, and
     the text as numbers of that dictionary, -1 at the ends of pieces. A piece is never cut; a null lang is ``und``."""
     return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text")).mapInArrow(
         lambda batches: _encoded(batches, chunk), _CHUNK_SCHEMA)
@@ -105,7 +103,7 @@ def _chunk_filters(max_words: int, batches: int, fan_bits: int) -> Callable[[pa.
     def filters(codes: pa.Table, numbers: pa.Table) -> pa.Table:
         rows = []
         if len(codes) and len(numbers):
-            bits = max(1, (numbers["total"][0].as_py() - 1).bit_length())
+            bits = max(1, (codes["total"][0].as_py() - 1).bit_length())
             local = np.frombuffer(codes["codes"][0].as_py(), "<i4")
             known = np.full(max(int(local.max(initial=0)), pc.max(numbers["local"]).as_py()) + 2, -1, np.int64)
             known[numbers["local"].to_numpy()] = numbers["id"].to_numpy()
@@ -145,11 +143,11 @@ def _frequent(min_count: int) -> Callable[[pa.Table], pa.Table]:
 def phrase_counts(chunks: DataFrame, vocabulary: DataFrame, max_words: int, min_count: int, fan_bits: int = FAN_BITS) -> DataFrame:
     """(lang, ids, a) of the n-grams of 2 to ``max_words`` words that occur ``min_count`` times or more, exactly."""
     words = chunks.select("lang", "chunk", F.posexplode("words").alias("local", "word"))
-    numbers = words.join(vocabulary, ["lang", "word"]).select(
-        F.col("lang").alias("_lang"), F.col("chunk").alias("_chunk"), "local", "id", "total")
+    numbers = words.join(vocabulary, ["lang", "word"]).select(F.col("chunk").alias("_chunk"), "local", "id")
+    sizes = vocabulary.groupBy("lang").agg(F.count("*").alias("total"))
     most = chunks.groupBy("lang").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 0
     batches = -(-most // (1 << fan_bits)) or 1
-    filters = (chunks.select("lang", "chunk", "codes").groupBy("lang", "chunk").cogroup(numbers.groupBy("_lang", "_chunk"))
+    filters = (chunks.select("lang", "chunk", "codes").join(sizes, "lang").groupBy("chunk").cogroup(numbers.groupBy("_chunk"))
                .applyInArrow(_chunk_filters(max_words, batches, fan_bits), _FILTER_SCHEMA))
     groups = ["lang", "n", "shard", "batch"]
     while batches > 1:
@@ -202,12 +200,14 @@ def mine(docs: DataFrame, max_words: int = 3, min_count: int = 10, share: int =
     frequency = written(frequency, "frequency")
     totals = frequency.groupBy("lang").agg(F.sum("f").alias("n"))
     vocabulary = written(numbered(frequency.where(F.col("f") >= min_count), "lang", ["word"]).withColumnRenamed("position", "id"), "vocabulary")
-    phrases = written(phrase_counts(chunks, vocabulary.select("lang", "word", "id", "total"), max_words, min_count, fan_bits), "phrases")
+    phrases = written(phrase_counts(chunks, vocabulary.select("lang", "word", "id"), max_words, min_count, fan_bits), "phrases")
     discard(chunks)
     scored = best_cuts(phrases, vocabulary.select("lang", F.array("id").alias("ids"), F.col("f").alias("a")))
     order = [F.col("score").desc(), F.col("a").desc()]
     first = (scored.join(covered(phrases, share), ["lang", "ids"], "left_anti")
-             .withColumn("_place", F.rank().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("_place") <= top))
+             .withColumn("_slice", F.pmod(F.xxhash64("ids"), F.lit(RANK_SLICES))))
+    for by in (["lang", "_slice"], ["lang"]):
+        first = first.withColumn("_place", F.rank().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_place") <= top)
     named = (first.select("*", F.posexplode("ids").alias("_k", "id")).join(vocabulary.select("lang", "id", "word"), ["lang", "id"])
              .groupBy("lang", "ids", "a", "l", "r", "score").agg(F.sort_array(F.collect_list(F.struct("_k", "word"))).alias("_words"))
              .withColumn("phrase", F.array_join("_words.word", " ")))

@@ -3,8 +3,8 @@
 An n-gram of word ids is packed into n * bits bits, kept as two halves (high, low). A Feistel network permutes the
 packed values invertibly, so that they spread evenly whatever the ids are and nothing is lost. A filter holds the
 entries in order of the permuted value: the leading bits (the quotient) only as a bitmap of occupied quotients and a
-bit at the end of each quotient's run, the rest (the full remainder) as bytes, and the count as a byte, or more where
-it is 255 and above.
+bit at the end of each quotient's run, the rest (the full remainder) as bytes, and the count as a bit where it is 1, else
+as a byte more, or nine where it is 255 and above.
 """
 
 from __future__ import annotations
@@ -98,9 +98,9 @@ def encode(high: np.ndarray, low: np.ndarray, counts: np.ndarray, n: int, bits:
     over = high & _mask(rest)
     words = np.stack([low | over << _u(w2), over >> _u(64 - w2)], axis=1).astype("<u8")
     remainder = words.view(np.uint8).reshape(len(high), 16)[:, :-(-(rest + w2) // 8)]
-    large = counts[counts >= 255].astype("<i8")
+    several, large = counts > 1, counts[counts >= 255].astype("<i8")
     return b"".join([_HEADER.pack(n, bits, prefix, q, start, len(high)), np.packbits(occupied).tobytes(), np.packbits(run_end).tobytes(),
-                     np.ascontiguousarray(remainder).tobytes(), np.minimum(counts, 255).astype(np.uint8).tobytes(), large.tobytes()])
+                     np.ascontiguousarray(remainder).tobytes(), np.packbits(several).tobytes(), np.minimum(counts[several], 255).astype(np.uint8).tobytes(), large.tobytes()])
 
 
 def shape(data: bytes) -> tuple[int, int, int]:
@@ -125,8 +125,11 @@ def decode(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = -(-(rest + w2) // 8)
     remainder = np.zeros((entries, 16), np.uint8)
     remainder[:, :size] = take(entries * size).reshape(entries, size)
-    counts = take(entries).astype(np.int64)
-    counts[counts == 255] = np.frombuffer(data, "<i8", offset=at)
+    several = np.unpackbits(take(-(-entries // 8)), count=entries).astype(bool)
+    more = take(int(several.sum())).astype(np.int64)
+    more[more == 255] = np.frombuffer(data, "<i8", offset=at)
+    counts = np.ones(entries, np.int64)
+    counts[several] = more
     words = remainder.view("<u8").astype(np.uint64)
     quotient = occupied[np.cumsum(run_end) - run_end].astype(np.uint64)
     over = words[:, 0] >> _u(w2) | words[:, 1] << _u(64 - w2)
