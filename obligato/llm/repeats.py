@@ -25,10 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import bound_batches, discard, release, written
+from .positions import numbered
 
 LENGTH, GRAM = 100, 32
 #: Grams inside a string.
@@ -39,7 +40,7 @@ BLOCK = 1 << BLOCK_BITS
 #: Starts handled at once; a longer text goes in pieces.
 PIECE = 1 << 20
 _POSITION = np.uint64((1 << 21) - 1)
-#: A row's place: start, number of starts, and a tag that tells rows with the same id apart.
+#: A row's place: start, number of starts, and the number of the text among those of its id.
 START_BITS, COUNT_BITS, TAG_BITS = 30, 7, 26
 
 
@@ -131,13 +132,21 @@ def _bytes(text: bytes | None) -> np.ndarray:
     return np.frombuffer(text or b"", np.uint8)
 
 
-def _tag(text: Column) -> Column:
-    return F.xxhash64(text).bitwiseAND(F.lit((1 << TAG_BITS) - 1))
-
-
 def _documents(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc, tag, text); the tag numbers the different texts of one id, 0 where an id has one text.
+
+    Texts are told apart by their 64-bit hash. Ids with several texts are numbered by sorted ranges, so that
+    one id of many rows is no task of its own.
+    """
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    return docs.select(F.col(id_col).cast("long").alias("doc"), _tag(text).alias("tag"), text.alias("text"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("hash"), text.alias("text"))
+    texts = rows.where("doc IS NOT NULL").groupBy("doc", "hash").agg(F.count("*").alias("n")).drop("n")
+    shared = texts.groupBy("doc").agg(F.count("*").alias("n")).where("n > 1").select("doc")
+    numbers = written(numbered(texts.join(shared, "doc"), "doc", ["hash"]).select("doc", "hash", "position"), "texts-of-ids")
+    most = numbers.agg(F.max("position")).first()[0]
+    if (most or 0) >= 1 << TAG_BITS:
+        raise ValueError(f"an id has {most + 1} different texts, more than {1 << TAG_BITS}")
+    return rows.join(numbers, ["doc", "hash"], "left").select("doc", F.coalesce("position", F.lit(0)).alias("tag"), "text")
 
 
 def _rows(doc: int, tag: int, at: int, found: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
@@ -176,12 +185,12 @@ def _classes(rows: DataFrame) -> DataFrame:
 
 
 def _per_document(rows: DataFrame) -> DataFrame:
-    """(doc, tag, runs): flat (start, count) pairs of a document's rows; bounded by its length."""
+    """(doc, tag, runs): flat (start, count) pairs of a document, each once; bounded by its length, however often the row stands."""
     place = F.col("place")
     start, count = F.shiftright(place, TAG_BITS + COUNT_BITS), F.shiftright(place, TAG_BITS).bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
     return (rows.select(F.col("doc").alias("d"), place.bitwiseAND(F.lit((1 << TAG_BITS) - 1)).alias("t"),
                         (start * (1 << COUNT_BITS) + count).alias("run"))
-            .groupBy("d", "t").agg(F.collect_list("run").alias("runs")))
+            .groupBy("d", "t").agg(F.collect_set("run").alias("runs")))
 
 
 def _attached(docs: DataFrame, runs: DataFrame, how: str) -> DataFrame:
@@ -250,7 +259,8 @@ def remove_repeats(docs: DataFrame, texts: bool = False, id_col: str = "doc_id",
 
     Removed is every byte that a 100-byte string covers which also starts earlier: in a row with a smaller id, or in
     the same row. Texts are UTF-8 bytes; null is empty; shorter texts lose nothing. Rows that repeat both id and
-    text are one document, and each gets its result; rows that share only the id come in order of start. A row
+    text are one document, and each gets its result; rows that share only the id come in order of start, then of their
+    texts' hash (2**26 different texts of one id at most). A row
     whose id is null neither loses bytes nor takes them from others. An empty table gives an empty result.
     """
     bound_batches(docs.sparkSession)

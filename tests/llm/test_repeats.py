@@ -1,8 +1,10 @@
+import hashlib
 import random
 
 import brute
 import numpy as np
 import pytest
+import xxhash
 
 from obligato.llm import repeats
 
@@ -54,3 +56,34 @@ def test_kept_bytes_and_empty_table(spark):
     df = spark.createDataFrame([(1, text), (2, "head " + text + " tail")], "doc_id long, text string")
     assert {r.doc_id: bytes(r.kept).decode() for r in repeats.remove_repeats(df, texts=True).collect()} == {1: text, 2: "head  tail"}
     assert repeats.remove_repeats(df.limit(0)).count() == 0
+
+
+def by_id_and_text(rows):
+    """{(doc_id, text): (n_bytes, n_removed)} where ids may be shared: strings come by id, start and the text's hash."""
+    hash_of = {t: np.uint64(xxhash.xxh64_intdigest(t.encode(), 42)).astype(np.int64) for _, t in rows}
+    first = {}
+    for i, t in set(rows):
+        for a in range(len(t) - 99):
+            place = (i, a, hash_of[t])
+            first[t[a:a + 100]] = min(first.get(t[a:a + 100], place), place)
+    out = {}
+    for i, t in set(rows):
+        gone = {b for a in range(len(t) - 99) if first[t[a:a + 100]] != (i, a, hash_of[t]) for b in range(a, a + 100)}
+        out[i, t] = (len(t), len(gone))
+    return out
+
+
+@pytest.mark.parametrize("ids", [1, 3])
+def test_different_texts_of_one_id(spark, ids):
+    rows = [(i % ids, t) for i, t in mixed_rows(11, "abcd", 60) if t] + [(0, "x" * 193), (0, "y" * 193), (0, "x" * 193)]
+    out = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), texts=True).collect()
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed) for r in out) == sorted((i, *by_id_and_text(rows)[i, t]) for i, t in rows)
+
+
+def test_ten_thousand_texts_of_one_id_and_a_row_a_thousand_times(spark):
+    rng = random.Random(12)
+    long = "".join(rng.choices("abcdefgh", k=300))
+    rows = [(2, hashlib.sha512(str(k).encode()).hexdigest()[:104]) for k in range(10_000)] + [(3, long)] * 1000 + [(4, "head" + long + "tail")]
+    out = repeats.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).groupBy(
+        "doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    assert sorted(map(tuple, out)) == [(2, 104, 0, 0, 10_000), (3, 300, 0, 0, 1000), (4, 308, 300, 1, 1)]
