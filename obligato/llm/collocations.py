@@ -24,7 +24,7 @@ from .positions import numbered
 
 #: Words that a worker gathers before it writes the chunk of the language that has most of them, bytes of text split at
 #: once, and leading bits a round splits by (2**8 chunks are merged at once).
-CHUNK, SLICE, FAN_BITS = 3 << 20, 1 << 20, 8
+CHUNK, SLICE, FAN_BITS = 2 << 20, 1 << 20, 8
 #: Slices of a language's phrases that are ranked first, so that the last ranking gets a bounded number from all.
 RANK_SLICES = 64
 _ENDS = b".,;:!?\x0a\x0b\x0c\x0d"

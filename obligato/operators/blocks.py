@@ -9,31 +9,43 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
+
+def range_blocks(df: DataFrame, keys: list[str], order: str, block: str = "_block") -> DataFrame:
+    """``df`` range-partitioned by (keys, order) and written, ``block`` the number of each row's range; equal rows share a range."""
+    return materialize(df.repartitionByRange(*keys, order).withColumn(block, F.spark_partition_id()))
+
 
 def scan_blocks(df: DataFrame, keys: list[str], block: str, order: str, sums: dict[str, Column] | None = None,
-                lasts: dict[str, Column] | None = None) -> DataFrame:
-    """``df`` with running values along (block, order) within ``keys``.
+                lasts: dict[str, Column] | None = None, mins: dict[str, Column] | None = None, descending: bool = False) -> DataFrame:
+    """``df`` with running values along (block, order) within ``keys``, or against it with ``descending``.
 
     ``sums``: name -> addend; the sum of the addends of all rows before this one (0 at first).
     ``lasts``: name -> value; the last non-null value up to and including this row (null before the first).
+    ``mins``: name -> value; the least value up to and including this row.
     ``keys`` may be null; the window over blocks holds one row per key and block.
     """
-    sums, lasts = sums or {}, lasts or {}
-    rows = df.withColumns({f"_v_{n}": c for n, c in (sums | lasts).items()})
+    sums, lasts, mins = sums or {}, lasts or {}, mins or {}
+    rows = df.withColumns({f"_v_{n}": c for n, c in (sums | lasts | mins).items()})
+    edge = F.min if descending else F.max
     per_block = rows.groupBy(*keys, block).agg(
-        *[F.sum(f"_v_{n}").alias(f"_b_{n}") for n in sums],
-        *[F.max(F.when(F.col(f"_v_{n}").isNotNull(), F.struct(F.col(order), F.col(f"_v_{n}")))).getField(f"_v_{n}").alias(f"_b_{n}") for n in lasts])
-    ahead = Window.partitionBy(*keys).orderBy(block).rowsBetween(Window.unboundedPreceding, -1)
+        *[F.sum(f"_v_{n}").alias(f"_b_{n}") for n in sums], *[F.min(f"_v_{n}").alias(f"_b_{n}") for n in mins],
+        *[edge(F.when(F.col(f"_v_{n}").isNotNull(), F.struct(F.col(order), F.col(f"_v_{n}")))).getField(f"_v_{n}").alias(f"_b_{n}") for n in lasts])
+    way = (lambda c: F.col(c).desc()) if descending else F.col
+    ahead = Window.partitionBy(*keys).orderBy(way(block)).rowsBetween(Window.unboundedPreceding, -1)
     starts = per_block.select(
         *[F.col(k).alias(f"_k_{i}") for i, k in enumerate([*keys, block])],
         *[F.coalesce(F.sum(f"_b_{n}").over(ahead), F.lit(0)).alias(f"_s_{n}") for n in sums],
+        *[F.min(f"_b_{n}").over(ahead).alias(f"_s_{n}") for n in mins],
         *[F.last(f"_b_{n}", ignorenulls=True).over(ahead).alias(f"_s_{n}") for n in lasts])
     same = F.lit(True)
     for i, k in enumerate([*keys, block]):
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{i}"))
-    inside = Window.partitionBy(*keys, block).orderBy(order)
+    inside = Window.partitionBy(*keys, block).orderBy(way(order))
     before, upto = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(Window.unboundedPreceding, 0)
     out = rows.join(starts, same).withColumns(
         {n: F.col(f"_s_{n}") + F.coalesce(F.sum(f"_v_{n}").over(before), F.lit(0)) for n in sums}
+        | {n: F.least(F.min(f"_v_{n}").over(upto), F.col(f"_s_{n}")) for n in mins}
         | {n: F.coalesce(F.last(f"_v_{n}", ignorenulls=True).over(upto), F.col(f"_s_{n}")) for n in lasts})
-    return out.drop(*[f"_k_{i}" for i in range(len(keys) + 1)], *[f"_{p}_{n}" for n in sums | lasts for p in "vs"])
+    return out.drop(*[f"_k_{i}" for i in range(len(keys) + 1)], *[f"_{p}_{n}" for n in sums | lasts | mins for p in "vs"])

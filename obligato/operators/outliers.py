@@ -5,9 +5,8 @@ All report levels go through together, with the level as part of every key:
 * entity summary  — one ``groupBy`` of the current-year rows, each row counted once per level;
 * mean / std      — one row per report level, joined on the level key;
 * BH-FDR ranks    — over *distinct* p-values (ties collapse under partial
-  aggregation), split into quantile buckets of about ``PER_BUCKET`` values; per-bucket counts
-  have prefix sums that give each bucket's offset, and
-  the in-bucket running count is a window partitioned by bucket. No window
+  aggregation), range-partitioned by level and p; prefix sums over the ranges' counts give where
+  each range starts, windows inside a range do the rest. No window
   ever runs over the whole input in one task;
 * history         — aggregated once for all entities (two-level groupBy) and
   left-joined on the entity keys instead of re-reading files per entity.
@@ -17,8 +16,6 @@ What several branches read (the exploded rows, the z-scores, the ranks) is writt
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,9 +24,8 @@ from ..functions.money import fmt_fixed, pct_rollup
 from ..functions.stats import two_sided_p
 from ..functions.text import entity_label
 from ..session import materialize
+from .blocks import range_blocks, scan_blocks
 
-#: Distinct p-values per bucket of the rank computation; the number of buckets follows from the data.
-PER_BUCKET = 50_000
 KEYS = ["Agency", "Bureau", "Account"]
 LEVELS = {level: (KEYS[:n], MIN_BUDGET[level]) for n, level in enumerate(("agency", "bureau", "account"), 1)}
 
@@ -85,38 +81,21 @@ def z_scores(summary: DataFrame, key: str = "level") -> DataFrame:
             .drop("_mean", "_std"))
 
 
-def _rank_max(values: DataFrame, key: str, p: str) -> DataFrame:
-    """(key, p, n_at, rank_max, n) over distinct p with counts: rank_max(v) = #{p' <= v}."""
-    distinct = materialize(values.groupBy(key, p).agg(F.count(F.lit(1)).alias("n_at")))
-    buckets = max(1, math.ceil(distinct.count() / PER_BUCKET))
-    edges = distinct.groupBy(key).agg(F.percentile_approx(p, [i / buckets for i in range(1, buckets)] or [1.0], 10000).alias("_edges"))
-    b = distinct.join(edges, key).withColumn(      # one row per level
-        "_bucket", F.size(F.filter(F.col("_edges"), lambda e: e < F.col(p)))).drop("_edges")
-    per_bucket = b.groupBy(key, "_bucket").agg(F.sum("n_at").alias("_bn"))
-    wb = Window.partitionBy(key).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = (per_bucket.withColumn("_off", F.coalesce(F.sum("_bn").over(wb), F.lit(0)))
-               .withColumn("n", F.sum("_bn").over(Window.partitionBy(key))))
-    w = Window.partitionBy(key, "_bucket").orderBy(p).rowsBetween(Window.unboundedPreceding, 0)
-    return materialize(b.join(offsets.drop("_bn"), [key, "_bucket"])
-                       .withColumn("rank_max", F.col("_off") + F.sum("n_at").over(w)).drop("_off"))
-
-
 def bh_fdr(df: DataFrame, alpha: float = FDR_ALPHA, key: str = "level", p: str = "p_value") -> DataFrame:
     """Benjamini-Hochberg. Reject every p <= T where T is the largest p
     with p <= rank(p) / n * alpha (tied p share the largest rank). Also the
-    corrected p = min(1, min over p' >= p of p' n / rank(p'))."""
-    ranks = _rank_max(df.where(F.col(p).isNotNull()), key, p).withColumn("_raw", F.col(p) * F.col("n") / F.col("rank_max"))
-    # suffix minimum of _raw: within a bucket by a window, across buckets from their minima
-    ws = Window.partitionBy(key, "_bucket").orderBy(F.col(p).desc()).rowsBetween(Window.unboundedPreceding, 0)
-    bmin = ranks.groupBy(key, "_bucket").agg(F.min("_raw").alias("_bmin"))
-    wl = Window.partitionBy(key).orderBy(F.col("_bucket").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    bmin = bmin.withColumn("_suf_after", F.min("_bmin").over(wl)).drop("_bmin")
-    thr = (ranks.where(F.col(p) <= F.col("rank_max") / F.col("n") * F.lit(alpha))
-           .groupBy(key).agg(F.max(p).alias("_thr")))
-    ranks = (ranks.withColumn("_suf_in", F.min("_raw").over(ws)).join(bmin, [key, "_bucket"])
-             .withColumn("p_corrected", F.least(F.lit(1.0), F.least(F.col("_suf_in"), F.coalesce("_suf_after", "_suf_in"))))
-             .join(thr, key, "left")
-             .select(key, p, "p_corrected", F.coalesce(F.col(p) <= F.col("_thr"), F.lit(False)).alias("_reject")))
+    corrected p = min(1, min over p' >= p of p' n / rank(p')).
+
+    Ranks are prefix sums over the sorted ranges of the distinct p, corrected values running minima against that order."""
+    counts = df.where(F.col(p).isNotNull()).groupBy(key, p).agg(F.count(F.lit(1)).alias("n_at"))
+    ranged = range_blocks(counts, [key], p)
+    totals = ranged.groupBy(key).agg(F.sum("n_at").alias("n"))
+    ranks = (scan_blocks(ranged, [key], "_block", p, sums={"_before": F.col("n_at")}).join(totals, key)
+             .withColumn("rank_max", F.col("_before") + F.col("n_at")).withColumn("_raw", F.col(p) * F.col("n") / F.col("rank_max")))
+    ranks = materialize(ranks.select(key, p, "_block", "_raw", (F.col(p) <= F.col("rank_max") / F.col("n") * F.lit(alpha)).alias("_under")))
+    highest = ranks.where("_under").groupBy(key).agg(F.max(p).alias("_highest"))
+    ranks = (scan_blocks(ranks, [key], "_block", p, mins={"_least": F.col("_raw")}, descending=True).join(highest, key, "left")
+             .select(key, p, F.least(F.lit(1.0), "_least").alias("p_corrected"), F.coalesce(F.col(p) <= F.col("_highest"), F.lit(False)).alias("_reject")))
     return (df.join(ranks, [key, p], "left")
             .withColumn("is_outlier", F.coalesce("_reject", F.lit(False))).drop("_reject"))
 

@@ -278,6 +278,43 @@ def q_clear_stale_filters(spark, d):
     return FA.clear_stale_filters(spark, _STALE, fv)
 
 
+_KEPT = {"agency": "ASIA", "bureau": "NATION_2", "period": None, "expiration": "2016"}
+
+
+def _kept_sql(sel: dict, expiration: str) -> str:
+    wanted = ", ".join(f"({S.q(n)}, {S.q(sel[n]) if sel.get(n) else 'NULL'})" for n, _ in FA.CASCADE)
+    return S.with_ctes("yearly", extra=[("fv", _facets_sql(sel)), ("sel", f"SELECT * FROM (VALUES {wanted}) t(facet, selected)"),
+                                        ("y", "SELECT DISTINCT Fiscal_Year FROM fv")]) + f"""
+SELECT y.Fiscal_Year, s.facet, s.selected, CASE WHEN s.facet = 'expiration' THEN {expiration}
+  WHEN EXISTS (SELECT 1 FROM fv WHERE fv.Fiscal_Year = y.Fiscal_Year AND fv.facet = s.facet AND fv.value = s.selected) THEN s.selected END AS kept
+FROM y CROSS JOIN sel s"""
+
+
+def _offered_sql(value: str) -> str:
+    return f"EXISTS (SELECT 1 FROM fv WHERE fv.Fiscal_Year = y.Fiscal_Year AND fv.facet = 'expiration' AND fv.value = {value})"
+
+
+_YEAR = "CAST(y.Fiscal_Year AS VARCHAR)"
+
+
+@register("switch_year_filters", _kept_sql(_KEPT, f"""CASE WHEN {_offered_sql(_YEAR)} THEN {_YEAR}
+  WHEN {_offered_sql("s.selected")} THEN s.selected END"""))
+def q_switch_year_filters(spark, d):
+    """H6: what stays selected when the view goes to each fiscal year; the expiration becomes that year where it is offered."""
+    fv = FA.facets(yearly(spark, d), _KEPT, group=["Fiscal_Year"])
+    return FA.kept_selections(fv, _KEPT, F.col("Fiscal_Year").cast("string"), ["Fiscal_Year"], switched=True)
+
+
+_FIRST = {"agency": "ASIA", "period": "FY2016"}
+
+
+@register("default_year_filters", _kept_sql(_FIRST, f"CASE WHEN {_offered_sql(_YEAR)} THEN {_YEAR} WHEN {_offered_sql(S.q('2016'))} THEN '2016' END"))
+def q_default_year_filters(spark, d):
+    """H6: without a selected expiration the fiscal year is taken where it is offered, else the fallback year, else none."""
+    fv = FA.facets(yearly(spark, d), _FIRST, group=["Fiscal_Year"])
+    return FA.kept_selections(fv, _FIRST, F.col("Fiscal_Year").cast("string"), ["Fiscal_Year"], fallback="2016")
+
+
 # ------------------------------------------------------------------ chart, sorts, paging
 
 @register("bubble_scale", Y + f"""

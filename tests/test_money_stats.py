@@ -5,12 +5,12 @@ import random
 import statistics
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from obligato.functions.money import fmt_money, fmt_pct, pct_account, round1
 from obligato.functions.stats import erfc, erfc_sql, two_sided_p
-from obligato.operators import outliers
 from obligato.operators.outliers import bh_fdr
 
 
@@ -65,9 +65,17 @@ def _bh_brute(ps, alpha):
     return reject, corr
 
 
-@pytest.mark.parametrize("per_bucket", [50_000, 20])
-def test_bh_matches_brute_force(spark, monkeypatch, per_bucket):
-    monkeypatch.setattr(outliers, "PER_BUCKET", per_bucket)
+@pytest.fixture
+def many_ranges(spark):
+    """Small ranges stay apart."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_bh_matches_brute_force(spark, many_ranges):
     rnd = random.Random(11)
     ps = [rnd.random() ** 3 for _ in range(300)] + [0.001] * 5 + [0.5] * 20    # ties included
     df = spark.createDataFrame([(i, p) for i, p in enumerate(ps)], "id long, p_value double") \
@@ -80,3 +88,18 @@ def test_bh_matches_brute_force(spark, monkeypatch, per_bucket):
     for i in range(len(ps)):
         tied = [corr[j] for j in range(len(ps)) if ps[j] == ps[i]]
         assert abs(got[i][1] - min(tied)) < 1e-12, i
+
+
+def test_bh_of_a_million_values(spark, many_ranges):
+    """Two levels, one with most of the values, against the definition in numpy."""
+    df = spark.range(1_000_000).select("id", F.when(F.col("id") % 10 == 0, "a").otherwise("b").alias("level"), F.pow(F.rand(5), 4.0).alias("p_value"))
+    got = bh_fdr(df, 0.05).toPandas()
+    assert len(got) == 1_000_000
+    for _, rows in got.groupby("level"):
+        rows = rows.sort_values("p_value")
+        p, n = rows.p_value.to_numpy(), len(rows)
+        raw = p * n / np.searchsorted(p, p, side="right")
+        corrected = np.minimum(np.minimum.accumulate(raw[::-1])[::-1], 1.0)
+        assert np.allclose(rows.p_corrected, corrected, rtol=1e-12)
+        assert (rows.is_outlier.to_numpy() == (p <= p[raw <= 0.05].max(initial=-1))).all()
+
