@@ -126,26 +126,34 @@ def group_keys(df: DataFrame, keys: list[str] | None = None) -> list[str]:
     return ["fiscal_year", "Source_File", *keys, *[k for k in OPTIONAL_KEYS if k in df.columns and k not in keys]]
 
 
-def partial_groups(coded: DataFrame, keys: list[str] | None = None, months=FISCAL_MONTHS, order_col: str = "ordinal",
+DERIVED = ["DERIVED_FY1", "DERIVED_FY2", "DERIVED_ALLOC"]
+
+
+def partial_groups(raw: DataFrame, keys: list[str] | None = None, months=FISCAL_MONTHS, order_col: str = "ordinal",
                    month_col: str = "month", amount_col: str = "amount") -> DataFrame:
-    """E1/E2, the only pass over raw rows: sums per (group keys, descriptive texts).
+    """E1/E2, the only pass over raw rows: sums per (group keys, descriptive texts, given codes).
 
-    The texts are grouping keys here and every buffer is a long (cents, counts, first position), so
-    this is a hash aggregate with map-side combine and no sort. Partial groups of several
-    batches are simply united before ``resolve_groups``.
+    Raw columns alone are grouping keys and every buffer is a long (cents, counts, first position), so this is a hash
+    aggregate with map-side combine and no sort. Codes are derived (B8, B9), normalised and compared (B10, E9) on its rows, which are
+    few, not on the raw ones. Partial groups of several batches are simply united before ``resolve_groups``.
     """
-    pairs = [(g, d) for g, d in CODE_PAIRS if g in coded.columns and d in coded.columns]
-    normed = with_normalized(coded, {f"_n_{c}": c for p in pairs for c in p})
-    keys = group_keys(coded, keys)
-    texts = [c for c in FIRST_COLUMNS if c in coded.columns and c not in keys]
+    given = [g for g, d in CODE_PAIRS if g in raw.columns and "TAFS" in raw.columns]
+    keys = [k for k in group_keys(raw, keys) if k not in DERIVED or "TAFS" not in raw.columns]
+    texts = [c for c in FIRST_COLUMNS if c in raw.columns and c not in keys]
     cents = (F.col(amount_col) * 100).cast("long")
-    aggs = [F.sum(F.when(F.col(month_col) == m, cents)).alias(m) for m in months]
-    aggs += [F.count(F.lit(1)).alias("source_rows"), F.min(order_col).alias("_ord")]
-    for g, d in pairs:
-        t = F.col(f"_n_{g}") != ""
-        aggs += [F.count_if(t).alias(f"{g.lower()}_tested"),
-                 F.count_if(t & (F.col(f"_n_{g}") == F.col(f"_n_{d}"))).alias(f"{g.lower()}_matched")]
-    return normed.groupBy(*keys, *texts).agg(*aggs)
+    out = raw.groupBy(*keys, *texts, *[g for g in given if g not in keys]).agg(
+        *[F.sum(F.when(F.col(month_col) == m, cents)).alias(m) for m in months],
+        F.count(F.lit(1)).alias("source_rows"), F.min(order_col).alias("_ord"))
+    if "TAFS" not in raw.columns:
+        return out
+    out = derive_codes(out)
+    pairs = [(g, d) for g, d in CODE_PAIRS if g in given]
+    out = with_normalized(out, {f"_n_{c}": c for p in pairs for c in p})
+    tested = {g: F.col(f"_n_{g}") != "" for g, _ in pairs}
+    n = F.col("source_rows")
+    out = out.withColumns({f"{g.lower()}_tested": F.when(tested[g], n).otherwise(F.lit(0)) for g, _ in pairs}
+                          | {f"{g.lower()}_matched": F.when(tested[g] & (F.col(f"_n_{g}") == F.col(f"_n_{d}")), n).otherwise(F.lit(0)) for g, d in pairs})
+    return out.drop(*[f"_n_{c}" for p in pairs for c in p], *[g for g in given if g not in keys])
 
 
 def resolve_groups(parts: DataFrame, keys: list[str] | None = None, months=FISCAL_MONTHS) -> DataFrame:
@@ -162,12 +170,12 @@ def resolve_groups(parts: DataFrame, keys: list[str] | None = None, months=FISCA
     return parts.groupBy(*keys).agg(*sums, *firsts, *counts)
 
 
-def aggregate_ledger(coded: DataFrame, keys: list[str] | None = None, months=FISCAL_MONTHS) -> DataFrame:
+def aggregate_ledger(raw: DataFrame, keys: list[str] | None = None, months=FISCAL_MONTHS) -> DataFrame:
     """Long ledger -> wide master, one row per (fiscal year, file, keys), with the code-check counts.
 
     Filtering lines and NULL keys afterwards is exact because LINENO and the keys are group keys.
     """
-    return resolve_groups(partial_groups(coded, keys, months), keys, months)
+    return resolve_groups(partial_groups(raw, keys, months), keys, months)
 
 
 def file_check_rates(groups: DataFrame) -> DataFrame:

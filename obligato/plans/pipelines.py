@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.constants import FISCAL_MONTHS, LEGACY_MONTHS
 from ..session import materialize
 from ..functions.text import clean_text
-from ..operators.ingest import (CHECK_COLUMNS, NULLABLE_KEYS, apply_fixed_units, derive_codes, detect_units,
+from ..operators.ingest import (CHECK_COLUMNS, NULLABLE_KEYS, apply_fixed_units, detect_units,
                                 drop_null_keys, file_check_rates, first_agency, partial_groups, pivot_months,
                                 resolve_groups, skip_files, standard_lines)
 from ..operators.months import available_months, latest_month
@@ -29,7 +29,7 @@ TEXT_COLUMNS = ["TAFS", "BUREAU", "AGENCY_TITLE", "BUREAU_TITLE", "OMB_ACCOUNT",
 def ledger_groups(spark: SparkSession, sf_dir: str, skip: list[str] | None = None, by_part: bool = False) -> DataFrame:
     """E1 over all raw rows of files not on the skip list, materialised: the one pass over the raw ledger."""
     skip_df = spark.createDataFrame([(s,) for s in (skip if skip is not None else DEFAULT_SKIP)], "Source_File string")
-    return materialize(resolve_groups(partial_groups(derive_codes(skip_files(ledger_rows(spark, sf_dir, by_part=by_part), skip_df)))))
+    return materialize(resolve_groups(partial_groups(skip_files(ledger_rows(spark, sf_dir, by_part=by_part), skip_df))))
 
 
 def build_master(spark: SparkSession, sf_dir: str, skip: list[str] | None = None,

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import FISCAL_MONTHS
-from ..operators.ingest import CHECK_COLUMNS, FIRST_COLUMNS, derive_codes, group_keys, partial_groups, resolve_groups
+from ..operators.ingest import CHECK_COLUMNS, FIRST_COLUMNS, group_keys, partial_groups, resolve_groups
 
 
 def merge_partials(parts: DataFrame) -> DataFrame:
@@ -38,7 +38,7 @@ def ingest_stream(spark: SparkSession, source: str, groups_dir: str, checkpoint:
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).parquet(source)
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
-        partial_groups(derive_codes(df)).write.mode("overwrite").parquet(f"{groups_dir}/epoch={epoch_id}")
+        partial_groups(df).write.mode("overwrite").parquet(f"{groups_dir}/epoch={epoch_id}")
 
     q = (stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
