@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ..sources import links as L
 from ..sources.fixture import table
+from ..sources.sinks import output_dir
+from ..sources.stored import read_registry, store_upsert
 from . import oracle_sql as S
 from .registry import register
 
@@ -121,3 +123,20 @@ def q_upsert_url_registry(spark, d):
     uk = F.regexp_extract(F.col("href"), URL_RE, 1)
     new = (a.where(uk != "").withColumn("key", uk).groupBy("key").agg(F.min_by("url", order).alias("url")))
     return L.upsert(found.where(F.col("tier") == "text"), new)
+
+
+@register("stored_url_registry", _with(_PERIOD) + """
+SELECT key, url, CASE WHEN tags = 2 THEN 'replaced' WHEN first = 1 THEN 'added' ELSE 'original' END AS origin, 2 AS version FROM (
+  SELECT key, arg_max(url, tag) AS url, count(DISTINCT tag) AS tags, min(tag) AS first
+  FROM (SELECT key, url, 0 AS tag FROM t UNION ALL SELECT key, url, 1 AS tag FROM u) GROUP BY key)""")
+def q_stored_url_registry(spark, d):
+    """A24/A25 on stored state: the text tier's links, then the URL tier's, whose run is repeated; two versions remain, read from storage."""
+    p, path = pages(spark, d), output_dir(spark, "registry")
+    a = L.anchors(p).withColumn("url", L.resolve(F.col("href"), F.col("page_url")))
+    order = F.struct("page_id", "link_ord")
+    text = L.harvest_period_links(p, TEXT_RE, "", URL_RE, "").where(F.col("tier") == "text")
+    uk = F.regexp_extract(F.col("href"), URL_RE, 1)
+    store_upsert(text, path, "text")
+    for _ in range(2):
+        version = store_upsert(a.where(uk != "").withColumn("key", uk).groupBy("key").agg(F.min_by("url", order).alias("url")), path, "url")
+    return read_registry(spark, path).select("key", "url", "origin", F.lit(version.number).alias("version"))
