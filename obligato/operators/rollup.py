@@ -9,7 +9,7 @@ partitioning.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.money import exact_sum, pct_rollup
@@ -133,6 +133,26 @@ def rollup_multi_year(rows: DataFrame, level: str = "agency", expiration=None, a
         "pct_unobligated", pct_rollup(F.col("unobligated"), F.col("budget_authority")))
 
 
+def rollup_levels(rows: DataFrame, expiration=None, agencies=None, bureaus=None, periods=None, pct_range: str | None = None) -> DataFrame:
+    """E12-E15 at all three levels at once: the filtered rows go through one aggregate over grouping sets.
+
+    Keys below a row's ``level`` are null. The bureau count of an agency comes from its bureau groups, which are
+    few, instead of a distinct count over the rows.
+    """
+    df = filter_pct_range(filter_dims(filter_expiring(rows, expiration), agencies, bureaus, periods), pct_range)
+    time, every = [F.col("Fiscal_Year"), F.col("Month")], LEVEL_KEYS["account"]
+    sets = [[*time, *map(F.col, keys)] for keys in LEVEL_KEYS.values()]
+    out = df.groupingSets(sets, *time, *every).agg(
+        exact_sum(BA).alias("budget_authority"), exact_sum(UNOB).alias("unobligated"), F.count(F.lit(1)).alias("account_count"), F.grouping_id().alias("_set"))
+    level = F.when(F.col("_set") == 3, "agency").when(F.col("_set") == 1, "bureau").otherwise("account")
+    agency = Window.partitionBy(*time, "Agency")
+    named = (F.col("_set") == 1) & (F.col("Bureau") != "")
+    of_agency, own = F.sum(F.when(named, 1).otherwise(0)).over(agency), F.when(F.coalesce(F.col("Bureau") != "", F.lit(False)), 1).otherwise(0)
+    return (out.withColumn("level", level).withColumn("bureau_count", F.when(F.col("_set") == 3, of_agency).otherwise(own).cast("long"))
+            .withColumn("pct_unobligated", pct_rollup(F.col("unobligated"), F.col("budget_authority")))
+            .select("Fiscal_Year", "Month", "level", *every, "budget_authority", "unobligated", "account_count", "bureau_count", "pct_unobligated"))
+
+
 def explore_year(yearly: DataFrame, level: str = "account", expiration=None, agencies=None, bureaus=None, periods=None,
                  pct_range: str | None = None) -> DataFrame:
     """P5: one composed view per fiscal year: filters -> rollup at the level -> display texts, largest budget

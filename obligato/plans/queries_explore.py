@@ -237,6 +237,16 @@ def q_search_rows(spark, d):
     return R.search_rows(yearly(spark, d), ["Brand#1", "FY2019"], _SEARCH_COLS)
 
 
+@register("rollup_levels", Y + _with_pct(f"""
+SELECT Fiscal_Year, Month, CASE grouping_id(Agency, Bureau, Account) WHEN 3 THEN 'agency' WHEN 1 THEN 'bureau' ELSE 'account' END AS level,
+  Agency, Bureau, Account, {_esum('Budget_Authority_M')} AS budget_authority, {_esum('Unobligated_Balance_M')} AS unobligated,
+  count(*) AS account_count, count(DISTINCT nullif(Bureau, '')) AS bureau_count
+FROM yearly GROUP BY GROUPING SETS ((Fiscal_Year, Month, Agency), (Fiscal_Year, Month, Agency, Bureau), (Fiscal_Year, Month, Agency, Bureau, Account))"""))
+def q_rollup_levels(spark, d):
+    """Agency, bureau and account level of all years in one aggregate over grouping sets."""
+    return R.rollup_levels(yearly(spark, d), "ALL_YEARS")
+
+
 # ------------------------------------------------------------------ facets
 
 def _facets_sql(sel: dict) -> str:
