@@ -2,18 +2,20 @@
 
 Documents are split into numbered lines (``posexplode``); metadata lines are
 recognised by an ordered list of patterns; values carry forward to later
-lines with ``last(..., ignorenulls)`` over a window partitioned by document
-(a document is one bounded text value, so the window never spans the
-table). Line items split their tokens into amounts and description words
+lines and pages in two levels, within blocks of lines and from block to block, so that
+a long document is not one task. Line items split their tokens into amounts and description words
 with array higher-order functions — no Python per row.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import re
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import WS, strip_ws
+from ..operators.blocks import scan_blocks
 
 META_KEYS = ["budget_agency", "budget_bureau", "budget_account", "treasury_account",
              "budget_account_id", "treasury_account_id"]
@@ -26,23 +28,34 @@ META_PATTERNS = [
     ("budget_account_id", r"BudgetAccountID:\s*([^\s]+)"),
     ("treasury_account_id", r"TreasuryAccountID:\s*(.+)"),
 ]
+#: Positions of a page that are one block of the carry-forward.
+BLOCK_LINES = 8192
 LINE_PATTERN = r"^(249[0-9]|250[0-9])\s+(.+)"
 AMOUNT_PATTERN = r"^-?\d{1,3}(,\d{3})*(\.\d+)?$"
 QUARTER_MONTH = [("q1_amount", "Dec"), ("q2_amount", "Mar"), ("q3_amount", "Jun"), ("q4_amount", "Sep")]
 
 
-def text_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, page, pos, line): stripped, non-empty lines in order (one page per document)."""
-    x = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("pos", "raw"))
-    return (x.select("doc_id", F.lit(1).alias("page"), (F.col("pos") + 1).alias("pos"),
+def text_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", page_break: str | None = None) -> DataFrame:
+    """(doc_id, page, pos, line): stripped, non-empty lines in order. Pages, numbered from 1, end at ``page_break``
+    (a form feed in extracted text); without one a document is one page."""
+    x = docs.select(F.col(id_col).alias("doc_id"), F.lit(0).alias("page"), F.col(text_col).alias("text"))
+    if page_break is not None:
+        x = x.select("doc_id", F.posexplode(F.split("text", re.escape(page_break))).alias("page", "text"))
+    x = x.select("doc_id", "page", F.posexplode(F.split("text", "\n")).alias("pos", "raw"))
+    return (x.select("doc_id", (F.col("page") + 1).alias("page"), (F.col("pos") + 1).alias("pos"),
                      strip_ws(F.col("raw")).alias("line"))
             .where(F.col("line") != ""))
 
 
-def carry_forward(df: DataFrame, part: list[str], order: list[str], cols: list[str]) -> DataFrame:
-    """each column takes the last non-null value at or before the row."""
-    w = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumns({c: F.last(F.col(c), ignorenulls=True).over(w) for c in cols})
+def carry_forward(df: DataFrame, part: list[str], order: list[str], cols: list[str], block_lines: int = BLOCK_LINES) -> DataFrame:
+    """each column takes the last non-null value at or before the row, by ``order`` (page and position) within ``part``.
+
+    Rows meet in blocks of ``block_lines`` positions of a page; the blocks' last values are carried from one to the next."""
+    page, pos = order
+    block = F.col(page).cast("long") * (1 << 32) + F.floor(F.col(pos) / block_lines)
+    kept = df.withColumn("_block", block).withColumnsRenamed({c: f"_old_{c}" for c in cols})
+    out = scan_blocks(kept, part, "_block", pos, lasts={c: F.col(f"_old_{c}") for c in cols})
+    return out.select(*df.columns)
 
 
 def extract_line_items(lines: DataFrame, meta_patterns=META_PATTERNS, line_pattern: str = LINE_PATTERN,
