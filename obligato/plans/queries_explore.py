@@ -315,14 +315,14 @@ def q_switch_year_filters(spark, d):
     return FA.kept_selections(fv, _KEPT, F.col("Fiscal_Year").cast("string"), ["Fiscal_Year"], switched=True)
 
 
-_FIRST = {"agency": "ASIA", "period": "FY2016"}
+_NO_EXPIRATION = {"agency": "ASIA", "period": "FY2016"}
 
 
-@register("default_year_filters", _kept_sql(_FIRST, f"CASE WHEN {_offered_sql(_YEAR)} THEN {_YEAR} WHEN {_offered_sql(S.q('2016'))} THEN '2016' END"))
+@register("default_year_filters", _kept_sql(_NO_EXPIRATION, f"CASE WHEN {_offered_sql(_YEAR)} THEN {_YEAR} WHEN {_offered_sql(S.q('2016'))} THEN '2016' END"))
 def q_default_year_filters(spark, d):
     """H6: without a selected expiration the fiscal year is taken where it is offered, else the fallback year, else none."""
-    fv = FA.facets(yearly(spark, d), _FIRST, group=["Fiscal_Year"])
-    return FA.kept_selections(fv, _FIRST, F.col("Fiscal_Year").cast("string"), ["Fiscal_Year"], fallback="2016")
+    fv = FA.facets(yearly(spark, d), _NO_EXPIRATION, group=["Fiscal_Year"])
+    return FA.kept_selections(fv, _NO_EXPIRATION, F.col("Fiscal_Year").cast("string"), ["Fiscal_Year"], fallback="2016")
 
 
 # ------------------------------------------------------------------ chart, sorts, paging
