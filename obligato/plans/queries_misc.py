@@ -12,7 +12,7 @@ from ..operators.pairing import pair_counts, pair_totals, split_oia
 from ..operators.rollup import sort_expiration
 from ..sources.fixture import ledger_rows, unit_notes
 from . import oracle_sql as S
-from ..functions.constants import LEGACY_MONTHS, OIA
+from ..functions.constants import FISCAL_MONTHS, LEGACY_MONTHS, OIA, QUARTER_END, RAW_MONTH_COLUMNS
 from .pipelines import build_master, ledger_groups, monthly_summary_from, summary_legacy, year_summary_from
 from .registry import register
 
@@ -51,6 +51,28 @@ def q_detect_units(spark, d):
     return I.detect_units(unit_notes(files))
 
 
+def _raw_months_sql() -> str:
+    cols, early = [], "ordinal % 8 < 4"
+    for m in FISCAL_MONTHS:
+        monthly = f"sum(amount) FILTER (WHERE month = {S.q(m)} AND {early})"
+        value = f"coalesce({monthly}, sum(amount) FILTER (WHERE month = {S.q(m)}))" if m in QUARTER_END.values() else monthly
+        cols.append(f"CAST({value} AS DOUBLE) AS {m}")
+    return f"SELECT Source_File, LINENO, {', '.join(cols)} FROM ledger GROUP BY 1, 2"
+
+
+@register("rename_months", S.with_ctes("ledger") + _raw_months_sql())
+def q_rename_months(spark, d):
+    """B1: wide raw columns (a month's amounts of the first lines only, quarter ends of all lines) under month names, the monthly column first."""
+    raw = ledger_rows(spark, d)
+    quarters = dict(zip(["AMT1", "AMT2", "AMT3", "AMT4"], QUARTER_END.values(), strict=True))
+    monthly = {c: m for c, m in RAW_MONTH_COLUMNS.items() if c not in quarters}
+    early = F.col("ordinal") % 8 < 4
+    wide = raw.groupBy("Source_File", "LINENO").agg(
+        *[F.sum(F.when((F.col("month") == m) & early, F.col("amount"))).cast("double").alias(c) for c, m in monthly.items()],
+        *[F.sum(F.when(F.col("month") == m, F.col("amount"))).cast("double").alias(c) for c, m in quarters.items()])
+    return I.rename_months(wide).select("Source_File", "LINENO", *FISCAL_MONTHS)
+
+
 @register("pair_lines_oia", S.with_ctes("master_long", "latest") + """
 , u AS (SELECT m.fiscal_year, m.month, m.TAFS, m.value FROM master_long m JOIN latest l
         ON m.fiscal_year = l.fiscal_year AND m.month = l.month WHERE TRY_CAST(m.LINENO AS DOUBLE) = 2490),
