@@ -20,6 +20,8 @@ from .common import bound_batches
 
 #: Vectors of a shard, on average: what one task holds, builds and searches.
 SHARD = 8192
+#: Different vector lengths up to which the table of their shards is broadcast.
+LENGTHS = 10_000
 #: Out-degree, beam while building, beam of a query, and the factor by which a kept neighbour must be nearer to hide another.
 DEGREE, BUILD_BEAM, BEAM, ALPHA = 32, 64, 128, 1.2
 #: Beam entries expanded at once, and points or queries handled at once.
@@ -179,7 +181,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 5, shard: int = SHA
 
     points = clean(vectors)
     shards = points.groupBy("dim").agg(F.ceil(F.count("*") / shard).cast("int").alias("shards"))
-    number = shards.agg(F.sum("shards")).first()[0] or 1
+    number, lengths = shards.agg(F.coalesce(F.sum("shards"), F.lit(1)), F.count("*")).first()
+    if lengths <= LENGTHS:  # one small row a length, so vectors are not dealt by their length
+        shards = F.broadcast(shards)
     stored = points.join(shards, "dim").select("dim", F.pmod(F.xxhash64("id"), "shards").cast("int").alias("shard"), F.lit(0).alias("kind"), "id", "v")
     asked = (clean(queries).join(shards, "dim")
              .select("dim", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"), F.lit(1).alias("kind"), "id", "v"))
