@@ -107,6 +107,18 @@ def baseline_profile(summary: DataFrame) -> DataFrame:
         .where(F.col("Fiscal_Year").isNotNull()))
 
 
+def snapshot_lines(master: DataFrame, unobligated: float = 2490, authority: float = 2500) -> DataFrame:
+    """E23, the master's side of the snapshot: per year rows, agencies, distinct report lines and rows of both paired lines.
+
+    The distinct counts run over one row per year, agency and line."""
+    small = master.groupBy("fiscal_year", "Agency", "LINENO").agg(F.count(F.lit(1)).alias("n"))
+    line = to_number(F.col("LINENO"))
+    rows_of = lambda code: F.sum(F.when(line == code, F.col("n")).otherwise(0))
+    return small.groupBy("fiscal_year").agg(
+        F.sum("n").alias("rows"), F.count_distinct("Agency").alias("agencies"), F.count_distinct("LINENO").alias("distinct_lines"),
+        rows_of(unobligated).alias("rows_2490"), rows_of(authority).alias("rows_2500"))
+
+
 def file_agency_counts(master: DataFrame) -> DataFrame:
     """Master rows and files per agency and year."""
     return master.groupBy("fiscal_year", "Agency").agg(F.count(F.lit(1)).alias("rows"),

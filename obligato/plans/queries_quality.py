@@ -186,6 +186,15 @@ def q_account_overlap(spark, d):
     return PR.account_overlap(master(spark, d), BASE_YEAR)
 
 
+@register("snapshot_lines", S.with_ctes("master") + """
+SELECT fiscal_year, count(*) AS rows, count(DISTINCT Agency) AS agencies, count(DISTINCT LINENO) AS distinct_lines,
+  count(*) FILTER (WHERE TRY_CAST(LINENO AS DOUBLE) = 2490) AS rows_2490, count(*) FILTER (WHERE TRY_CAST(LINENO AS DOUBLE) = 2500) AS rows_2500
+FROM master GROUP BY 1""")
+def q_snapshot_lines(spark, d):
+    """Report lines of the snapshot: distinct ones and rows of the two paired lines, per year."""
+    return PR.snapshot_lines(master(spark, d))
+
+
 @register("baseline_profile", S.with_ctes("yearly") + f"""
 SELECT Fiscal_Year, Agency, count(*) AS rows, {S.exact_sum('Budget_Authority_M')} AS budget_authority,
   {S.exact_sum('Unobligated_Balance_M')} AS unobligated, count(DISTINCT Agency) AS agencies,
