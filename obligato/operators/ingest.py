@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -126,6 +126,24 @@ def group_keys(df: DataFrame, keys: list[str] | None = None) -> list[str]:
     return ["fiscal_year", "Source_File", *keys, *[k for k in OPTIONAL_KEYS if k in df.columns and k not in keys]]
 
 
+#: Rows of one task, on average, where there are about as many groups as raw rows: a group's row takes some KB in sorts and hash maps.
+TASK_ROWS = 65_536
+
+
+def task_count(spark: SparkSession, rows: int) -> int:
+    """Tasks for ``rows`` wide rows; they grow in number with the rows, not in size."""
+    return max(rows // TASK_ROWS + 1, spark.sparkContext.defaultParallelism)
+
+
+def deal_groups(raw: DataFrame, tasks: int, keys: list[str] | None = None) -> DataFrame:
+    """Raw rows dealt to a fixed number of tasks by year, file and the account keys that they have, which serves both aggregates of E1.
+
+    For ledgers whose groups are about as many as their rows: map-side sums would save nothing there, and a shuffle of the session's
+    number of partitions would make tasks that grow with the ledger. A row with a NULL key is dealt like any other.
+    """
+    return raw.repartition(tasks, "fiscal_year", "Source_File", *[k for k in keys or MASTER_KEYS if k not in DERIVED])
+
+
 DERIVED = ["DERIVED_FY1", "DERIVED_FY2", "DERIVED_ALLOC"]
 
 

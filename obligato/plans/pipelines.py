@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 from ..functions.constants import FISCAL_MONTHS, LEGACY_MONTHS
 from ..session import materialize
 from ..functions.text import clean_text
-from ..operators.ingest import (CHECK_COLUMNS, NULLABLE_KEYS, apply_fixed_units, detect_units,
+from ..operators.ingest import (CHECK_COLUMNS, NULLABLE_KEYS, apply_fixed_units, deal_groups, detect_units,
                                 drop_null_keys, file_check_rates, first_agency, partial_groups, pivot_months,
-                                resolve_groups, skip_files, standard_lines)
+                                resolve_groups, skip_files, standard_lines, task_count)
 from ..operators.months import available_months, latest_month
 from ..operators.pairing import (drop_near_zero, oia_bureaus, pair_lines, sort_summary, split_oia,
                                 summarize_pairs, with_display)
-from ..sources.fixture import ledger_rows, unit_notes
+from ..sources.fixture import ledger_rows, table, unit_notes
 
 # Consolidated multi-agency file skipped to avoid double counting (fixed value).
 DEFAULT_SKIP = ["2668331098.xlsx"]
@@ -27,9 +27,15 @@ TEXT_COLUMNS = ["TAFS", "BUREAU", "AGENCY_TITLE", "BUREAU_TITLE", "OMB_ACCOUNT",
 
 
 def ledger_groups(spark: SparkSession, sf_dir: str, skip: list[str] | None = None, by_part: bool = False) -> DataFrame:
-    """E1 over all raw rows of files not on the skip list, materialised: the one pass over the raw ledger."""
-    skip_df = spark.createDataFrame([(s,) for s in (skip if skip is not None else DEFAULT_SKIP)], "Source_File string")
-    return materialize(resolve_groups(partial_groups(skip_files(ledger_rows(spark, sf_dir, by_part=by_part), skip_df))))
+    """E1 over all raw rows of files not on the skip list, materialised: the one pass over the raw ledger.
+
+    With accounts by part there are about as many groups as line items, so the tasks are as many as these need."""
+    skipped = F.array(*map(F.lit, skip if skip is not None else DEFAULT_SKIP)).cast("array<string>")
+    skip_df = spark.range(1).select(F.explode(skipped).alias("Source_File"))    # a list of known size: joined without a shuffle of the raw rows
+    raw = skip_files(ledger_rows(spark, sf_dir, by_part=by_part), skip_df)
+    if by_part:
+        raw = deal_groups(raw, task_count(spark, table(spark, sf_dir, "lineitem").count()))
+    return materialize(resolve_groups(partial_groups(raw)))
 
 
 def build_master(spark: SparkSession, sf_dir: str, skip: list[str] | None = None,
@@ -51,9 +57,10 @@ def master_from_groups(groups: DataFrame, reject_mismatches: bool = True) -> Dat
     agency = first_agency(groups)
     units = detect_units(unit_notes(agency.select("Source_File", F.col("agency_text").alias("AGENCY_TITLE"))))
     if reject_mismatches:
-        master = master.join(file_check_rates(std).where("rejected").select("Source_File"), "Source_File", "left_anti")
-    master = (master.drop("AGENCY", "AGENCY_ord").join(agency.select("Source_File", "Agency"), "Source_File")
-              .join(units, "Source_File", "left"))
+        master = master.join(F.broadcast(file_check_rates(std).where("rejected").select("Source_File")), "Source_File", "left_anti")
+    # one row per raw file, which the driver lists anyway; a shuffle by file would leave the master in as many tasks as there are files
+    master = (master.drop("AGENCY", "AGENCY_ord").join(F.broadcast(agency.select("Source_File", "Agency")), "Source_File")
+              .join(F.broadcast(units), "Source_File", "left"))
     mult = F.coalesce(F.col("unit_multiplier"), F.lit(1))
     master = master.withColumns({m: (F.col(m) * mult).cast("decimal(38,2)") for m in FISCAL_MONTHS})
     master = master.drop("unit_multiplier", *CHECK_COLUMNS)
