@@ -2,6 +2,7 @@
 
 Rows carry a ``block`` (a file split, a range of lines) that bounds how many of them meet in one task. Each block is summed
 up to one row, a window over those few rows gives what every block starts from, and a window inside the block does the rest.
+A block's start enters that window as one more row ahead of the block's own, so the rows are shuffled and sorted once.
 """
 
 from __future__ import annotations
@@ -29,23 +30,36 @@ def scan_blocks(df: DataFrame, keys: list[str], block: str, order: str, sums: di
     sums, lasts, mins = sums or {}, lasts or {}, mins or {}
     rows = df.withColumns({f"_v_{n}": c for n, c in (sums | lasts | mins).items()})
     edge = F.min if descending else F.max
-    per_block = rows.groupBy(*keys, block).agg(
+    carried = rows
+    if lasts and not (sums or mins):    # texts sort before they aggregate, so only rows that carry something go there
+        rows = materialize(rows)
+        carried = _of_several_blocks(rows, keys, block)
+    per_block = carried.groupBy(*keys, block).agg(
         *[F.sum(f"_v_{n}").alias(f"_b_{n}") for n in sums], *[F.min(f"_v_{n}").alias(f"_b_{n}") for n in mins],
         *[edge(F.when(F.col(f"_v_{n}").isNotNull(), F.struct(F.col(order), F.col(f"_v_{n}")))).getField(f"_v_{n}").alias(f"_b_{n}") for n in lasts])
     way = (lambda c: F.col(c).desc()) if descending else F.col
     ahead = Window.partitionBy(*keys).orderBy(way(block)).rowsBetween(Window.unboundedPreceding, -1)
     starts = per_block.select(
-        *[F.col(k).alias(f"_k_{i}") for i, k in enumerate([*keys, block])],
-        *[F.coalesce(F.sum(f"_b_{n}").over(ahead), F.lit(0)).alias(f"_s_{n}") for n in sums],
-        *[F.min(f"_b_{n}").over(ahead).alias(f"_s_{n}") for n in mins],
-        *[F.last(f"_b_{n}", ignorenulls=True).over(ahead).alias(f"_s_{n}") for n in lasts])
+        *keys, block, *[F.sum(f"_b_{n}").over(ahead).alias(f"_v_{n}") for n in sums],
+        *[F.min(f"_b_{n}").over(ahead).alias(f"_v_{n}") for n in mins],
+        *[F.last(f"_b_{n}", ignorenulls=True).over(ahead).alias(f"_v_{n}") for n in lasts])
+    starts = starts.where(F.coalesce(*[F.col(f"_v_{n}").cast("string") for n in sums | mins | lasts]).isNotNull())
+    inside = Window.partitionBy(*keys, block).orderBy("_own", way(order))
+    before, upto = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.withColumn("_own", F.lit(True)).unionByName(starts.withColumn("_own", F.lit(False)), allowMissingColumns=True).withColumns(
+        {n: F.coalesce(F.sum(f"_v_{n}").over(before), F.lit(0)) for n in sums}
+        | {n: F.min(f"_v_{n}").over(upto) for n in mins}
+        | {n: F.last(f"_v_{n}", ignorenulls=True).over(upto) for n in lasts})
+    return out.where("_own").drop("_own", *[f"_v_{n}" for n in sums | lasts | mins])
+
+
+def _of_several_blocks(rows: DataFrame, keys: list[str], block: str) -> DataFrame:
+    """Rows of keys that have more than one block; the others have nothing to carry from block to block."""
+    several = rows.groupBy(*keys).agg(F.min(block).alias("_lo"), F.max(block).alias("_hi")).where("_lo < _hi")
+    several = materialize(several.select(*[F.col(k).alias(f"_k_{i}") for i, k in enumerate(keys)]))
+    if several.isEmpty():
+        return rows.limit(0)
     same = F.lit(True)
-    for i, k in enumerate([*keys, block]):
+    for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{i}"))
-    inside = Window.partitionBy(*keys, block).orderBy(way(order))
-    before, upto = inside.rowsBetween(Window.unboundedPreceding, -1), inside.rowsBetween(Window.unboundedPreceding, 0)
-    out = rows.join(starts, same).withColumns(
-        {n: F.col(f"_s_{n}") + F.coalesce(F.sum(f"_v_{n}").over(before), F.lit(0)) for n in sums}
-        | {n: F.least(F.min(f"_v_{n}").over(upto), F.col(f"_s_{n}")) for n in mins}
-        | {n: F.coalesce(F.last(f"_v_{n}", ignorenulls=True).over(upto), F.col(f"_s_{n}")) for n in lasts})
-    return out.drop(*[f"_k_{i}" for i in range(len(keys) + 1)], *[f"_{p}_{n}" for n in sums | lasts | mins for p in "vs"])
+    return rows.join(several, same, "left_semi")

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import materialize
-from .records import field_count, fields, read_lines, split_records
+from .records import field_count, fields, join_records, number_lines, read_lines
 
 
 class LedgerScan(NamedTuple):
@@ -50,10 +50,10 @@ def _decoded(path: Column) -> Column:
     return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def _headers(lines: DataFrame) -> DataFrame:
+def _headers(numbered: DataFrame) -> DataFrame:
     """(file, header): names in each file's first line; a header has no line break or comma inside a name."""
-    first = lines.where(F.col("block") == 0).groupBy("file").agg(F.min(F.struct("at", "text")).alias("_first"))
-    names = F.split(F.regexp_replace("_first.text", '^\ufeff|"|\r$', ""), ",")
+    first = numbered.where(F.col("_number") == 1)
+    names = F.split(F.regexp_replace("text", '^\ufeff|"|\r$', ""), ",")
     return first.select("file", F.transform(names, F.trim).alias("header"))
 
 
@@ -69,11 +69,13 @@ def scan_ledger(spark: SparkSession, path: str, schema: T.StructType, required:
     required = [f.name for f in schema] if required is None else required
     listed = spark.createDataFrame(list_files(spark, path, suffix), "file string, bytes long").withColumn("Source_File", name(F.col("file")))
     lines = read_lines(spark, path, f"*{suffix}").withColumn("file", _decoded(F.col("file")))
-    headers = materialize(_headers(lines))
+    numbered = number_lines(lines)
+    headers = materialize(_headers(numbered))
     absent = F.array_join(F.array_except(F.array(*map(F.lit, required)), "header"), ", ")
     headers = headers.withColumn("_absent", absent)
     widest = headers.agg(F.max(F.size("header"))).first()[0] or 1
-    records = split_records(lines).where(F.col("line") > 1).join(headers.where(F.col("_absent") == ""), "file")
+    # headers and accepted files are a row per file, which the driver has listed; records are not dealt by their few files
+    records = join_records(numbered).where(F.col("line") > 1).join(F.broadcast(headers.where(F.col("_absent") == "")), "file")
     texts = records.withColumn("_fields", fields(F.col("record"), widest)).withColumns(
         {f"_t{i}": F.get("_fields", (F.array_position("header", F.lit(f.name)) - 1).cast("int")) for i, f in enumerate(schema)})
     typed = texts.withColumns({f"_v{i}": F.col(f"_t{i}") if isinstance(f.dataType, T.StringType) else F.expr(f"try_cast(trim(_t{i}) AS {f.dataType.simpleString()})")
@@ -95,6 +97,6 @@ def scan_ledger(spark: SparkSession, path: str, schema: T.StructType, required:
            .when(broken > max_broken * n, F.concat(F.lit("broken records: "), broken.cast("string"), F.lit(" of "), n.cast("string"))))
     files = materialize(listed.join(headers, "file", "left").join(counts, "file", "left").select(
         "Source_File", "file", "bytes", n.alias("records"), F.when(why.isNull(), n - broken).otherwise(0).alias("rows"), broken.alias("rejected"), why.alias("reason")))
-    accepted = parsed.join(files.where("reason IS NULL").select("file", "Source_File"), "file")
+    accepted = parsed.join(F.broadcast(files.where("reason IS NULL").select("file", "Source_File")), "file")
     rows = accepted.where("reason IS NULL").select(*[f.name for f in schema], "Source_File")
     return LedgerScan(rows, files, accepted.where("reason IS NOT NULL").select("Source_File", "line", "reason", "record"))
