@@ -135,16 +135,15 @@ def statement_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     code = F.when(F.col("l_returnflag") == "N", F.lit("2490")).otherwise(F.lit("2500"))
     price, quarter = F.col("l_extendedprice").cast("decimal(18,2)"), F.quarter("l_shipdate")
-    line = (li.groupBy("l_orderkey", code.alias("code")).agg(
-        *[F.coalesce(F.sum(F.when(quarter == q, price)), F.lit(0)).cast("double").alias(f"q{q}") for q in (1, 2, 3, 4)])
-        .select("l_orderkey", F.concat_ws(" ", "code", F.when(F.col("code") == "2490", F.lit("Unobligated balance, end of year"))
-                                          .otherwise(F.lit("Budgetary resources total")), *[F.format_number(f"q{q}", 2) for q in (1, 2, 3, 4)]).alias("line"))
-        .groupBy("l_orderkey").agg(F.array_join(F.array_sort(F.collect_list("line")), "\n").alias("lines")))
-    first = (li.groupBy("l_orderkey").agg(F.min("l_suppkey").alias("l_suppkey"))
-             .join(supplier, F.col("l_suppkey") == F.col("s_suppkey")))
+    texts = {"2490": "Unobligated balance, end of year", "2500": "Budgetary resources total"}
+    # one aggregate per order; an order without line items of a code has no line of it
+    orders = li.where("l_orderkey IS NOT NULL").groupBy("l_orderkey").agg(
+        F.min("l_suppkey").alias("l_suppkey"), *[F.count_if(code == c).alias(f"n{c}") for c in texts],
+        *[F.coalesce(F.sum(F.when((code == c) & (quarter == q), price)), F.lit(0)).cast("double").alias(f"q{c}_{q}") for c in texts for q in (1, 2, 3, 4)])
+    line = {c: F.when(F.col(f"n{c}") > 0, F.concat_ws(" ", F.lit(c), F.lit(t), *[F.format_number(f"q{c}_{q}", 2) for q in (1, 2, 3, 4)])) for c, t in texts.items()}
+    orders = orders.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
     key = F.col("l_orderkey").cast("string")
     head = F.concat(F.lit("BudgetAgency: Legislative"), F.when(F.col("s_nationkey") % 2 == 0, F.lit("Branch")).otherwise(F.lit("")),
                     F.lit("\nBudgetBureau:  Bureau "), F.col("s_nationkey").cast("string"), F.lit("\nBudgetAccount: Account "), key,
                     F.lit("\nbudgetaccountid: 01-"), F.lpad(F.col("s_nationkey").cast("string"), 2, "0"), F.lit("-"), key, F.lit("\npage one of one\n"))
-    return (first.select("l_orderkey", head.alias("head")).join(line, "l_orderkey")
-            .select(F.col("l_orderkey").alias("doc_id"), F.concat("head", "lines").alias("text")))
+    return orders.select(F.col("l_orderkey").alias("doc_id"), F.concat(head, F.concat_ws("\n", *line.values())).alias("text"))

@@ -67,7 +67,8 @@ def extract_line_items(lines: DataFrame, meta_patterns=META_PATTERNS, line_patte
     for key, pat in meta_patterns:
         cond = F.col("line").rlike(f"(?i){pat}")
         kind = F.when(cond, F.lit(key)) if kind is None else kind.when(cond, F.lit(key))
-    staged = lines.withColumn("_meta", kind)
+    # other lines neither set metadata nor become items
+    staged = lines.withColumn("_meta", kind).where(F.col("_meta").isNotNull() | F.col("line").rlike(line_pattern))
     vals = {}
     for key, pat in meta_patterns:
         v = F.regexp_replace(strip_ws(F.regexp_extract(F.col("line"), f"(?i){pat}", 1)), r"\s+", " ")
@@ -75,9 +76,10 @@ def extract_line_items(lines: DataFrame, meta_patterns=META_PATTERNS, line_patte
     staged = carry_forward(staged.withColumns(vals), ["doc_id"], ["page", "pos"], [k for k, _ in meta_patterns])
     items = staged.where(F.col("_meta").isNull() & F.col("line").rlike(line_pattern))
     data = strip_ws(F.regexp_extract(F.col("line"), line_pattern, 2))
-    toks = F.split(data, r"\s+")
-    amounts = F.transform(F.filter(toks, lambda t: t.rlike(amount_pattern)),
-                          lambda t: F.replace(t, F.lit(","), F.lit("")).try_cast("double"))
+    items = items.withColumn("_toks", F.split(data, r"\s+"))
+    toks, amounts = F.col("_toks"), F.col("_amounts")
+    items = items.withColumn("_amounts", F.transform(F.filter(toks, lambda t: t.rlike(amount_pattern)),
+                                                     lambda t: F.replace(t, F.lit(","), F.lit("")).try_cast("double")))
     out = items.select(
         "doc_id", "page", "pos",
         F.regexp_extract(F.col("line"), line_pattern, 1).alias("line_code"),
@@ -99,14 +101,15 @@ def quarter_records(items: DataFrame, unob_code: str = "2490", ba_code: str = "2
     first unobligated and first budget line; groups lacking either are
     skipped; four quarter rows (Dec/Mar/Jun/Sep), both-zero quarters skipped."""
     keys = ["doc_id", "budget_agency", "budget_bureau", "budget_account", "budget_account_id"]
-    it = items.withColumns({k: F.coalesce(F.col(k), F.lit("")) for k in keys[1:]})
+    it = items.where(F.col("doc_id").isNotNull() & F.col("line_code").isin(unob_code, ba_code))
+    it = it.withColumns({k: F.coalesce(F.col(k), F.lit("")) for k in keys[1:]})
     order = F.struct("page", "pos")
     q = F.struct(*[F.col(c) for c, _ in QUARTER_MONTH])
 
     def first(code):
-        return (it.where(F.col("line_code") == code).groupBy(*keys)
-                .agg(F.min_by(q, order).alias("v")))
-    j = first(unob_code).withColumnRenamed("v", "u").join(first(ba_code).withColumnRenamed("v", "b"), keys)
+        return F.min_by(q, F.when(F.col("line_code") == code, order))
+    # one pass for both lines; a group without one of them has a null there
+    j = it.groupBy(*keys).agg(first(unob_code).alias("u"), first(ba_code).alias("b")).where("u IS NOT NULL AND b IS NOT NULL")
     stacked = j.select(*keys, F.explode(F.array(*[
         F.struct(F.lit(m).alias("Month"), F.col(f"u.{c}").alias("unob"), F.col(f"b.{c}").alias("ba"))
         for c, m in QUARTER_MONTH])).alias("r")).select(*keys, "r.*")
