@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from ..functions.constants import FISCAL_MONTHS, LINE_MAX, LINE_MIN, RAW_MONTH_COLUMNS, UNIT_EXEMPT
 from ..functions.text import to_number, with_canonical_agency, with_derived_codes, with_normalized
+from ..sources.fixture import DEAL
 
 MASTER_KEYS = ["BUREAU", "OMB_ACCT", "LINENO", "DERIVED_FY1", "DERIVED_FY2", "DERIVED_ALLOC"]
 OPTIONAL_KEYS = ["TRACCT", "TRAG"]
@@ -121,9 +122,10 @@ FIRST_COLUMNS = ["TAFS", "AGENCY", "AGENCY_TITLE", "BUREAU_TITLE", "OMB_ACCOUNT"
 
 
 def group_keys(df: DataFrame, keys: list[str] | None = None) -> list[str]:
-    """Year, file, account keys and those optional keys that the ledger has."""
+    """Year, file, account keys and those optional keys that the ledger has; last the hash of some of them that dealt rows carry: it parts
+    no group and saves another shuffle."""
     keys = list(keys or MASTER_KEYS)
-    return ["fiscal_year", "Source_File", *keys, *[k for k in OPTIONAL_KEYS if k in df.columns and k not in keys]]
+    return ["fiscal_year", "Source_File", *keys, *[k for k in [*OPTIONAL_KEYS, DEAL] if k in df.columns and k not in keys]]
 
 
 #: Rows of one task, on average, where there are about as many groups as raw rows: a group's row takes some KB in sorts and hash maps.
@@ -135,13 +137,39 @@ def task_count(spark: SparkSession, rows: int) -> int:
     return max(rows // TASK_ROWS + 1, spark.sparkContext.defaultParallelism)
 
 
+#: Raw rows of one batch, unless a fiscal year has more: the shuffle files of a batch, some 200 bytes a row, are on disk at a time.
+BATCH_ROWS = 1 << 24
+
+
+def year_batches(rows: dict[int | None, int]) -> list[tuple[list[int | None], int]]:
+    """Fiscal years in batches of at most ``BATCH_ROWS`` rows, or one year, each with its number of rows. The year is a group key, so no
+    group of E1 spans two batches."""
+    batches: list[tuple[list[int | None], int]] = []
+    for year in sorted(rows, key=lambda y: (y is None, y)):
+        if batches and batches[-1][1] + rows[year] <= BATCH_ROWS:
+            years, n = batches.pop()
+            batches.append(([*years, year], n + rows[year]))
+        else:
+            batches.append(([year], rows[year]))
+    return batches
+
+
+def of_years(raw: DataFrame, years: list[int | None]) -> DataFrame:
+    """Raw rows of some fiscal years; None stands for rows without one."""
+    return raw.where(reduce(lambda a, b: a | b, [F.col("fiscal_year").eqNullSafe(F.lit(y)) for y in years]))
+
+
 def deal_groups(raw: DataFrame, tasks: int, keys: list[str] | None = None) -> DataFrame:
     """Raw rows dealt to a fixed number of tasks by year, file and the account keys that they have, which serves both aggregates of E1.
 
     For ledgers whose groups are about as many as their rows: map-side sums would save nothing there, and a shuffle of the session's
-    number of partitions would make tasks that grow with the ledger. A row with a NULL key is dealt like any other.
+    number of partitions would make tasks that grow with the ledger. A row with a NULL key is dealt like any other. Rows that their source
+    has dealt stay where they are.
     """
-    return raw.repartition(tasks, "fiscal_year", "Source_File", *[k for k in keys or MASTER_KEYS if k not in DERIVED])
+    if DEAL in raw.columns:
+        return raw
+    dealt_by = ["fiscal_year", "Source_File", *[k for k in keys or MASTER_KEYS if k not in DERIVED]]
+    return raw.withColumn(DEAL, F.hash(*dealt_by)).repartition(tasks, DEAL)
 
 
 DERIVED = ["DERIVED_FY1", "DERIVED_FY2", "DERIVED_ALLOC"]
@@ -185,7 +213,7 @@ def resolve_groups(parts: DataFrame, keys: list[str] | None = None, months=FISCA
     firsts = [F.min_by(c, at(c)).alias(c) for c in texts]
     if "AGENCY" in texts:
         firsts.append(F.min(at("AGENCY")).alias("AGENCY_ord"))
-    return parts.groupBy(*keys).agg(*sums, *firsts, *counts)
+    return parts.groupBy(*keys).agg(*sums, *firsts, *counts).drop(DEAL)
 
 
 def aggregate_ledger(raw: DataFrame, keys: list[str] | None = None, months=FISCAL_MONTHS) -> DataFrame:

@@ -11,15 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.constants import FISCAL_MONTHS, LEGACY_MONTHS
-from ..session import materialize
+from ..operators import ingest
+from ..session import materialize, store_parts
 from ..functions.text import clean_text
 from ..operators.ingest import (CHECK_COLUMNS, NULLABLE_KEYS, apply_fixed_units, deal_groups, detect_units,
-                                drop_null_keys, file_check_rates, first_agency, partial_groups, pivot_months,
-                                resolve_groups, skip_files, standard_lines, task_count)
+                                drop_null_keys, file_check_rates, first_agency, of_years, partial_groups, pivot_months,
+                                resolve_groups, skip_files, standard_lines, task_count, year_batches)
 from ..operators.months import available_months, latest_month
 from ..operators.pairing import (drop_near_zero, oia_bureaus, pair_lines, sort_summary, split_oia,
                                 summarize_pairs, with_display)
-from ..sources.fixture import ledger_rows, table, unit_notes
+from ..sources.fixture import fiscal_year_rows, ledger_rows, table, unit_notes
 
 # Consolidated multi-agency file skipped to avoid double counting (fixed value).
 DEFAULT_SKIP = ["2668331098.xlsx"]
@@ -29,13 +30,22 @@ TEXT_COLUMNS = ["TAFS", "BUREAU", "AGENCY_TITLE", "BUREAU_TITLE", "OMB_ACCOUNT",
 def ledger_groups(spark: SparkSession, sf_dir: str, skip: list[str] | None = None, by_part: bool = False) -> DataFrame:
     """E1 over all raw rows of files not on the skip list, materialised: the one pass over the raw ledger.
 
-    With accounts by part there are about as many groups as line items, so the tasks are as many as these need."""
+    With accounts by part there are about as many groups as line items, so the tasks are as many as these need; a ledger of more rows than
+    a batch holds goes through by fiscal years, and the groups are stored by columns."""
     skipped = F.array(*map(F.lit, skip if skip is not None else DEFAULT_SKIP)).cast("array<string>")
     skip_df = spark.range(1).select(F.explode(skipped).alias("Source_File"))    # a list of known size: joined without a shuffle of the raw rows
-    raw = skip_files(ledger_rows(spark, sf_dir, by_part=by_part), skip_df)
-    if by_part:
-        raw = deal_groups(raw, task_count(spark, table(spark, sf_dir, "lineitem").count()))
-    return materialize(resolve_groups(partial_groups(raw)))
+    if not by_part:
+        return materialize(resolve_groups(partial_groups(skip_files(ledger_rows(spark, sf_dir), skip_df))))
+
+    def groups(rows: int, years: list[int | None] | None = None) -> DataFrame:
+        tasks = task_count(spark, rows)
+        raw = skip_files(ledger_rows(spark, sf_dir, by_part=tasks), skip_df)
+        return resolve_groups(partial_groups(deal_groups(raw if years is None else of_years(raw, years), tasks)))
+
+    rows = table(spark, sf_dir, "lineitem").count()
+    if rows <= ingest.BATCH_ROWS:
+        return store_parts(spark, iter([groups(rows)]), "groups")
+    return store_parts(spark, (groups(n, years) for years, n in year_batches(fiscal_year_rows(spark, sf_dir))), "groups")
 
 
 def build_master(spark: SparkSession, sf_dir: str, skip: list[str] | None = None,
@@ -46,26 +56,32 @@ def build_master(spark: SparkSession, sf_dir: str, skip: list[str] | None = None
     NULL-key drop (C2), the per-file agency (B5) and the unit scaling (B2/B3, linear over
     exact decimal sums) all run on the aggregate instead of the raw rows.
     """
-    return master_from_groups(ledger_groups(spark, sf_dir, skip, by_part), reject_mismatches)
+    return master_from_groups(ledger_groups(spark, sf_dir, skip, by_part), reject_mismatches, by_part)
 
 
-def master_from_groups(groups: DataFrame, reject_mismatches: bool = True) -> DataFrame:
+def master_from_groups(groups: DataFrame, reject_mismatches: bool = True, by_part: bool = False) -> DataFrame:
     """Everything after the single raw pass: line filter, per-file code check (on all standard lines, before rows
-    with NULL keys go), NULL keys, agency and units, text clean-up."""
+    with NULL keys go), NULL keys, agency and units, text clean-up.
+
+    With accounts by part the master is about as large as the stored groups and takes no shuffle to make, so only the facts per file, a
+    row each, are materialised; its readers make it from the columns that they need."""
+    per_file = materialize if by_part else lambda df: df
     std = standard_lines(groups)
     master = drop_null_keys(std, NULLABLE_KEYS)
-    agency = first_agency(groups)
+    agency = per_file(first_agency(groups))
     units = detect_units(unit_notes(agency.select("Source_File", F.col("agency_text").alias("AGENCY_TITLE"))))
     if reject_mismatches:
-        master = master.join(F.broadcast(file_check_rates(std).where("rejected").select("Source_File")), "Source_File", "left_anti")
+        rejected = per_file(file_check_rates(std).where("rejected").select("Source_File"))
+        master = master.join(F.broadcast(rejected), "Source_File", "left_anti")
     # one row per raw file, which the driver lists anyway; a shuffle by file would leave the master in as many tasks as there are files
     master = (master.drop("AGENCY", "AGENCY_ord").join(F.broadcast(agency.select("Source_File", "Agency")), "Source_File")
-              .join(F.broadcast(units), "Source_File", "left"))
+              .join(F.broadcast(per_file(units)), "Source_File", "left"))
     mult = F.coalesce(F.col("unit_multiplier"), F.lit(1))
     master = master.withColumns({m: (F.col(m) * mult).cast("decimal(38,2)") for m in FISCAL_MONTHS})
     master = master.drop("unit_multiplier", *CHECK_COLUMNS)
+    master = master.withColumns({c: clean_text(F.col(c)) for c in TEXT_COLUMNS if c in master.columns})
     # the master is a published table read by several branches: cut lineage here
-    return materialize(master.withColumns({c: clean_text(F.col(c)) for c in TEXT_COLUMNS if c in master.columns}))
+    return master if by_part else materialize(master)
 
 
 def _finish(pairs: DataFrame, near_zero: bool, null_text: str) -> DataFrame:

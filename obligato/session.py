@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
+import time
+import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on: UTC timestamps, AQE (coalesce + skew join) and
 # ANSI mode (bad casts raise, so every lenient conversion goes through try_*).
@@ -77,3 +82,42 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     shared_dir(df.sparkSession, "ckpt")
     return df.checkpoint(eager=True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove the shuffle files of steps whose results have been written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    time.sleep(1)  # the cleaner works in the background
+
+
+def store_parts(spark: SparkSession, parts: Iterable[DataFrame], name: str) -> DataFrame:
+    """Cut lineage of a wide table that is made in parts, one after another: Parquet in the shared folder.
+
+    A checkpoint keeps whole rows; columns, compressed, take about a fifth of that. The shuffle files of a part go before the next one begins,
+    so the disk holds those of one part. Read back in a task per written file, so that tasks stay as small as the ones that wrote them.
+    Unlike checkpoints the files stay until the session ends, or ``discard``.
+    """
+    path = shared_dir(spark, f"{name}-{uuid.uuid4().hex}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(folder)
+    store.deleteOnExit(folder)
+    for part in parts:
+        part.write.mode("append").parquet(path, compression="zstd")
+        schema = part.schema
+        del part
+        release(spark)
+    by_file = spark.newSession()    # its file settings hold for this table alone: opening a file counts as much as a partition may hold
+    for key in ("maxPartitionBytes", "openCostInBytes"):
+        by_file.conf.set(f"spark.sql.files.{key}", "128m")
+    no_rows = spark.range(0).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema])    # makes the result one of this session
+    return no_rows.union(by_file.read.schema(schema).parquet(path))
+
+
+def discard(table: DataFrame) -> None:
+    """Delete the table made by ``store_parts`` that ``table`` reads, when nothing needs it any more."""
+    spark, files = table.sparkSession, table.inputFiles()
+    if files:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -13,7 +13,7 @@ hint; every other join is left to Catalyst/AQE size statistics.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_abbr
@@ -22,15 +22,31 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+#: A hash of some group keys of E1 by which raw rows have been dealt to tasks.
+DEAL = "_deal"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def ledger_rows(spark: SparkSession, sf_dir: str, year: int | None = None, by_part: bool = False) -> DataFrame:
+def fiscal_year(date: str = "l_shipdate") -> Column:
+    """Fiscal year of a line item: ship year (+1 for Oct-Dec) + 20."""
+    return (F.year(date) + F.when(F.month(date) >= 10, 1).otherwise(0) + 20).cast("int")
+
+
+def fiscal_year_rows(spark: SparkSession, sf_dir: str) -> dict[int | None, int]:
+    """Line items per fiscal year of the raw ledger, those without a date under None."""
+    li = table(spark, sf_dir, "lineitem").groupBy(fiscal_year().alias("fiscal_year")).count()
+    return {r["fiscal_year"]: r["count"] for r in li.collect()}
+
+
+def ledger_rows(spark: SparkSession, sf_dir: str, year: int | None = None, by_part: bool | int = False) -> DataFrame:
     """Raw long-form ledger: one row per line item, of all fiscal years or of ``year``.
 
     An account is a part brand, so the master's size is bounded; ``by_part`` makes it a part, and the master
-    then grows with the tables.
+    then grows with the tables. A number instead of True deals the rows to so many tasks before their texts are made, by column ``DEAL``,
+    which follows from group keys of E1 (year, account, line).
 
     Columns: fiscal_year, month, AGENCY, AGENCY_TITLE, BUREAU (NULL on seventh lines), BUREAU_TITLE, OMB_ACCT,
     OMB_ACCOUNT, TAFS, LINENO, LINE_DESC (NULL on some), TRAG, TRACCT (optional keys), FY1, FY2,
@@ -44,20 +60,31 @@ def ledger_rows(spark: SparkSession, sf_dir: str, year: int | None = None, by_pa
         first = f"{year - 21}-10-01"
         li = li.where((F.col("l_shipdate") >= F.lit(first).cast("timestamp"))
                       & (F.col("l_shipdate") < F.lit(f"{year - 20}-10-01").cast("timestamp")))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.substring("o_orderpriority", 1, 1).alias("prio"))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey"))
     region = F.broadcast(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
     brand = F.concat("p_brand", "p_partkey") if by_part else F.col("p_brand")
     part = table(spark, sf_dir, "part").select("p_partkey", brand.alias("p_brand"), "p_size")
 
+    # the names of nations and regions come last, so that no shuffle carries them
     df = (li.join(orders, li.l_orderkey == orders.o_orderkey)
           .join(supplier, li.l_suppkey == supplier.s_suppkey)
-          .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-          .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
           .join(part, li.l_partkey == part.p_partkey))
 
-    fy = (F.year("l_shipdate") + F.when(F.month("l_shipdate") >= 10, 1).otherwise(0) + 20).cast("int")
+    fy = fiscal_year()
+    lineno = (F.when(F.col("l_returnflag") == "N", F.lit("2490"))
+              .when(F.col("l_returnflag") == "R", F.lit("2500"))
+              .when(F.col("l_linenumber") == 1, F.lit("1000"))
+              .when(F.col("l_linenumber") == 2, F.lit("0999"))
+              .when(F.col("l_linenumber") == 3, F.lit(None).cast("string"))
+              .otherwise(F.lit("n/a")))
+    dealt = [DEAL] if by_part and by_part is not True else []
+    if dealt:    # the account's text ends with the brand, after a code of fixed length
+        df = df.withColumn(DEAL, F.hash(fy, "p_brand", lineno)).repartition(by_part, DEAL)
+    df = (df.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+          .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+
     yy = F.lpad((fy % 100).cast("string"), 2, "0")
     yy1 = F.lpad(((fy - 1) % 100).cast("string"), 2, "0")
     agency_code = F.lpad((F.col("r_regionkey") + 10).cast("string"), 3, "0")
@@ -66,18 +93,12 @@ def ledger_rows(spark: SparkSession, sf_dir: str, year: int | None = None, by_pa
     account = F.concat(agency_code,
                        F.when(even, F.concat(F.lit("-"), nation_code)).otherwise(F.lit("")),
                        F.lit("-"), F.lpad(F.substring_index("p_brand", "#", -1), 4, "0"))
-    prio = F.substring("o_orderpriority", 1, 1)
+    prio = F.col("prio")
     period = (F.when(prio == "1", F.lit(" /X"))
               .when(prio == "2", F.concat(F.lit(" /"), yy))
               .when(prio == "3", F.concat(F.lit(" "), yy1, F.lit("/"), yy))
               .when(prio == "4", F.concat(F.lit(" "), yy, F.lit("/X")))
               .otherwise(F.lit("")))
-    lineno = (F.when(F.col("l_returnflag") == "N", F.lit("2490"))
-              .when(F.col("l_returnflag") == "R", F.lit("2500"))
-              .when(F.col("l_linenumber") == 1, F.lit("1000"))
-              .when(F.col("l_linenumber") == 2, F.lit("0999"))
-              .when(F.col("l_linenumber") == 3, F.lit(None).cast("string"))
-              .otherwise(F.lit("n/a")))
     # Given codes as a ledger would carry them: '.0' suffixes and unpadded
     # numbers on some rows; one file carries a wrong FY2 (rejected by the check).
     fy1 = (F.when(prio == "3", yy1).when(prio == "4", yy))
@@ -106,6 +127,7 @@ def ledger_rows(spark: SparkSession, sf_dir: str, year: int | None = None, by_pa
         F.concat(F.col("r_name"), F.lit("_"), fy.cast("string")).alias("Source_File"),
         # file order: row position key (a sheet row number in a real ledger)
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("ordinal"),
+        *dealt,
     )
 
 
