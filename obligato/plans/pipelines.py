@@ -94,7 +94,8 @@ def _finish(pairs: DataFrame, near_zero: bool, null_text: str) -> DataFrame:
 def year_summary_from(master: DataFrame) -> DataFrame:
     """P2 body: pair lines at each year's latest month; near-zero rows kept.
     Materialised: it is the published table every explorer reads."""
-    return materialize(_finish(pair_lines(split_oia(master), latest_month(master)), False, "0.0"))
+    latest = materialize(latest_month(master))    # a row per year, read by both lines
+    return materialize(_finish(pair_lines(split_oia(master), latest), False, "0.0"))
 
 
 def monthly_summary_from(master: DataFrame, months: list[str] | None = None) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..session import discard
 from . import oracle_sql as S
 from .pipelines import build_master, monthly_summary, year_summary, year_summary_from
 from .registry import register
@@ -70,4 +71,7 @@ def q_build_master_by_part(spark, sf_dir):
 @register("year_summary_by_part", _by_part(S.with_ctes("yearly") + f"SELECT {SUMMARY_SELECT} FROM yearly"))
 def q_year_summary_by_part(spark, sf_dir):
     """P2 with accounts by part."""
-    return year_summary_from(build_master(spark, sf_dir, by_part=True))
+    master = build_master(spark, sf_dir, by_part=True)
+    summary = year_summary_from(master)
+    discard(master)
+    return summary
