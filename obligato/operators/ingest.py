@@ -137,7 +137,7 @@ def task_count(spark: SparkSession, rows: int) -> int:
     return max(rows // TASK_ROWS + 1, spark.sparkContext.defaultParallelism)
 
 
-#: Raw rows of one batch, unless a fiscal year has more: the shuffle files of a batch, some 200 bytes a row, are on disk at a time.
+#: Raw rows of one batch, unless a fiscal year has more: the shuffle files of one batch, some 120 bytes a row, are on disk at a time.
 BATCH_ROWS = 1 << 24
 
 
